@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import groups, pieces, turns
+from . import groups, pieces, repetition, sentences, turns
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,21 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.speaker_turns(turns.tagged_segments(s, turns.fit_tagger(s))).select("sid", "speaker", "first_seg", "last_seg")
 
 
+def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def texts(name: str, key: str, label: str, source) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.lit(name).alias("tbl"), F.col(key).cast("string").alias("row_key"), "text", F.col(label).alias("label"), source.alias("source"))
+
+    return repetition.statistics(
+        texts("segments", "seg_id", "language", F.lit("segments"))
+        .unionByName(texts("seg_texts", "fact_id", "language", F.coalesce("asr_model", F.lit("asr"))))
+        .unionByName(texts("documents", "doc_id", "lang", F.col("source")))
+    )
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetitive(p2_shares(spark, sf_dir)).select("tbl", "row_key")
+
+
 def _records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(table(spark, sf_dir, t) for t in ("dialogue_records", "recordings", "segments"))
 
@@ -35,5 +50,9 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_pieces(spark, sf_dir).where("piece = 0").select("seg_id", "forced_cut")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.sentences(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v)}
