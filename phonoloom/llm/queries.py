@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import groups, pieces, repetition, sentences, turns
+from . import groups, language, pieces, repetition, sentences, turns
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,19 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetitive(p2_shares(spark, sf_dir)).select("tbl", "row_key")
 
 
+def p3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def texts(name: str, key: str, text: str, label: str) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.lit(name).alias("tbl"), F.col(key).cast("string").alias("row_key"), F.col(text).alias("text"), F.col(label).alias("label"))
+
+    segments = texts("segments", "seg_id", "text", "language")
+    profiles = language.fit_profiles(segments.withColumnRenamed("row_key", "key"))
+    return language.identified(segments.unionByName(texts("manifest", "id", "txt", "lang")).unionByName(texts("documents", "doc_id", "text", "lang")), profiles)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.mislabelled(p3_languages(spark, sf_dir))
+
+
 def _records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(table(spark, sf_dir, t) for t in ("dialogue_records", "recordings", "segments"))
 
