@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import settle
 from ..sources.tables import table
-from . import groups, language, pieces, repetition, sentences, turns
+from . import groups, language, mixing, packing, pieces, repetition, sentences, tokens, turns
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,34 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_pieces(spark, sf_dir).where("piece = 0").select("seg_id", "forced_cut")
 
 
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capacity, _ = pieces.limits(table(spark, sf_dir, "size_limits"), "container")
+    return packing.pack(tokens.token_counts(table(spark, sf_dir, "documents").where("text is not null"), ["doc_id"]), int(capacity))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the first piece of each document that had to be cut
+    return p7_containers(spark, sf_dir).where("doc_tokens > tokens and piece = 0").select("doc_id")
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple]]:
+    sized = settle(tokens.token_counts(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang"]).withColumnRenamed("lang", "language"))
+    planned = mixing.plan(sized, table(spark, sf_dir, "mix_targets"))
+    return mixing.select(spark, sized, planned), planned
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mixed(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(spark, *_mixed(spark, sf_dir))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_shares(spark, sf_dir).where("short").select("source")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(table(spark, sf_dir, "documents"))
 
