@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lineage import settle
 from ..operators.ordered import bucket_of, carry_last, millis, runs
 from .speakers import ROLES, speaker_key
 
@@ -250,19 +251,17 @@ def tagged_segments(segments: DataFrame, tagger: Tagger) -> DataFrame:
     return cols.where("sid is not null and ms is not null and seg_id is not null").mapInPandas(run, schema)
 
 
-def speaker_turns(tags: DataFrame, with_text: bool = False, hour_ms: int = 3_600_000) -> DataFrame:
-    """Turns of tagged segments: sid, speaker, first_seg, last_seg, n_segments (and ``text``).
+def speaker_turns(tags: DataFrame, with_times: bool = False, hour_ms: int = 3_600_000) -> DataFrame:
+    """Turns of tagged segments: sid, speaker, first_seg, last_seg, n_segments (and start_ms, last_start_ms).
 
     Redelivered segments count once; a segment nobody is named for takes the speaker of the segment
     before; segments without words are left out, then equal neighbours join. Segments before the first
     known speaker form no turn. Ties of time go by seg_id. Empty input, empty output.
     """
-    cols = ["sid", "ms", "seg_id", "named"] + ["words"] * with_text
-    t = tags.withColumn("spoken", F.length("words") > 0).select(*cols, "spoken", bucket_of(F.col("ms"), hour_ms).alias("hour"))
-    t = t.dropDuplicates(["sid", "hour", "ms", "seg_id"])
-    t = carry_last(t, ["sid"], "hour", ["ms", "seg_id"], "named", "speaker").where("spoken and speaker is not null")
-    if not with_text:
-        out = runs(t.drop("named"), ["sid"], "hour", ["ms", "seg_id"], "speaker", ["seg_id"])
-        return out.select("sid", "speaker", F.col("first_seg_id").alias("first_seg"), F.col("last_seg_id").alias("last_seg"), F.col("n_rows").alias("n_segments"))
-    out = runs(t.drop("named"), ["sid"], "hour", ["ms", "seg_id"], "speaker", ["seg_id", "ms"])
-    return out.select("sid", "speaker", F.col("first_seg_id").alias("first_seg"), F.col("last_seg_id").alias("last_seg"), F.col("n_rows").alias("n_segments"), F.col("first_ms").alias("start_ms"), F.col("last_ms").alias("last_start_ms"))
+    t = tags.select("sid", "ms", "seg_id", "named", (F.length("words") > 0).alias("spoken"), bucket_of(F.col("ms"), hour_ms).alias("hour"))
+    # the tagger runs once; the passes over the order read its narrow result
+    t = settle(t.repartition("sid", "hour").dropDuplicates(["sid", "hour", "ms", "seg_id"]))
+    t = carry_last(t, ["sid"], "hour", ["ms", "seg_id"], "named", "speaker").where("spoken and speaker is not null").drop("named")
+    out = runs(t, ["sid"], "hour", ["ms", "seg_id"], "speaker", ["seg_id", "ms"] if with_times else ["seg_id"])
+    times = [F.col("first_ms").alias("start_ms"), F.col("last_ms").alias("last_start_ms")] if with_times else []
+    return out.select("sid", "speaker", F.col("first_seg_id").alias("first_seg"), F.col("last_seg_id").alias("last_seg"), F.col("n_rows").alias("n_segments"), *times)
