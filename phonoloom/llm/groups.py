@@ -73,7 +73,7 @@ def hash_to_min(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def groups(records: DataFrame, recordings: DataFrame, segments: DataFrame) -> DataFrame:
     """(id, group_id) for every distinct record id; one alone is its own group."""
-    parts = hash_to_min(star_edges(ties(records, recordings, segments)))
+    parts = hash_to_min(star_edges(settle(ties(records, recordings, segments))))
     ids = records.where("id is not null").select("id").distinct()
     return ids.join(parts.select(F.col("node").alias("id"), "root"), "id", "left").select("id", F.coalesce("root", "id").alias("group_id"))
 

@@ -141,6 +141,7 @@ def outliers(stats: DataFrame, steps: int = 3) -> DataFrame:
     stated bounds, so even in a group made of spam every share of a third or more lies beyond the cutoff:
     (asin(sqrt(1/3)) - 0.1) / 0.15 squared exceeds it, and the full distance is never smaller.
     """
+    stats = settle(stats)  # every pass below reads the vectors, not the texts
     sizes = stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
     small = F.col("n") < MIN_GROUP
     pooled = F.sum(F.when(small, F.col("n"))).over(W.partitionBy("lang"))
