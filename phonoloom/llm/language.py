@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labels import LANGUAGES, label_code
+from .samples import lowest_hash
 from .turns import HESITATIONS
 
 CODES = tuple(LANGUAGES)
@@ -208,12 +209,12 @@ def _part(edge: np.ndarray, n: np.ndarray, solid: np.ndarray) -> tuple[int, floa
 
 
 def fit_profiles(texts: DataFrame, train_rows: int = 12_000) -> Profiles:
-    """Profiles from the ``train_rows`` rows of (key, text, label) with the lowest key hash whose label names a language.
+    """Profiles from at most ``train_rows`` rows of (key, text, label), those of the lowest key hash, where the label names a language.
 
     Labels are partly false, so profiles are fitted twice, the second time on the texts that the
     first take for one language, that of their label.
     """
-    rows = texts.where("text is not null and label is not null").select("text", "label", F.xxhash64("key").alias("h")).orderBy("h", "text").limit(train_rows).collect()
+    rows = lowest_hash(texts.select("text", "label", "key"), F.col("key"), train_rows).where("text is not null and label is not null").collect()
     pairs = sorted({(r.text, c) for r in rows if (c := label_code(r.label))})
 
     def fit(part: list[tuple[str, str]]) -> Profiles:

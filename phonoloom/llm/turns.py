@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lineage import settle
 from ..operators.ordered import bucket_of, carry_last, millis, runs
+from .samples import lowest_hash
 from .speakers import ROLES, speaker_key
 
 SPEAKER, TIME, NOTE, FILLER, SPEECH = range(5)
@@ -232,8 +233,8 @@ def tag(tagger: Tagger, text: str | None, lang: str | None) -> tuple[str | None,
 
 
 def fit_tagger(segments: DataFrame, train_rows: int = 2000) -> Tagger:
-    """Fits the model on ``train_rows`` texts, those of the lowest hash of their id."""
-    rows = segments.where("text is not null").select("text", "language", F.xxhash64("seg_id").alias("h")).orderBy("h", "text").limit(train_rows).collect()
+    """Fits the model on at most ``train_rows`` texts, those of the lowest hash of their id."""
+    rows = lowest_hash(segments.select("text", "language", "seg_id"), F.col("seg_id"), train_rows).where("text is not null").collect()
     return Tagger.fit([observed(tokens(r.text), r.text, r.language) for r in rows])
 
 
