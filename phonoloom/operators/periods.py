@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import settle
 from .ordered import bucketed_rank, millis
 
 HOUR_MS = 3_600_000
@@ -39,20 +40,18 @@ def periods_and_gaps(df: DataFrame, entity: Sequence[str], bucket_ms: int = HOUR
     Empty input gives an empty result; touching intervals join; equal intervals count each.
     """
     entity = list(entity)
-    starts = bucketed_rank(df.select(*entity, "s"), entity, "s", [], bucket_ms, "k")
-    ends = bucketed_rank(df.select(*entity, "e"), entity, "e", [], bucket_ms, "k")
+    side = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("s").alias("t")), F.struct(F.lit(1).alias("side"), F.col("e").alias("t")))).alias("x")
+    ranked = bucketed_rank(df.select(*entity, side).select(*entity, "x.side", "x.t"), [*entity, "side"], "t", [], bucket_ms, "k")
     # cut k: the k-th end against the (k+1)-th start; k = 0 opens the first, the largest closes the last period
-    cuts = (
-        ends.select(*entity, "k", "e")
-        .join(starts.select(*entity, (F.col("k") - 1).alias("k"), "s"), [*entity, "k"], "full")
-        .where("s is null or e is null or s > e")
-    )
+    cuts = ranked.groupBy(*entity, (F.col("k") + F.col("side") - 1).alias("k")).agg(F.max(F.when(F.col("side") == 0, F.col("t"))).alias("s"), F.max(F.when(F.col("side") == 1, F.col("t"))).alias("e"))
+    cuts = settle(cuts.where("s is null or e is null or s > e"))
     gaps = cuts.where("s is not null and e is not null").select(
         *entity, F.lit("gap").alias("kind"), F.col("e").alias("start_ms"), F.col("s").alias("end_ms"), F.lit(None).cast("long").alias("n")
     )
-    opens = bucketed_rank(cuts.where("s is not null").select(*entity, "s", F.col("k").alias("k0")), entity, "s", [], bucket_ms, "i")
-    closes = bucketed_rank(cuts.where("e is not null").select(*entity, "e", F.col("k").alias("k1")), entity, "e", [], bucket_ms, "i")
-    periods = opens.join(closes, [*entity, "i"]).select(
-        *entity, F.lit("period").alias("kind"), F.col("s").alias("start_ms"), F.col("e").alias("end_ms"), (F.col("k1") - F.col("k0")).alias("n")
+    # the starts that open and the ends that close, ranked again, pair up
+    bounds = cuts.select(*entity, "k", side).where("x.t is not null").select(*entity, "k", "x.side", "x.t")
+    paired = bucketed_rank(bounds, [*entity, "side"], "t", [], bucket_ms, "i").groupBy(*entity, "i").agg(
+        *[F.max(F.when(F.col("side") == v, F.col(c))).alias(f"{c}{v}") for v in (0, 1) for c in ("t", "k")]
     )
+    periods = paired.select(*entity, F.lit("period").alias("kind"), F.col("t0").alias("start_ms"), F.col("t1").alias("end_ms"), (F.col("k1") - F.col("k0")).alias("n"))
     return periods.unionByName(gaps)
