@@ -97,3 +97,26 @@ def runs(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
         )
     )
     return inner.unionByName(joined.select(*cols))
+
+
+def carry_max(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str, out: str) -> DataFrame:
+    """Adds ``out``: the largest ``value`` of all rows before this one in ``order`` per ``keys``; null for the first."""
+    keys = list(keys)
+    inside = W.partitionBy(*keys, bucket).orderBy(*order)
+    local = df.withColumn("__local", F.max(value).over(inside.rowsBetween(W.unboundedPreceding, -1)))
+    tops = df.groupBy(*keys, bucket).agg(F.max(value).alias("__top"))
+    before = W.partitionBy(*keys).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    carried = tops.select(*keys, bucket, F.max("__top").over(before).alias("__carried"))
+    return local.join(carried, [*keys, bucket]).withColumn(out, F.greatest("__local", "__carried")).drop("__local", "__carried")
+
+
+def carry_previous(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Adds ``prev_<v>`` for each of ``values`` and ``has_prev``: the row before in ``order`` per ``keys``, across bucket borders."""
+    keys, values = list(keys), list(values)
+    row = F.struct(*values)
+    inside = W.partitionBy(*keys, bucket).orderBy(*order)
+    ends = df.groupBy(*keys, bucket).agg(F.max_by(row, F.struct(*order)).alias("__end"))
+    carried = ends.select(*keys, bucket, F.lag("__end").over(W.partitionBy(*keys).orderBy(bucket)).alias("__carried"))
+    got = df.withColumn("__prev", F.lag(row).over(inside)).join(carried, [*keys, bucket])
+    got = got.withColumn("__prev", F.coalesce("__prev", "__carried"))
+    return got.select(*df.columns, *[F.col("__prev")[v].alias(f"prev_{v}") for v in values], F.col("__prev").isNotNull().alias("has_prev"))

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import periods
 from ..sources.tables import table
+from . import sequence_queries
+
+MODULES = (sequence_queries,)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,8 +36,14 @@ select sid, speaker, 'gap' as kind, pe as start_ms, s as end_ms from q where pe
 
 
 def queries() -> dict:
-    return {"p5_found": p5_found}
+    out = {"p5_found": p5_found}
+    for m in MODULES:
+        out |= m.QUERIES
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_SQL}
+    out = {"p5_found": P5_SQL}
+    for m in MODULES:
+        out |= m.ORACLES
+    return out
