@@ -149,3 +149,18 @@ ORACLES = {
 }
 
 QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "cef" and k[1:2].isdigit()}
+
+
+def f11_label_timeline(spark, d):
+    from ..operators import timelines
+
+    return timelines.label_timeline(_seg(spark, d), "lang")
+
+
+def f12_value_timeline(spark, d):
+    from ..operators import timelines
+
+    return timelines.value_timeline(_seg(spark, d), "q")
+
+
+QUERIES |= {"f11_label_timeline": f11_label_timeline, "f12_value_timeline": f12_value_timeline}
