@@ -28,7 +28,9 @@ def persons(labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             names = [speaker_key(x) for x in b["label"]]
-            yield pd.DataFrame({"id": b["id"], "person": [n if is_person(n) else None for n in names]}).dropna()
+            rows = [(i, n) for i, n in zip(b["id"], names) if is_person(n)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "person"])
 
     return labels.where("id is not null and label is not null").distinct().mapInPandas(run, "id string, person string").distinct()
 

@@ -242,7 +242,8 @@ def identified(texts: DataFrame, profiles: Profiles) -> DataFrame:
         for b in batches:
             found = languages(profiles, b["text"])
             rows = [(t, k, label_code(g), lang, sure, len(f)) for t, k, g, f in zip(b["tbl"], b["row_key"], b["label"], found) for lang, sure in f]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+            if rows:
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return texts.where("row_key is not null and text is not null").mapInPandas(run, schema)
 

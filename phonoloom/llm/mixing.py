@@ -84,7 +84,7 @@ def select(spark: SparkSession, sized: DataFrame, planned: list[tuple], seed: in
     p = spark.createDataFrame(planned, _PLAN).select("source", F.when(F.col("size") > 0, F.floor(F.col("budget") / F.col("size"))).otherwise(0).cast("long").alias("epochs"), "size", "budget")
     p = p.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("size"))
     h = F.xxhash64(F.lit(seed), "epochs", "doc_id")
-    d = sized.where("doc_id is not null and source is not null and tokens is not null").join(F.broadcast(p), "source")  # a row per target source
+    d = sized.select("doc_id", "source", "tokens").where("doc_id is not null and source is not null and tokens is not null").join(F.broadcast(p), "source")  # a row per target source
     d = d.withColumn("h", h).withColumn("b", F.pmod(F.shiftright(F.col("h"), 40), F.lit(BUCKETS)))
     sums = d.groupBy("source", "b").agg(F.sum("tokens").alias("t"))
     over = W.partitionBy("source").orderBy("b").rowsBetween(W.unboundedPreceding, -1)

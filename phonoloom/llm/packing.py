@@ -71,7 +71,7 @@ def pack(items: DataFrame, capacity: int, nearly: float = 0.985, per_task: int =
         if out:
             yield pd.DataFrame(out, columns=["size", "full", "members"])
 
-    bins = settle(cut_items(items.where("doc_id is not null and tokens is not null"), capacity).mapInPandas(run, _SCHEMA))
+    bins = settle(cut_items(items.select("doc_id", "tokens").where("doc_id is not null and tokens is not null"), capacity).mapInPandas(run, _SCHEMA))
     done = [bins.where("full")]
     rest, left = bins.where("not full"), bins.where("not full").count()
     while left:

@@ -77,7 +77,8 @@ def cut_pieces(segments: DataFrame, breaks: DataFrame, limit_ms: int, overlap_ms
             for seg, sid, s, e, ps in zip(b["seg_id"], b["sid"], b["s"], b["e"], b["pauses"]):
                 parts, forced = cut(int(s), int(e), [(int(p["lo"]), int(p["hi"])) for p in ps], limit_ms, overlap_ms)
                 rows += [(seg, sid, k, x, y, int(h), int(forced)) for k, (x, y, h) in enumerate(parts)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+            if rows:
+                yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return oversized(segments, breaks, limit_ms).mapInPandas(run, schema)
 
