@@ -390,7 +390,7 @@ def test_sentences(text, want):
 
 
 def test_sentences_of_rows(spark):
-    rows = [(1, "a b. C d."), (2, "a b. C d."), (3, None), (4, ""), (None, "X."), (5, "Long one. " * 20_000)]
+    rows = [(1, "ab cd. Ef gh."), (2, "ab cd. Ef gh."), (3, None), (4, ""), (None, "X."), (5, "Long one. " * 20_000)]
     df = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
     got = sentences.sentences(df, with_text=True).toPandas()
     assert got.groupby("doc_id").size().to_dict() == {1: 2, 2: 2, 5: 20_000}
