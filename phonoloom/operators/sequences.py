@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from .lineage import settle
 from .ordered import bucket_of, bucketed_rank, carry_last, carry_max, carry_previous, runs
 
 HOUR = 3_600_000
@@ -42,10 +43,11 @@ def union_and_overlap(segs: DataFrame, by: list[str]) -> DataFrame:
     """
     own = carry_max(hourly(segs), ["sid", "spk"], "hour", ORDER, "e", "own")
     # what is new of each interval within its speaker; parts already covered add nothing
-    own = own.withColumn("s", F.greatest("s", F.coalesce("own", "s"))).where("e > s").drop("own", "hour")
-    d = carry_max(hourly(own), ["sid"], "hour", [*ORDER, "spk"], "e", "m1")
+    own = own.withColumn("s", F.greatest("s", F.coalesce("own", "s"))).where("e > s").select("sid", "spk", "idx", "s", "e", *[c for c in by if c not in ("sid", "spk")])
+    # every pass below reads its input twice: settled, the passes add up instead of doubling
+    d = carry_max(hourly(settle(own)), ["sid"], "hour", [*ORDER, "spk"], "e", "m1")
     d = d.withColumn("twice", F.when(F.col("m1").isNotNull(), F.least("e", "m1")))
-    d = carry_max(d, ["sid"], "hour", [*ORDER, "spk"], "twice", "m2")
+    d = carry_max(settle(d), ["sid"], "hour", [*ORDER, "spk"], "twice", "m2")
     fresh = F.greatest(F.lit(0), F.col("e") - F.greatest("s", F.coalesce("m1", "s")))
     both = F.when(F.col("m1").isNull(), 0).otherwise(F.greatest(F.lit(0), F.col("twice") - F.greatest("s", F.coalesce("m2", "s"))))
     return d.groupBy(*by).agg(F.sum(fresh).alias("union_ms"), F.sum(both).alias("overlap_ms"))
@@ -53,8 +55,8 @@ def union_and_overlap(segs: DataFrame, by: list[str]) -> DataFrame:
 
 def window_metrics(segs: DataFrame, max_gap_ms: int = 6000) -> DataFrame:
     """E13. Per window: start, end, turns, speakers, mean turn span, share of turns of the second speaker, weighted quality, overlap share."""
-    named = segs.withColumn("spk", F.coalesce("spk", F.lit("")))
-    w = gap_windows(named, max_gap_ms)
+    named = settle(segs.select("sid", "idx", "s", "e", "q", F.coalesce("spk", F.lit("")).alias("spk")))
+    w = settle(gap_windows(named, max_gap_ms))
     spans = w.groupBy("sid", "win").agg(
         F.max("e").alias("win_end"), F.count(F.lit(1)).alias("n_seg"), F.sum(F.when(F.col("q").isNotNull(), F.col("q") * (F.col("e") - F.col("s")))).alias("qw"),
         F.sum(F.when(F.col("q").isNotNull(), F.col("e") - F.col("s"))).alias("w"),

@@ -8,7 +8,7 @@ block runs are a linked list with heaps, so n segments take O(n log n) steps.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -167,38 +167,40 @@ def blocks(segs: DataFrame, gap_ms: int = GAP) -> DataFrame:
     return carry_last(d.withColumn("opens", opens), ["sid"], "hour", ["s", "idx"], "opens", "block")
 
 
-def _spans(segs: DataFrame, build, schema: str) -> DataFrame:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["s", "idx"]).reset_index(drop=True)
-        rows = []
-        for at, extra in build(pdf):
-            part = pdf.iloc[at]
-            rows.append((pdf["sid"][0], int(part["s"].min()), int(part["e"].max()), int((part["e"] - part["s"]).sum()), len(part), extra))
-        return pd.DataFrame(rows, columns=["sid", "span_start", "span_end", "speech_ms", "n_seg", "label"])
+def _spans(segs: DataFrame, value: str, build, schema: str) -> DataFrame:
+    """A block is one row holding its segments in order, so many blocks share a batch."""
 
-    return segs.groupBy("sid", "block").applyInPandas(run, f"sid string, span_start long, span_end long, speech_ms long, n_seg long, label {schema}")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for sid, items in zip(b["sid"], b["items"]):
+                s, e = [x["s"] for x in items], [x["e"] for x in items]
+                w = [float(y - x) for x, y in zip(s, e)]
+                for at, extra in build([x["v"] for x in items], w):
+                    rows.append((sid, s[at[0]], max(e[i] for i in at), int(sum(w[i] for i in at)), len(at), extra))
+            if rows:
+                yield pd.DataFrame(rows, columns=["sid", "span_start", "span_end", "speech_ms", "n_seg", "label"])
+
+    d = blocks(segs.select("sid", "idx", "s", "e", F.col(value).alias("v")))
+    lists = d.groupBy("sid", "block").agg(F.sort_array(F.collect_list(F.struct("s", "idx", "e", "v"))).alias("items"))
+    return lists.select("sid", "items").mapInPandas(run, f"sid string, span_start long, span_end long, speech_ms long, n_seg long, label {schema}")
 
 
 def value_timeline(segs: DataFrame, value: str) -> DataFrame:
     """F12. Spans of (sid, idx, s, e, value): sid, span_start, span_end, speech_ms, n_seg and the weighted mean as ``label``."""
 
-    def build(pdf: pd.DataFrame) -> list:
-        v = [None if pd.isna(x) else float(x) for x in pdf[value]]
-        w = [float(x) for x in pdf["e"] - pdf["s"]]
+    def build(v: list, w: list[float]) -> list:
+        v = [None if x is None or x != x else float(x) for x in v]
         out = []
         for at in value_runs(v, w):
             t = sum(w[i] for i in at if v[i] is not None)
             out.append((at, round(sum(v[i] * w[i] for i in at if v[i] is not None) / t, 4) if t else None))
         return out
 
-    return _spans(blocks(segs.select("sid", "idx", "s", "e", value)).select("sid", "block", "idx", "s", "e", value), build, "double")
+    return _spans(segs, value, build, "double")
 
 
 def label_timeline(segs: DataFrame, label: str) -> DataFrame:
     """F11. Spans of (sid, idx, s, e, label): sid, span_start, span_end, speech_ms, n_seg and the published ``label``."""
 
-    def build(pdf: pd.DataFrame) -> list:
-        names = [None if pd.isna(x) else x for x in pdf[label]]
-        return label_spans(names, [float(x) for x in pdf["e"] - pdf["s"]])
-
-    return _spans(blocks(segs.select("sid", "idx", "s", "e", label)).select("sid", "block", "idx", "s", "e", label), build, "string")
+    return _spans(segs, label, label_spans, "string")

@@ -11,8 +11,10 @@ from ..sources import views
 from ..sources.tables import table
 from ..sources.views import sql
 
-W = F.col("e") - F.col("s")
-WHOLE = r"[\s\p{P}\p{Z}]"
+
+def _w():
+    """Length of a segment in milliseconds."""
+    return F.col("e") - F.col("s")
 
 
 def _seg(spark, d):
@@ -21,20 +23,20 @@ def _seg(spark, d):
 
 def _rated(spark, d):
     """Segments with characters, seconds and rate."""
-    n, sec = F.coalesce(X.char_count(F.col("txt")), F.lit(0)).cast("long"), W / 1000
+    n, sec = F.coalesce(X.char_count(F.col("txt")), F.lit(0)).cast("long"), _w() / 1000
     return _seg(spark, d).withColumn("chars", n).withColumn("sec", sec).withColumn("rate", X.speech_rate(F.col("chars"), F.col("sec")))
 
 
 def e1_weighted_vote(spark, d):
-    return A.weighted_vote(_seg(spark, d), ["sid"], "lang", W)
+    return A.weighted_vote(_seg(spark, d), ["sid"], "lang", _w())
 
 
 def e2_weighted_mean(spark, d):
-    return A.weighted_mean(_seg(spark, d), ["sid"], "q", W)
+    return A.weighted_mean(_seg(spark, d), ["sid"], "q", _w())
 
 
 def e3_energy_mean(spark, d):
-    return A.energy_mean(_seg(spark, d), ["sid"], F.col("q") * -10, W)
+    return A.energy_mean(_seg(spark, d), ["sid"], F.col("q") * -10, _w())
 
 
 def e4_posterior_mean(spark, d):
@@ -51,7 +53,7 @@ def e8_grouped_voices(spark, d):
 
 
 def e11_covering_languages(spark, d):
-    return A.covering_labels(_seg(spark, d), ["sid"], "lang", W)
+    return A.covering_labels(_seg(spark, d), ["sid"], "lang", _w())
 
 
 def e12_majority_language(spark, d):
@@ -131,7 +133,7 @@ def e28_tag_survival(spark, d):
 
 
 def c2_quality_marks(spark, d):
-    s, sec = _seg(spark, d), W / 1000
+    s, sec = _seg(spark, d), _w() / 1000
     floor = X.by_language(F.col("lang"), {"zh": 3.0, "en": 3.0}, 2.4)
     reason = F.when(sec < 0.5, "duration_too_short").when(sec > 30, "duration_too_long").when(F.col("q").isNull(), "missing_quality").when(F.col("q") < floor, "low_quality")
     return s.select("idx", reason.alias("reason"))
@@ -192,7 +194,7 @@ def g1_numeric_order(spark, d):
 
 
 def g3_top_voices(spark, d):
-    v = _seg(spark, d).where("spk is not null").groupBy("sid", F.col("spk").alias("label")).agg(F.sum(W).alias("score"))
+    v = _seg(spark, d).where("spk is not null").groupBy("sid", F.col("spk").alias("label")).agg(F.sum(_w()).alias("score"))
     g = v.groupBy("sid").agg(F.collect_list(F.struct("label", "score")).alias("v"))
     return g.select("sid", F.array_join(F.transform(X.top_labels(F.col("v")), lambda x: x["label"]), "|").alias("top"))
 
