@@ -91,7 +91,7 @@ def e13_window_metrics(spark, d):
 
 _METRICS = _WIN + _TURN + """cnt as (select sid, win, spk, count(*) as n, sum(turn_end - turn_start) as span from turn group by all),
 rk as (select *, row_number() over (partition by sid, win order by n desc) as r from cnt),
-tt as (select sid, win, sum(n) as turns, count(*) as speakers, sum(span) as span, max(case when r = 2 then n end) as second from rk group by sid, win),
+tt as (select sid, win, cast(sum(n) as bigint) as turns, count(*) as speakers, sum(span) as span, max(case when r = 2 then n end) as second from rk group by sid, win),
 sp as (select sid, win, max(e) as win_end, count(*) as n_seg, sum(case when q is not null then q * (e - s) end) as qw, sum(case when q is not null then e - s end) as w from n group by sid, win),
 pe as (select *, max(e) over (partition by sid, spk order by s, idx rows between unbounded preceding and 1 preceding) as pm from n),
 isl as (select *, sum(case when pm is null or s > pm then 1 else 0 end) over (partition by sid, spk order by s, idx rows unbounded preceding) as g from pe),

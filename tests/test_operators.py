@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from phonoloom.functions import scalars as X
 from phonoloom.operators import folds as A
 from phonoloom.operators import joins as J
-from phonoloom.operators import ordered, periods, sequences, timelines
+from phonoloom.operators import ordered, periods, records, sequences, timelines, verdicts
 
 SEG = "sid string, idx long, s long, e long, spk string, q double, lang string, txt string"
 
@@ -289,3 +289,46 @@ def test_empty_inputs(spark):
 def test_vote_ties_and_zero_weights(spark):
     df = spark.createDataFrame([("r", "a", 2), ("r", "b", 2), ("r", None, 9), ("r", "", 9), ("z", "a", 0)], "sid string, lab string, w long")
     assert {r.sid: (r.label, r.share) for r in A.weighted_vote(df, ["sid"], "lab", F.col("w")).collect()} == {"r": ("b", 0.5), "z": ("a", None)}
+
+
+def test_speaker_cuts_as_loop(spark):
+    rng = random.Random(12)
+    rows = []
+    at = 0
+    for i in range(400):
+        at += rng.choice([0, 200, 1500, 2900, 3000, 9000, 2_000_000])
+        rows.append((rng.choice(["hot", "hot", "b"]), i, at, at + rng.choice([100, 400, 3000, 14_000, 29_000, 70_300]), rng.choice(["A", "A", "B"])))
+    got = sorted((r.sid, r.spk, r.unit_start, r.unit_end, r.n) for r in records.speaker_cuts(spark.createDataFrame(rows, "sid string, idx long, s long, e long, spk string")).collect())
+    want = []
+    for rs in by_sid([(r[0], r[1], r[2], r[3], r[4]) for r in rows]).values():
+        out = []
+        for sid, _, s, e, spk in rs:
+            if out and out[-1][1] == spk and e - s <= 30_000 and s - out[-1][3] < 3000 and e - out[-1][2] <= 30_000:
+                out[-1][3] = max(out[-1][3], e)
+                out[-1][4] += 1
+            else:
+                out += [[sid, spk, x, min(x + 30_000, e), 1] for x in range(s, e, 30_000)]
+        want += [tuple(u) for u in out if u[3] - u[2] >= 500]
+    assert got == sorted(want)
+
+
+def test_records_fail_closed(spark):
+    spans = spark.createDataFrame([("r", 0, 5, "A", "old"), ("r", 5, 9, "A", "old")], "sid string, s long, e long, spk string, tag string")
+    dec = "sid string, s long, e long, spk string, verdict string, tag string"
+    got = records.synced_spans(spans, spark.createDataFrame([("r", 0, 5, "A", "drop", None), ("r", 9, 12, "B", "replace", "new"), ("r", 20, 22, "B", "keep", None)], dec)).collect()
+    assert sorted((r.s, r.tag) for r in got) == [(5, "old"), (9, "new")]
+    with pytest.raises(ValueError):
+        records.synced_spans(spans, spark.createDataFrame([("r", 0, 5, "A", "drop", None), ("r", 0, 5, "A", "keep", None)], dec))
+    index = spark.createDataFrame([("a", 1), ("b", None)], "id string, at long")
+    one = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id string")
+    assert records.strict_selection(one("a"), index, "id", ["at"]).count() == 1
+    for bad in (one("a", "a"), one("b"), one("c")):
+        with pytest.raises(ValueError):
+            records.strict_selection(bad, index, "id", ["at"])
+
+
+def test_repeats():
+    assert verdicts.most_repeats(None) == verdicts.most_repeats("a b c") == 1
+    assert verdicts.most_repeats("a b c d e f " * 4) == 4 and verdicts.most_repeats("abcdefghij" * 3) == 3
+    assert verdicts.repeated_share(["w"] * 17) == 0.0 and verdicts.repeated_share(["a", "b", "c", "d"] * 6) == 1.0
+    assert verdicts.repeated_share([str(i) for i in range(40)]) == 0.0
