@@ -121,11 +121,16 @@ def long_chunks(segs: DataFrame, max_gap_ms: int = 2000) -> DataFrame:
     return g.select("sid", "spk", F.col("chunk.s").alias("chunk_start"), "chunk_end", "n_seg", F.round("mq", 4).alias("mean_q"))
 
 
-def label_runs(segs: DataFrame, label: str, max_gap_ms: int = 10_000) -> DataFrame:
-    """F8. Run-length encoding of a label (null is a label): a run ends at a change or a gap to the previous row's end above the limit."""
+def with_runs(segs: DataFrame, label: str, max_gap_ms: int = 10_000) -> DataFrame:
+    """Adds ``run``, the (s, idx) of the first row of the run of equal ``label`` (null is a label) without a gap to the previous row's end above the limit."""
     d = carry_previous(hourly(segs), ["sid"], "hour", ORDER, [label, "e"])
     opens = ~F.col("has_prev") | ~F.col(f"prev_{label}").eqNullSafe(F.col(label)) | (F.col("s") - F.col("prev_e") > max_gap_ms)
-    d = carry_last(d.withColumn("opens", F.when(opens, F.struct("s", "idx"))), ["sid"], "hour", ORDER, "opens", "run")
+    return carry_last(d.withColumn("opens", F.when(opens, F.struct("s", "idx"))), ["sid"], "hour", ORDER, "opens", "run").drop("opens")
+
+
+def label_runs(segs: DataFrame, label: str, max_gap_ms: int = 10_000) -> DataFrame:
+    """F8. Run-length encoding of a label: sid, label, run_start, run_end, n_seg, speech_ms."""
+    d = with_runs(segs, label, max_gap_ms)
     g = d.groupBy("sid", "run").agg(F.first(label).alias("label"), F.max_by("e", F.struct(*ORDER)).alias("run_end"), F.count(F.lit(1)).alias("n_seg"), F.sum(F.col("e") - F.col("s")).alias("speech_ms"))
     return g.select("sid", "label", F.col("run.s").alias("run_start"), "run_end", "n_seg", "speech_ms")
 

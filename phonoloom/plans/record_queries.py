@@ -72,8 +72,43 @@ def i27_fallbacks(spark, d):
     return nv.select("id", F.coalesce("parent_id", "rec").alias("parent"), F.coalesce("turn", F.lit("S1")).alias("turn"))
 
 
+def e7_file_record(spark, d):
+    from ..functions import scalars as X
+    from ..operators import folds as A
+
+    s, w = views.segments(spark, d), F.col("e") - F.col("s")
+    base = s.groupBy("sid").agg(F.count(F.lit(1)).alias("n_segments"), F.sum(w).alias("speech_ms"), F.max("e").alias("file_ms"), F.countDistinct("lang").alias("n_languages"))
+    vote = A.weighted_vote(s, ["sid"], "lang", w).select("sid", F.col("label").alias("lang"), F.col("share").alias("lang_share"))
+    mean = A.weighted_mean(s, ["sid"], "q", w).withColumnRenamed("mean", "q")
+    r = base.join(vote, "sid", "left").join(mean, "sid").withColumn("speech_share", F.round(F.col("speech_ms") / F.col("file_ms"), 3))
+    return r.withColumn("level", X.bucket(F.col("q"), (2.4, 3.2), ("noisy", "fair", "clear")))
+
+
+def e22_span_vote(spark, d):
+    s, w = views.segments(spark, d).select("sid", "idx", "s", "e", "lang", "spk", "q"), F.col("e") - F.col("s")
+    runs = S.with_runs(s, "lang").where("q >= 2.5 and spk is not null")
+    per = runs.groupBy("sid", "run", "spk").agg(F.sum(w).alias("w"), F.sum(F.col("q") * w).alias("qw"))
+    g = per.groupBy("sid", "run").agg(F.max(F.struct("w", "spk")).alias("x"), F.sum("w").alias("all"), F.sum("qw").alias("qw"))
+    return g.select("sid", F.col("run.s").alias("run_start"), F.col("x.spk").alias("voice"), F.round(F.col("x.w") / F.col("all"), 6).alias("support"), F.round(F.col("qw") / F.col("all"), 4).alias("confidence"))
+
+
+def e23_span_rate(spark, d):
+    from ..functions import scalars as X
+
+    s = views.segments(spark, d).select("sid", "idx", "s", "e", "lang", F.coalesce(X.char_count(F.col("txt")), F.lit(0)).alias("chars"))
+    g = S.with_runs(s, "lang").groupBy("sid", "run").agg(F.first("lang").alias("lang"), F.sum("chars").alias("chars"), F.sum(F.col("e") - F.col("s")).alias("ms"))
+    rate = F.col("chars") * 1000 / F.col("ms")
+    return g.select("sid", F.col("run.s").alias("run_start"), "lang", F.round(rate, 3).alias("cps"), X.bucket(rate, (4.0, 12.0), ("slow", "measured", "fast")).alias("pace"))
+
+
+_RUNS = "p as (select *, lag(e) over w as pe, lag(lang) over w as pl, lag(idx) over w as pi from seg window w as (partition by sid order by s, idx)), rn as (select *, sum(case when pi is null or pl is distinct from lang or s - pe > 10000 then 1 else 0 end) over (partition by sid order by s, idx rows unbounded preceding) as run from p), rs as (select *, min(s) over (partition by sid, run) as run_start from rn)"
 _WIN = "f as (select *, max(e) over (partition by sid order by s, idx rows between unbounded preceding and 1 preceding) as far from seg), o as (select *, max(case when far is null or s - far > 6000 then s end) over (partition by sid order by s, idx rows unbounded preceding) as win from f)"
 ORACLES = {
+    "e7_file_record": sql("""also p as (select sid, lang, sum(e - s) as w from seg where lang is not null and lang <> '' group by all), v as (select sid, arg_max(lang, (w, lang)) as lang, round(max(w) / sum(w), 6) as lang_share from p group by sid),
+        b as (select sid, count(*) as n_segments, cast(sum(e - s) as bigint) as speech_ms, max(e) as file_ms, count(distinct lang) as n_languages, round(sum(q * (e - s)) / nullif(sum(case when q is not null then e - s end), 0), 6) as q from seg group by sid)
+        select b.sid, n_segments, speech_ms, file_ms, n_languages, v.lang, lang_share, q, round(speech_ms / file_ms, 3) as speech_share, case when q is null then null when q < 2.4 then 'noisy' when q > 3.2 then 'clear' else 'fair' end as level from b left join v on v.sid = b.sid""", "seg"),
+    "e22_span_vote": sql("also " + _RUNS + ", k as (select sid, run, run_start, spk, sum(e - s) as w, sum(q * (e - s)) as qw from rs where q >= 2.5 and spk is not null group by all) select sid, run_start, arg_max(spk, (w, spk)) as voice, round(max(w) / sum(w), 6) as support, round(sum(qw) / sum(w), 4) as confidence from k group by sid, run, run_start", "seg"),
+    "e23_span_rate": sql("also " + _RUNS + ", g as (select sid, run_start, any_value(lang) as lang, sum(length(regexp_replace(coalesce(txt, ''), '[\\s\\p{P}\\p{Z}]', '', 'g'))) * 1000 / sum(e - s) as r from rs group by sid, run, run_start) select sid, run_start, lang, round(r, 3) as cps, case when r < 4 then 'slow' when r > 12 then 'fast' else 'measured' end as pace from g", "seg"),
     "c15_collapsed": sql("select id, case when len(nv_tags) > 0 and length(regexp_replace(nv_text, '\\[[^\\]]*\\]|\\s', '', 'g')) < 30 then (select string_agg(t, ',' order by p) from (select t, min(p) as p from (select unnest(nv_tags) as t, generate_subscripts(nv_tags, 1) as p) group by t)) end as collapsed from nv where nv_tags is not null and nv_text is not null", "nv"),
     "c16_sung": sql("also h as (select id, nv_tags, list_sort(list_filter(['Breathing', 'Sigh'], lambda x: list_contains(nv_tags, x))) as h from nv where nv_tags is not null) select id, case when list_contains(nv_tags, 'Humming') and len(h) > 0 then 'singing(' || h[1] || ')' end as rejected from h", "nv"),
     "c18_dropped_tags": sql("also k as (select id, nv_tags, case when list_contains(nv_tags, 'Humming') then [] else list_filter(nv_tags, lambda t: t <> 'Cough') end as k from nv) select id, array_to_string(k, ',') as tags, len(nv_tags) - len(k) as dropped from k", "nv"),
@@ -90,4 +125,4 @@ ORACLES = {
     "i27_fallbacks": sql("select id, coalesce(parent_id, rec) as parent, coalesce(turn, 'S1') as turn from nv", "nv"),
 }
 
-QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "cdfgi" and k[1:2].isdigit()}
+QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "cdefgi" and k[1:2].isdigit()}
