@@ -12,6 +12,7 @@ from ..operators import verdicts as V
 from ..sources import views
 from ..sources.tables import table
 from ..sources.views import sql
+from . import sequence_queries
 
 
 def _seg(spark, d):
@@ -172,7 +173,7 @@ def i12_language_names(spark, d):
 
 def i22_keyword_score(spark, d):
     t = table(spark, d, "documents").where("text is not null")
-    score = sum((F.col("text").rlike(rf"(?i)(?<![a-z]){w}(?![a-z])").cast("int") for w in ("bridge", "market", "river")), F.lit(0))
+    score = sum((F.lower("text").rlike(rf"(^|[^a-z]){w}([^a-z]|$)").cast("int") for w in ("bridge", "market", "river")), F.lit(0))
     return t.select("doc_id", score.alias("score"))
 
 
@@ -196,6 +197,8 @@ _STATUS = "st as (select seg.*, case when f.ok then 'reuse' when f.ok is not nul
 _WIN = "f as (select *, max(e) over (partition by sid order by s, idx rows between unbounded preceding and 1 preceding) as far from {0}), o as (select *, max(case when far is null or s - far > 6000 then s end) over (partition by sid order by s, idx rows unbounded preceding) as win from f)"
 _CH = "length(regexp_replace(coalesce({}, ''), '[\\s\\p{{P}}\\p{{Z}}]', '', 'g'))"
 ORACLES = {
+    "c24_chunk_gates": "select sid, chunk_start, case when (chunk_end - chunk_start) / 1000.0 < 30 then 'too_short' when coalesce(mean_q, 0.0) < 2.4 then 'low_quality' else 'kept' end as reason from (" + sequence_queries.ORACLES["f4_long_chunks"] + ")",
+    "i22_keyword_score": "select doc_id, " + " + ".join(f"cast(regexp_matches(lower(text), '(^|[^a-z]){w}([^a-z]|$)') as integer)" for w in ("bridge", "market", "river")) + " as score from documents where text is not null",
     "c14_posterior_gate": "with p as (select vec_id, list_transform(embedding, lambda x: abs(cast(x as double))) as p from embeddings), q as (select vec_id, p, list_max(p) as b, list_sum(p) as t from p) select vec_id, case when b / t >= 0.05 then list_position(p, b) end as label, round(b / t, 4) as confidence from q",
     "c21_reuse_status": sql("also " + _STATUS + " select idx, status from st", "seg", "fac"),
     "c22_untranscribable": sql("also " + _STATUS + ", g as (select sid, cast(sum(case when status = 'reuse' then e - s else 0 end) as bigint) as reuse, cast(sum(case when status = 'skip' then e - s else 0 end) as bigint) as skip, cast(sum(case when status = 'fill' then e - s else 0 end) as bigint) as fill from st group by sid) select *, case when reuse / (reuse + skip + fill) < 0.05 and skip > fill then 1 else 0 end as hopeless from g", "seg", "fac"),
