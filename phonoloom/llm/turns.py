@@ -211,17 +211,39 @@ _SEED_LINES = [
 ]
 
 
-def tag(tagger: Tagger, text: str | None, lang: str | None) -> tuple[str | None, str]:
-    """(speaker the text opens with, the words left as speech). Null and blank texts give (None, "")."""
+def _named(o: int, raw: str) -> str | None:
+    """The speaker a label token names."""
+    if o in (NUMBER_LABEL, NUMBER_BRACKET, NAME_BRACKET):
+        raw = re.sub(r"\s+[-–—]\s*$|[:：]\s*$", "", raw).strip("[]<>")
+    return speaker_key(raw)
+
+
+def has_words(text: str, toks: list[tuple[int, int, int]], states: list[int]) -> bool:
+    """Whether any token tagged as speech holds a letter or digit."""
+    return any(st == SPEECH and (o == WORD or any(c.isalnum() for c in text[s:e])) for (o, s, e), st in zip(toks, states))
+
+
+def tag(tagger: Tagger, text: str | None, lang: str | None, clean_text: bool = True) -> tuple[str | None, str]:
+    """(speaker the text opens with, the words left as speech). Null and blank texts give (None, "").
+
+    Without ``clean_text`` the words are only told from none, as "x" and "".
+    """
     if not text or text.isspace():
         return None, ""
     toks = tokens(text)
     states = tagger.decode(observed(toks, text, lang))
     who, opening, keep, cut = None, True, [], 0
+    if not clean_text:
+        for (o, s, e), st in zip(toks, states):
+            if st == SPEAKER:
+                who = _named(o, text[s:e])
+                break
+            if st == SPEECH and o != SIGN:
+                break
+        return who, "x" if has_words(text, toks, states) else ""
     for (o, s, e), st in zip(toks, states):
         if st == SPEAKER and opening and who is None:
-            raw = text[s:e]
-            who = speaker_key(re.sub(r"\s+[-–—]\s*$|[:：]\s*$", "", raw).strip("[]<>") if o in (NUMBER_LABEL, NUMBER_BRACKET, NAME_BRACKET) else raw)
+            who = _named(o, text[s:e])
         if st != SPEECH:
             keep.append(text[cut:s])
             cut = e
@@ -238,13 +260,16 @@ def fit_tagger(segments: DataFrame, train_rows: int = 2000) -> Tagger:
     return Tagger.fit([observed(tokens(r.text), r.text, r.language) for r in rows])
 
 
-def tagged_segments(segments: DataFrame, tagger: Tagger) -> DataFrame:
-    """seg_id, sid, ms, ``named`` (by label or text), ``words``: one row per input row, redelivered ones included."""
+def tagged_segments(segments: DataFrame, tagger: Tagger, clean_text: bool = True) -> DataFrame:
+    """seg_id, sid, ms, ``named`` (by label or text), ``words``: one row per input row, redelivered ones included.
+
+    Without ``clean_text`` the words come as "x" where there are any, which turns need no more than.
+    """
     schema = "seg_id long, sid string, ms long, named string, words string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = [tag(tagger, t, g) for t, g in zip(b["text"], b["language"])]
+            got = [tag(tagger, t, g, clean_text) for t, g in zip(b["text"], b["language"])]
             by_label = [speaker_key(x) for x in b["speaker"]]
             yield pd.DataFrame({"seg_id": b["seg_id"], "sid": b["sid"], "ms": b["ms"], "named": [a or w for a, (w, _) in zip(by_label, got)], "words": [w for _, w in got]})
 
