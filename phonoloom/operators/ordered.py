@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from .lineage import settle
+
 
 def millis(seconds: Column) -> Column:
     """Seconds as whole milliseconds; null for null, NaN and infinite values."""
@@ -41,6 +43,21 @@ def bucketed_rank(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence
     return ranked.withColumn(out, F.col("__rn") + F.col("__off")).drop("__rn", "__off", b)
 
 
+def ranged_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """Adds ``out``: the 1-based rank of every row of ``keys`` in ``order``, of any type and with as many ties as there are.
+
+    Rows are parted by ranges of (keys, order), so a hot key or value spreads over tasks; a rank is the row number inside
+    the range plus the rows of the key in earlier ranges, of which one count per range crosses. ``order`` should end in a unique column.
+    """
+    keys = list(keys)
+    # settled: the number of a range must not change between the counts and the rows
+    part = settle(df.repartitionByRange(*keys, *order).withColumn("__p", F.spark_partition_id()))
+    before = W.partitionBy(*keys).orderBy("__p").rowsBetween(W.unboundedPreceding, -1)
+    offsets = part.groupBy(*keys, "__p").agg(F.count(F.lit(1)).alias("__n")).select(*keys, "__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = W.partitionBy(*keys, "__p").orderBy(*order)
+    return part.withColumn("__rn", F.row_number().over(inside)).join(offsets, [*keys, "__p"]).withColumn(out, F.col("__rn") + F.col("__off")).drop("__rn", "__off", "__p")
+
+
 def carry_last(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str, out: str) -> DataFrame:
     """Adds ``out``: the last non-null ``value`` at or before the row, across bucket borders.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as X
 from ..operators import folds as A
 from ..operators import joins as J
+from ..operators.ordered import ranged_rank
 from ..sources import views
 from ..sources.tables import table
 from ..sources.views import sql
@@ -193,6 +194,11 @@ def g1_numeric_order(spark, d):
     return J.ranked_within(s, ["sid"], [F.asc("key"), F.asc("idx")], 5).select("sid", "idx", "rank")
 
 
+def g1_full_order(spark, d):
+    s = _seg(spark, d).select("sid", "idx", F.coalesce("q", F.lit(float("inf"))).alias("key"))
+    return ranged_rank(s, ["sid"], [F.asc("key"), F.asc("idx")], "rank").select("sid", "idx", "rank")
+
+
 def g3_top_voices(spark, d):
     v = _seg(spark, d).where("spk is not null").groupBy("sid", F.col("spk").alias("label")).agg(F.sum(_w()).alias("score"))
     g = v.groupBy("sid").agg(F.collect_list(F.struct("label", "score")).alias("v"))
@@ -310,6 +316,7 @@ ORACLES = {
     "c20_iqr_acceptance": sql("also " + _RATED + ", x as (select *, sec / chars as r from rr where chars > 0), b as (select quantile_cont(r, 0.25) as q1, quantile_cont(r, 0.75) as q3 from x) select idx from x, b where sec >= 2 and sec <= 30 and q >= 2.8 and chars >= 2 and r >= q1 - 1.5 * (q3 - q1) and r <= q3 + 1.5 * (q3 - q1)", "seg"),
     "c32_pattern_scan": "select doc_id from documents where regexp_matches(text, '\\b[0-9]{1,2} ?[ap]\\. ?m\\.') or regexp_matches(text, 'https?://')",
     "g1_numeric_order": sql("also r as (select sid, idx, row_number() over (partition by sid order by coalesce(q, 'infinity'::double), idx) as rank from seg) select * from r where rank <= 5", "seg"),
+    "g1_full_order": sql("select sid, idx, row_number() over (partition by sid order by coalesce(q, 'infinity'::double), idx) as rank from seg", "seg"),
     "g3_top_voices": sql("also p as (select sid, spk, sum(e - s) as w from seg where spk is not null group by all), r as (select *, row_number() over (partition by sid order by w desc, spk) as r from p) select sid, string_agg(spk, '|' order by r) as top from r where r <= 3 group by sid", "seg"),
     "g5_budget_stop": sql("also t as (select source_tar, cast(sum(cast(round((rel_end - rel_start) * 1000) as bigint)) as bigint) as ms from man where source_tar is not null and rel_end > rel_start group by 1), c as (select *, cast(coalesce(sum(ms) over (order by source_tar rows between unbounded preceding and 1 preceding), 0) as bigint) as before from t) select source_tar, ms, before from c where before < 900000", "man"),
     "i1_char_count": "select doc_id, length(regexp_replace(text, '[\\s\\p{P}\\p{Z}]', '', 'g')) as chars from documents",

@@ -9,6 +9,7 @@ from ..operators import folds as A
 from ..operators import sequences as S
 from ..operators import timelines as T
 from ..operators import verdicts as V
+from ..operators.ordered import ranged_rank
 from ..sources import views
 from ..sources.tables import table
 from ..sources.views import sql
@@ -143,6 +144,13 @@ def g2_locality(spark, d):
     return ranked_within(m.select("source_tar", "id", "rel_start"), ["source_tar"], [F.asc_nulls_last("rel_start"), F.asc("id")], 3).select("source_tar", "id", "rank")
 
 
+def g2_full_locality(spark, d):
+    m = views.manifest(spark, d).where("source_tar is not null")
+    # no table has byte offsets: the name of the member, by which archives are written, stands for its offset
+    order = [F.asc_nulls_last("source_member"), F.asc_nulls_last("rel_start"), F.asc("id")]
+    return ranged_rank(m.select("source_tar", "source_member", "rel_start", "id"), ["source_tar"], order, "rank").select("source_tar", "id", "rank")
+
+
 def h1_concat(spark, d):
     a = views.manifest(spark, d).select("id", F.col("txt").alias("text"))
     b = views.nv_rows(spark, d).select("id", F.col("nv_text").alias("text"), "turn")
@@ -221,6 +229,7 @@ ORACLES = {
     "f19_stitched": sql("""also v as (select * from nv where turn is not null and nv_text is not null and trim(nv_text) <> ''), l as (select *, lag(turn) over w as pt from v window w as (partition by rec order by rel_start, turn, nv_text, id))
         select rec as id, string_agg(case when pt = turn then nv_text else '[' || turn || '] ' || nv_text end, ' ' order by rel_start, turn, nv_text, id) as transcript from l group by rec""", "nv"),
     "g2_locality": sql("also r as (select source_tar, id, row_number() over (partition by source_tar order by rel_start nulls last, id) as rank from man where source_tar is not null) select * from r where rank <= 3", "man"),
+    "g2_full_locality": sql("select source_tar, id, row_number() over (partition by source_tar order by source_member nulls last, rel_start nulls last, id) as rank from man where source_tar is not null", "man"),
     "h1_concat": sql("select id, txt as text, null as turn from man union all select id, nv_text, turn from nv", "man", "nv"),
     "h8_coverage": sql("select cast(('0x' || substr(md5(id), 32, 1)) as bigint) % 4 as shard, count(*) as n from man where id is not null group by 1", "man"),
     "i2_ngram_repeat": sql("""also w as (select fact_id, list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda x: x <> '') as w, list_filter(string_split(regexp_replace(coalesce(text, ''), '\\s+', '', 'g'), ''), lambda x: x <> '') as c from fac),

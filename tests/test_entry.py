@@ -33,3 +33,17 @@ def test_query_against_sql(spark, name):
     assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
     for c in got.select_dtypes("number").columns:
         assert got[c].sum() == pytest.approx(want[c].sum())
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
+@pytest.mark.parametrize("name", ["g1_full_order", "g2_full_locality"])
+def test_whole_orders_against_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    got = entry.queries()[name](spark, SMALL).toPandas()
+    con = duckdb.connect()
+    for f in os.listdir(SMALL):
+        con.sql(f"create view {f[:-8]} as select * from '{SMALL}/{f}'")
+    want = con.sql(entry.oracle_sql()[name]).df()
+    cols = sorted(want.columns)
+    assert sorted(got.columns) == cols
+    assert sorted(map(tuple, got[cols].astype(str).values)) == sorted(map(tuple, want[cols].astype(str).values))

@@ -332,3 +332,14 @@ def test_repeats():
     assert verdicts.most_repeats("a b c d e f " * 4) == 4 and verdicts.most_repeats("abcdefghij" * 3) == 3
     assert verdicts.repeated_share(["w"] * 17) == 0.0 and verdicts.repeated_share(["a", "b", "c", "d"] * 6) == 1.0
     assert verdicts.repeated_share([str(i) for i in range(40)]) == 0.0
+
+
+def test_every_row_has_its_rank(spark):
+    rng = random.Random(9)
+    rows = [("hot" if rng.random() < 0.8 else "b", i, rng.choice([1.0, 1.0, 2.5, float("inf")])) for i in range(400)] + [("c", 400, None)]
+    got = ordered.ranged_rank(spark.createDataFrame(rows, "sid string, idx long, key double").repartition(7), ["sid"], [F.asc_nulls_last("key"), F.asc("idx")], "rank").collect()
+    assert len(got) == len(rows)
+    for sid in ("hot", "b", "c"):
+        want = [i for _, i, _ in sorted((r for r in rows if r[0] == sid), key=lambda r: (r[2] is None, r[2] or 0, r[1]))]
+        assert [r.idx for r in sorted((r for r in got if r.sid == sid), key=lambda r: r["rank"])] == want
+        assert sorted(r["rank"] for r in got if r.sid == sid) == list(range(1, len(want) + 1))
