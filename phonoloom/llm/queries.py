@@ -25,6 +25,11 @@ def p1_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.speaker_turns(turns.tagged_segments(s, turns.fit_tagger(s), clean_text=False), with_times=True)
 
 
+def p1_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "segments")
+    return turns.speaker_turns(turns.tagged_segments(s, turns.fit_tagger(s)), with_times=True, with_text=True)
+
+
 def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     def texts(name: str, key: str, label: str, source) -> DataFrame:
         return table(spark, sf_dir, name).select(F.lit(name).alias("tbl"), F.col(key).cast("string").alias("row_key"), "text", F.col(label).alias("label"), source.alias("source"))

@@ -223,6 +223,17 @@ def has_words(text: str, toks: list[tuple[int, int, int]], states: list[int]) ->
     return any(st == SPEECH and (o == WORD or any(c.isalnum() for c in text[s:e])) for (o, s, e), st in zip(toks, states))
 
 
+def opening_speaker(text: str, toks: list[tuple[int, int, int]], states: list[int]) -> str | None:
+    """The speaker named first before the first word; labels that name nobody are passed over."""
+    for (o, s, e), st in zip(toks, states):
+        if st == SPEAKER:
+            if who := _named(o, text[s:e]):
+                return who
+        elif st == SPEECH and o != SIGN:
+            break
+    return None
+
+
 def tag(tagger: Tagger, text: str | None, lang: str | None, clean_text: bool = True) -> tuple[str | None, str]:
     """(speaker the text opens with, the words left as speech). Null and blank texts give (None, "").
 
@@ -232,23 +243,14 @@ def tag(tagger: Tagger, text: str | None, lang: str | None, clean_text: bool = T
         return None, ""
     toks = tokens(text)
     states = tagger.decode(observed(toks, text, lang))
-    who, opening, keep, cut = None, True, [], 0
+    who = opening_speaker(text, toks, states)
     if not clean_text:
-        for (o, s, e), st in zip(toks, states):
-            if st == SPEAKER:
-                who = _named(o, text[s:e])
-                break
-            if st == SPEECH and o != SIGN:
-                break
         return who, "x" if has_words(text, toks, states) else ""
-    for (o, s, e), st in zip(toks, states):
-        if st == SPEAKER and opening and who is None:
-            who = _named(o, text[s:e])
+    keep, cut = [], 0
+    for (_, s, e), st in zip(toks, states):
         if st != SPEECH:
             keep.append(text[cut:s])
             cut = e
-        elif o != SIGN:
-            opening = False
     keep.append(text[cut:])
     clean = re.sub(r"\s+(?=[,.;!?，、。])", "", " ".join(" ".join(keep).split()))
     return who, clean.strip(" ,、，;；:：-–—") if any(c.isalnum() for c in clean) else ""
@@ -261,33 +263,38 @@ def fit_tagger(segments: DataFrame, train_rows: int = 2000) -> Tagger:
 
 
 def tagged_segments(segments: DataFrame, tagger: Tagger, clean_text: bool = True) -> DataFrame:
-    """seg_id, sid, ms, ``named`` (by label or text), ``words``: one row per input row, redelivered ones included.
+    """seg_id, sid, ms, end_ms, ``named`` (by label or text), ``words``: one row per input row, redelivered ones included.
 
     Without ``clean_text`` the words come as "x" where there are any, which turns need no more than.
     """
-    schema = "seg_id long, sid string, ms long, named string, words string"
+    schema = "seg_id long, sid string, ms long, end_ms long, named string, words string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [tag(tagger, t, g, clean_text) for t, g in zip(b["text"], b["language"])]
             by_label = [speaker_key(x) for x in b["speaker"]]
-            yield pd.DataFrame({"seg_id": b["seg_id"], "sid": b["sid"], "ms": b["ms"], "named": [a or w for a, (w, _) in zip(by_label, got)], "words": [w for _, w in got]})
+            yield pd.DataFrame({"seg_id": b["seg_id"], "sid": b["sid"], "ms": b["ms"], "end_ms": b["end_ms"].astype("Int64"), "named": [a or w for a, (w, _) in zip(by_label, got)], "words": [w for _, w in got]})
 
-    cols = segments.select("seg_id", "sid", millis(F.col("start_s")).alias("ms"), "speaker", "text", "language")
+    cols = segments.select("seg_id", "sid", millis(F.col("start_s")).alias("ms"), millis(F.col("end_s")).alias("end_ms"), "speaker", "text", "language")
     return cols.where("sid is not null and ms is not null and seg_id is not null").mapInPandas(run, schema)
 
 
-def speaker_turns(tags: DataFrame, with_times: bool = False, hour_ms: int = 3_600_000) -> DataFrame:
+def speaker_turns(tags: DataFrame, with_times: bool = False, hour_ms: int = 3_600_000, with_text: bool = False) -> DataFrame:
     """Turns of tagged segments: sid, speaker, first_seg, last_seg, n_segments (and start_ms, last_start_ms).
 
+    ``with_text`` adds end_ms, the latest end of a segment that doesn't end before its start (null where
+    there is none), and text, the words of its segments in order; ``tags`` must carry the clean text then.
+
     Redelivered segments count once; a segment nobody is named for takes the speaker of the segment
     before; segments without words are left out, then equal neighbours join. Segments before the first
     known speaker form no turn. Ties of time go by seg_id. Empty input, empty output.
     """
-    t = tags.select("sid", "ms", "seg_id", "named", (F.length("words") > 0).alias("spoken"), bucket_of(F.col("ms"), hour_ms).alias("hour"))
+    more = [F.when(F.col("end_ms") >= F.col("ms"), F.col("end_ms")).alias("end_ms"), F.col("words").alias("text")] if with_text else []
+    t = tags.select("sid", "ms", "seg_id", "named", (F.length("words") > 0).alias("spoken"), bucket_of(F.col("ms"), hour_ms).alias("hour"), *more)
     # the tagger runs once; the passes over the order read its narrow result
     t = settle(t.repartition("sid", "hour").dropDuplicates(["sid", "hour", "ms", "seg_id"]))
     t = carry_last(t, ["sid"], "hour", ["ms", "seg_id"], "named", "speaker").where("spoken and speaker is not null").drop("named")
-    out = runs(t, ["sid"], "hour", ["ms", "seg_id"], "speaker", ["seg_id", "ms"] if with_times else ["seg_id"])
+    extra = {"top": ["end_ms"], "joined": ["text"]} if with_text else {}
+    out = runs(t, ["sid"], "hour", ["ms", "seg_id"], "speaker", ["seg_id", "ms"] if with_times else ["seg_id"], **extra)
     times = [F.col("first_ms").alias("start_ms"), F.col("last_ms").alias("last_start_ms")] if with_times else []
-    return out.select("sid", "speaker", F.col("first_seg_id").alias("first_seg"), F.col("last_seg_id").alias("last_seg"), F.col("n_rows").alias("n_segments"), *times)
+    return out.select("sid", "speaker", F.col("first_seg_id").alias("first_seg"), F.col("last_seg_id").alias("last_seg"), F.col("n_rows").alias("n_segments"), *times, *(["end_ms", "text"] if with_text else []))

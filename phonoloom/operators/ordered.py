@@ -74,17 +74,23 @@ def carry_last(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[
     return local.join(carried, [*keys, bucket]).withColumn(out, F.coalesce("__local", "__carried")).drop("__local", "__carried")
 
 
-def runs(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str, first: Sequence[str]) -> DataFrame:
+def runs(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str, first: Sequence[str], top: Sequence[str] = (), joined: Sequence[str] = ()) -> DataFrame:
     """Longest runs of equal ``value`` (null-safe) in ``order`` per ``keys``, across bucket borders.
 
     Returns keys, ``value``, ``n_rows`` and, for each column c of ``first``, ``first_c`` and
-    ``last_c``. Inner runs of a bucket are final as they are; only the first and the last run of a
+    ``last_c``; the greatest of each column of ``top``; and each string column of ``joined`` in
+    ``order``, parted by a space, nulls left out (a run's text is one value, however long). Inner runs of a bucket are final as they are; only the first and the last run of a
     bucket (at most two rows) take part in the second pass over the entity.
     """
     keys = list(keys)
     inside = W.partitionBy(*keys, bucket).orderBy(*order)
     new = (~F.col(value).eqNullSafe(F.lag(value).over(inside))) | F.lag(F.lit(1)).over(inside).isNull()
     pos = F.struct(*[F.col(c) for c in order])
+
+    def strung(c: str, *by: str) -> Column:
+        held = F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct(*by, F.col(c).alias("__text")))))
+        return F.array_join(F.transform(held, lambda x: x["__text"]), " ")
+
     part = (
         df.withColumn("__new", new.cast("int"))
         .withColumn("__run", F.sum("__new").over(inside.rowsBetween(W.unboundedPreceding, 0)))
@@ -93,11 +99,12 @@ def runs(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
             F.first(value).alias(value), F.count(F.lit(1)).alias("n_rows"),
             *[F.min_by(c, pos).alias(f"first_{c}") for c in first],
             *[F.max_by(c, pos).alias(f"last_{c}") for c in first],
+            *[F.max(c).alias(c) for c in top], *[strung(c, *order).alias(c) for c in joined],
         )
     )
     last = F.max("__run").over(W.partitionBy(*keys, bucket))
     part = part.withColumn("__edge", (F.col("__run") == 1) | (F.col("__run") == last))
-    cols = [*keys, value, "n_rows", *[f"first_{c}" for c in first], *[f"last_{c}" for c in first]]
+    cols = [*keys, value, "n_rows", *[f"first_{c}" for c in first], *[f"last_{c}" for c in first], *top, *joined]
     inner = part.where(~F.col("__edge")).select(*cols)
     over = W.partitionBy(*keys).orderBy(bucket, "__run")
     same = F.col(value).eqNullSafe(F.lag(value).over(over)) & (F.lag(bucket).over(over) < F.col(bucket))
@@ -111,6 +118,7 @@ def runs(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
             F.first(value).alias(value), F.sum("n_rows").alias("n_rows"),
             *[F.min_by(f"first_{c}", at).alias(f"first_{c}") for c in first],
             *[F.max_by(f"last_{c}", at).alias(f"last_{c}") for c in first],
+            *[F.max(c).alias(c) for c in top], *[strung(c, bucket, "__run").alias(c) for c in joined],
         )
     )
     return inner.unionByName(joined.select(*cols))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from phonoloom.llm import groups, labels, language, mixing, packing, pieces, repetition, sentences, tokens, turns
+from phonoloom.llm import groups, labels, language, mixing, packing, pieces, queries, repetition, sentences, tokens, turns
 from phonoloom.llm.speakers import is_person, speaker_key
 
 SEG = "seg_id long, sid string, seg_index string, start_s double, end_s double, speaker string, text string, language string, dnsmos double, ingested_at timestamp"
@@ -102,6 +102,26 @@ def test_turns_across_hours(spark):
     assert turns.speaker_turns(turns.tagged_segments(none, turns.fit_tagger(none)), with_times=True).count() == 0
 
 
+def test_both_branches_pass_over_labels_that_name_nobody():
+    t = turns.Tagger.fit([])
+    for text, who in (("[Host] Speaker 2: we saw it.", "S2"), ("[Interviewer] Speaker 3: hi there", "S3"), ("[Host] we saw it.", None), ("We saw it. Speaker 2: yes", None)):
+        assert turns.tag(t, text, "en")[0] == turns.tag(t, text, "en", clean_text=False)[0] == who
+
+
+def test_turns_with_text(spark):
+    rows = [
+        (1, "r", 0.0, 2.0, "spk 1", "S1: Uh, we saw it.", "en"), (2, "r", 3000.0, 3001.5, None, "[00:12] It was red.", "en"), (3, "r", 3599.0, 3590.0, None, "[music]", "en"),
+        (4, "r", 3700.0, None, "spk 1", "And then gone.", "en"), (5, "r", 3701.0, 3702.0, "Ann Lee", "Really?", "en"), (6, "r", 7300.0, 7200.0, "Ann Lee", "Yes.", "en"),
+        (2, "r", 3000.0, 3001.5, None, "[00:12] It was red.", "en"),
+    ]
+    df = clashing(seg_rows(spark, rows))
+    got = turns.speaker_turns(turns.tagged_segments(df, turns.fit_tagger(df)), with_times=True, with_text=True).orderBy("start_ms").collect()
+    assert [(r.speaker, r.first_seg, r.last_seg, r.n_segments, r.start_ms, r.last_start_ms, r.end_ms) for r in got] == [
+        ("S1", 1, 4, 3, 0, 3_700_000, 3_001_500), ("ann lee", 5, 6, 2, 3_701_000, 7_300_000, 3_702_000)]
+    assert [r.text for r in got] == ["we saw it. It was red. And then gone.", "Really? Yes."]
+    assert "p1_turns" in queries.queries()
+
+
 # p2
 
 
