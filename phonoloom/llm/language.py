@@ -6,7 +6,8 @@ rank is from the profile's, n-grams outside the profile being furthest. In a str
 nearly all n-grams occur once and tie for the first rank, so the distance of a stretch is the sum
 of its words' distances, and each distinct word is measured once per worker. Texts are cut into
 stretches of a few words at marks, line breaks and changes of script; one language, or the pair of
-languages that together explain the stretches best, is chosen from the sums.
+languages that together explain the stretches best, is chosen from the sums; further languages join
+a pair by the same evidence, and the stretches are then parted among the chosen ones.
 """
 
 from __future__ import annotations
@@ -95,12 +96,16 @@ class Profiles:
         return np.array(self.rows) if self.rows else np.zeros((0, len(CODES) + 1))
 
 
-def stretches(text: str) -> tuple[list[str], list[int], list[int]]:
-    """Words of a text, the number of the stretch each lies in, and the script of each stretch."""
+def stretches(text: str, spans: list[list[int]] | None = None) -> tuple[list[str], list[int], list[int]]:
+    """Words of a text, the number of the stretch each lies in, and the script of each stretch.
+
+    ``spans`` takes the start and end of each stretch in the text.
+    """
+    # blanks of equal length, so that offsets stay those of the text
     if any(c in text for c in "[(<{【（*:：>-"):
-        text = _NOISE.sub(" \n ", text)
+        text = _NOISE.sub(lambda m: "\n" + " " * (len(m[0]) - 1), text)
     if "อ" in text:
-        text = _THAI_SOUNDS.sub(" ", text)
+        text = _THAI_SOUNDS.sub(lambda m: " " * len(m[0]), text)
     words, number, scripts = [], [], []
     n, held, script, before = -1, 0, 0, ""
     for m in _TOKENS.finditer(text):
@@ -112,6 +117,10 @@ def stretches(text: str) -> tuple[list[str], list[int], list[int]]:
         if g != script or held == STRETCH * (3 if g in (3, 5) else 1):
             n, held, script = n + 1, 0, g
             scripts.append(g)
+            if spans is not None:
+                spans.append([m.start(), m.end()])
+        elif spans is not None:
+            spans[-1][1] = m.end()
         w = m[0]
         if w == before:  # a false start
             continue
@@ -123,21 +132,30 @@ def stretches(text: str) -> tuple[list[str], list[int], list[int]]:
 
 
 def languages(profiles: Profiles, texts: Iterable[str | None]) -> list[list[tuple[str, float]]]:
-    """Per text its one or two languages with a confidence, the stronger first; [] without words."""
+    """Per text its languages with a confidence, the stronger of the first two first; [] without words."""
+    return [found for found, _ in spoken(profiles, texts)]
+
+
+def spoken(profiles: Profiles, texts: Iterable[str | None]) -> list[tuple[list[tuple[str, float]], list[tuple[int, int, str, float]]]]:
+    """Per text its languages as ``languages`` gives them, and its parts (start, end, language, confidence).
+
+    A part is a run of neighbouring stretches of one language, from its first word to its last; every
+    word lies in one. Parts begin and end at stretches, so to within six words without a mark between.
+    """
     texts = list(texts)
     if len(profiles.rows) > 400_000:
         profiles._forget()
-    ids, seg, doc, scr, base = [], [], [], [], 0
+    ids, seg, doc, scr, spans, base = [], [], [], [], [], 0
     for d, t in enumerate(texts):
         if not t or t.isspace():
             continue
-        words, number, scripts = stretches(t)
+        words, number, scripts = stretches(t, spans)
         ids += [profiles.id_of(w) for w in words]
         seg += [base + k for k in number]
         doc += [d] * len(scripts)
         scr += scripts
         base += len(scripts)
-    out: list[list[tuple[str, float]]] = [[] for _ in texts]
+    out: list[tuple[list, list]] = [([], []) for _ in texts]
     if not ids:
         return out
     ids, seg, doc, scr = np.array(ids), np.array(seg), np.array(doc), np.array(scr)
@@ -149,10 +167,10 @@ def languages(profiles: Profiles, texts: Iterable[str | None]) -> list[list[tupl
         rows = profiles.table()[ids[real]]
         starts = np.flatnonzero(np.diff(seg[real], prepend=-1))
         sums[seg[real][starts]] = np.add.reduceat(rows, starts, axis=0)
-    return _choose(out, sums, held, doc, scr)
+    return _choose(out, sums, held, doc, scr, spans)
 
 
-def _choose(out: list, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr: np.ndarray) -> list:
+def _choose(out: list, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr: np.ndarray, spans: list) -> list:
     k = len(CODES)
     dist, n = sums[:, :k], np.maximum(sums[:, k], 1)
     # a Latin stretch of one or two words beside another script is a name, and no stretch of its own
@@ -173,10 +191,11 @@ def _choose(out: list, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr:
     pair = per_pair.argmin(1)
     ends = np.append(starts[1:], len(pos))
     second = np.partition(total, 1, axis=1)[:, 1]
+    first, last = np.searchsorted(doc, d[starts]), np.searchsorted(doc, d[starts], "right")
     for j, (s, e) in enumerate(zip(starts, ends)):
         t, b = d[s], best[j]
         sure = float(np.clip((second[j] - total[j, b]) / weight[j] * 8, 0, 1))
-        found = [(CODES[b], sure)]
+        found, chosen = [(CODES[b], sure)], [b]
         x, y = PAIRS[pair[j]]
         if e - s > 1:
             edge = dd[s:e, x] - dd[s:e, y]  # above 0: nearer to y
@@ -184,7 +203,13 @@ def _choose(out: list, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr:
             if min(mine[0], yours[0]) > 0:
                 a, c = (x, y) if np.minimum(edge, 0).sum() + np.maximum(edge, 0).sum() <= 0 else (y, x)
                 found = [(CODES[a], float(np.clip(max(mine[1], yours[1]), 0, 1))), (CODES[c], float(np.clip(min(mine[1], yours[1]), 0, 1)))]
-        out[t] = found
+                chosen = _further([a, c], found, dd[s:e], nn[s:e], sol[s:e])
+        lo, hi = first[j], last[j]
+        if len(chosen) == 1:
+            parts = [(spans[lo][0], spans[hi - 1][1], CODES[b], sure)]
+        else:
+            parts = _parts(chosen, dd[s:e], nn[s:e], pos[s:e], spans, lo, hi)
+        out[t] = (found, parts)
     return out
 
 
@@ -192,6 +217,51 @@ def _choose(out: list, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr:
 MIX_GAIN, MIX_MEAN = 7.5, 0.055
 
 
+def _further(chosen: list[int], found: list, dist: np.ndarray, n: np.ndarray, solid: np.ndarray) -> list[int]:
+    """Lets further languages join the chosen ones while each of all then speaks clearly somewhere, the best first."""
+    while True:
+        low, best = dist[:, chosen].min(1), None
+        gain = np.clip(low[:, None] - dist, 0, None).sum(0)
+        for x in np.flatnonzero(gain >= MIX_GAIN).tolist():
+            good, mean = _part(low - dist[:, x], n, solid)
+            if good and all(_part(dist[:, [z for z in (*chosen, x) if z != y]].min(1) - dist[:, y], n, solid)[0] for y in chosen):
+                if best is None or gain[x] > best[0]:
+                    best = (gain[x], x, mean)
+        if best is None:
+            return chosen
+        chosen = [*chosen, best[1]]
+        found.append((CODES[best[1]], float(np.clip(best[2], 0, 1))))
+
+
+def _parts(chosen: list[int], dist: np.ndarray, n: np.ndarray, pos: np.ndarray, spans: list, lo: int, hi: int) -> list[tuple[int, int, str, float]]:
+    """Parts of a text in several languages: the cheapest path over its stretches, where a change costs half of MIX_GAIN.
+
+    A run inside another language must so gain MIX_GAIN, as in ``_part``, and every chosen language has a
+    part. Stretches without evidence go with the one before, the first ones with the one after.
+    """
+    cost, links = dist[0, chosen].tolist(), []
+    for row in dist[1:, chosen].tolist():
+        at = min(range(len(cost)), key=cost.__getitem__)
+        turn = cost[at] + MIX_GAIN / 2
+        links.append([i if c <= turn else at for i, c in enumerate(cost)])
+        cost = [min(c, turn) + r for c, r in zip(cost, row)]
+    path = [min(range(len(cost)), key=cost.__getitem__)]
+    for back in reversed(links):
+        path.append(back[path[-1]])
+    path.reverse()
+    out, begin = [], 0
+    for i in range(1, len(path) + 1):
+        if i == len(path) or path[i] != path[begin]:
+            own = chosen[path[begin]]
+            total = dist[begin:i].sum(0)
+            sure = (np.delete(total, own).min() - total[own]) / n[begin:i].sum() * 8
+            a = lo if begin == 0 else pos[begin]
+            z = hi if i == len(path) else pos[i]
+            out.append((spans[a][0], spans[z - 1][1], CODES[own], float(np.clip(sure, 0, 1))))
+            begin = i
+    return out
+
+
 def _part(edge: np.ndarray, n: np.ndarray, solid: np.ndarray) -> tuple[int, float]:
     """Whether some run of neighbouring stretches speaks clearly for a language: (number of such runs, best mean edge)."""
     good, mean = 0, 0.0
@@ -232,16 +302,18 @@ def fit_profiles(texts: DataFrame, train_rows: int = 12_000) -> Profiles:
 
 
 def identified(texts: DataFrame, profiles: Profiles) -> DataFrame:
-    """From (tbl, row_key, text, label): tbl, row_key, label_lang, lang, confidence, n_langs; a row per language, each key once.
+    """From (tbl, row_key, text, label): tbl, row_key, label_lang, start_char, end_char, lang, confidence, n_langs; a row per part.
 
-    Null, blank and wordless texts give no row; a text has one language, or the two it mixes.
+    Null, blank and wordless texts give no row; a text in one language is one part, one that mixes
+    languages has a part for each run of stretches of one. Offsets are code points, the end exclusive;
+    n_langs counts the text's languages. Repeated rows repeat.
     """
-    schema = "tbl string, row_key string, label_lang string, lang string, confidence double, n_langs int"
+    schema = "tbl string, row_key string, label_lang string, start_char int, end_char int, lang string, confidence double, n_langs int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = languages(profiles, b["text"])
-            rows = [(t, k, label_code(g), lang, sure, len(f)) for t, k, g, f in zip(b["tbl"], b["row_key"], b["label"], found) for lang, sure in f]
+            found = spoken(profiles, b["text"])
+            rows = [(t, k, label_code(g), *part, len(f)) for t, k, g, (f, parts) in zip(b["tbl"], b["row_key"], b["label"], found) for part in parts]
             if rows:
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
@@ -249,5 +321,5 @@ def identified(texts: DataFrame, profiles: Profiles) -> DataFrame:
 
 
 def mislabelled(found: DataFrame) -> DataFrame:
-    """tbl, row_key, lang: one-language rows whose label does not mean it, and both languages of mixed rows; each once."""
-    return found.where("n_langs = 2 or label_lang is null or label_lang <> lang").select("tbl", "row_key", "lang").distinct()
+    """tbl, row_key, lang: one-language rows whose label does not mean it, and all languages of mixed rows; each once."""
+    return found.where("n_langs > 1 or label_lang is null or label_lang <> lang").select("tbl", "row_key", "lang").distinct()

@@ -45,7 +45,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetitive(p2_shares(spark, sf_dir)).select("tbl", "row_key")
 
 
-def p3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _language_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def texts(name: str, key: str, text: str, label: str) -> DataFrame:
         return table(spark, sf_dir, name).select(F.lit(name).alias("tbl"), F.col(key).cast("string").alias("row_key"), F.col(text).alias("text"), F.col(label).alias("label"))
 
@@ -54,8 +54,12 @@ def p3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(segments.unionByName(texts("manifest", "id", "txt", "lang")).unionByName(texts("documents", "doc_id", "text", "lang")), profiles)
 
 
+def p3_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _language_parts(spark, sf_dir).distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.mislabelled(p3_languages(spark, sf_dir))
+    return language.mislabelled(_language_parts(spark, sf_dir))
 
 
 def _records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -207,6 +207,30 @@ def test_languages_single_and_mixed():
     assert [x for x, _ in language.languages(p, ["Boris Vangdra: " + SAMPLES["ru"] + " Anna Krevlisk."])[0]] == ["ru"]
 
 
+def test_parts_of_mixed_texts():
+    p, S = profiles(), SAMPLES
+    for langs in (("en", "de", "en"), ("en", "ru", "ja"), ("de", "hi", "de", "ko"), ("en", "fr", "es"), ("ru", "uk", "ru")):
+        text = "[S1] " + ". ".join(S[g] for g in langs)
+        found, parts = language.spoken(p, [text])[0]
+        assert {g for g, _ in found} == set(langs) and len(found) == len(set(langs))
+        assert [g for _, _, g, _ in parts] == list(langs) and all(0 <= c <= 1 for *_, c in parts)
+        at = 5
+        for g, (s, e, _, _) in zip(langs, parts):
+            # parts begin and end at words, marks between them lie in none
+            assert abs(s - at) <= 2 and abs(e - (at + len(S[g]))) <= 2
+            at += len(S[g]) + 2
+    assert [x[1] for x in language.spoken(p, [None, " ", "...", S["ko"]])[:3]] == [[], [], []]
+    assert [(s, e, g) for s, e, g, _ in language.spoken(p, [S["ko"]])[0][1]] == [(0, len(S["ko"]), "ko")]
+
+
+def test_identified_gives_a_row_per_part(spark):
+    text = ". ".join(SAMPLES[g] for g in ("en", "hi", "en"))
+    df = spark.createDataFrame([("t", "1", text, "en")], "tbl string, row_key string, text string, label string")
+    got = language.identified(df, profiles()).orderBy("start_char").collect()
+    assert [(r.lang, r.n_langs) for r in got] == [("en", 2), ("hi", 2), ("en", 2)] and all(r.start_char < r.end_char for r in got)
+    assert sorted(r.lang for r in language.mislabelled(language.identified(df, profiles())).collect()) == ["en", "hi"]
+
+
 def test_label_codes():
     assert [labels.label_code(x) for x in (None, "", "und", "EN", "en_GB", "zh-Hans", "cmn", "Portuguese", "pt-BR", "es_419", "??", "zxx")] == [None, None, None, "en", "en", "zh", "zh", "pt", "pt", "es", None, None]
 
