@@ -89,9 +89,31 @@ def rendezvous(key: Column, weights: Mapping[str, float], seed: int = 0) -> Colu
     return F.array_max(F.array(*scored)).getField("name")
 
 
+#: Parts of the splits where none are given.
+WEIGHTS = {"train": 0.8, "validation": 0.1, "test": 0.1}
+
+
 def splits(records: DataFrame, recordings: DataFrame, segments: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """(id, group_id, split): whole groups go to train, validation or test in the given proportions."""
-    return groups(records, recordings, segments).withColumn("split", rendezvous(F.col("group_id"), weights or {"train": 0.8, "validation": 0.1, "test": 0.1}))
+    return groups(records, recordings, segments).withColumn("split", rendezvous(F.col("group_id"), weights or WEIGHTS))
+
+
+def reached(placed: DataFrame, nv_placed: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
+    """(split, target, n_groups, n_records, record_share, n_nv_rows, nv_share): what each split was to get and got.
+
+    A split that got nothing has a row of zeros; nv rows without a record are the row whose split is null.
+    """
+    weights = weights or WEIGHTS
+    total = float(sum(weights.values()))
+    rec = placed.groupBy("split").agg(F.countDistinct("group_id").alias("n_groups"), F.count(F.lit(1)).alias("n_records"))
+    nv = nv_placed.groupBy("split").agg(F.count(F.lit(1)).alias("n_nv_rows"))
+    wanted = placed.sparkSession.createDataFrame([(k, w / total) for k, w in weights.items()], "split string, target double")
+    # from here on a row per split
+    got = wanted.join(rec, "split", "left").unionByName(nv.where("split is null").select("split"), allowMissingColumns=True)
+    got = got.join(nv.withColumnRenamed("split", "__s"), F.col("split").eqNullSafe(F.col("__s")), "left").drop("__s").na.fill(0, ["n_groups", "n_records", "n_nv_rows"])
+    whole = got.agg(F.sum("n_records").alias("__r"), F.sum("n_nv_rows").alias("__n"))
+    share = lambda n, of: F.when(F.col(of) > 0, F.round(F.col(n) / F.col(of), 6))
+    return got.crossJoin(F.broadcast(whole)).select("split", "target", "n_groups", "n_records", share("n_records", "__r").alias("record_share"), "n_nv_rows", share("n_nv_rows", "__n").alias("nv_share"))
 
 
 def split_rows(nv_rows: DataFrame, placed: DataFrame) -> DataFrame:

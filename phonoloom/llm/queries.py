@@ -74,6 +74,15 @@ def p4_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.split_rows(table(spark, sf_dir, "nv_rows"), groups.splits(*_records(spark, sf_dir)))
 
 
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.splits(*_records(spark, sf_dir))
+
+
+def p4_proportions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = settle(groups.splits(*_records(spark, sf_dir)))
+    return groups.reached(placed, groups.split_rows(table(spark, sf_dir, "nv_rows"), placed))
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, overlap = pieces.limits(table(spark, sf_dir, "size_limits"), "segment")
     return pieces.cut_pieces(table(spark, sf_dir, "segments"), table(spark, sf_dir, "breaks"), round(size * 1000), round(overlap * 1000))

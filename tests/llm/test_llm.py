@@ -1,3 +1,4 @@
+import os
 import random
 from collections import defaultdict
 
@@ -284,6 +285,24 @@ def test_groups_and_splits(spark):
     assert groups.groups(records.limit(0), recordings, segments).count() == 0
 
 
+def test_proportions_reached(spark):
+    placed = spark.createDataFrame([("a", "a", "train"), ("b", "a", "train"), ("c", "c", "train"), ("d", "d", "test")], "id string, group_id string, split string")
+    nv = groups.split_rows(spark.createDataFrame([("a_D0",), ("a_D1",), ("d",), ("zz",)], "id string"), placed)
+    got = {r.split: tuple(r)[1:] for r in groups.reached(placed, nv).collect()}
+    assert got == {"train": (0.8, 2, 3, 0.75, 2, 0.5), "validation": (0.1, 0, 0, 0.0, 0, 0.0), "test": (0.1, 1, 1, 0.25, 1, 0.25), None: (None, 0, 0, 0.0, 1, 0.25)}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the given tables")
+def test_every_record_has_a_split(spark):
+    d = "/root/testdata/sf0.001"
+    ids = spark.read.parquet(f"{d}/dialogue_records.parquet").where("id is not null").select("id").distinct()
+    placed = queries.queries()["p4_records"](spark, d)
+    assert sorted(r.id for r in placed.where("split is not null").collect()) == sorted(r.id for r in ids.collect())
+    assert placed.groupBy("group_id").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
+    got = queries.queries()["p4_proportions"](spark, d).collect()
+    assert sum(r.n_records for r in got) == ids.count()
+
+
 def test_rendezvous_proportions(spark):
     w = {"train": 0.7, "validation": 0.2, "test": 0.1}
     n = {r.s: r["count"] for r in spark.range(20_000).select(groups.rendezvous(F.col("id").cast("string"), w).alias("s")).groupBy("s").count().collect()}
