@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as X
 
+_WORD = re.compile(r"[^\W_]+")
+
 
 def most_repeats(text: str | None) -> int:
     """I2. Most occurrences of a run of 6 words where there are 12 or more, else of 10 characters without white space where there are 30, else 1; null counts 1."""
@@ -35,7 +37,23 @@ def ngram_repeat(text: Column) -> Column:
 
 def repeated_share(words: Sequence[str], n: int = 4, seen: int = 5) -> float:
     """I3. Share of word positions in runs of ``n`` words that occur ``seen`` times or more; 0 below 18 words."""
-    if len(words) < 18:
+    return covered_share(words, n, seen) if len(words) >= 18 else 0.0
+
+
+def repeated_text_share(text: str | None) -> float:
+    """I3. ``repeated_share`` of a text's words; below 18 words, as in scripts without spaces, the share of letters and digits
+    in runs of 8 that occur 5 times or more, where there are 30 or more; else 0."""
+    low = (text or "").casefold()
+    words = _WORD.findall(low)
+    if len(words) >= 18:
+        return repeated_share(words)
+    chars = [c for c in low if c.isalnum()]
+    return covered_share(chars, 8, 5) if len(chars) >= 30 else 0.0
+
+
+def covered_share(words: Sequence[str], n: int, seen: int) -> float:
+    """Share of positions in runs of ``n`` units that occur ``seen`` times or more; 0 below 3 n units."""
+    if len(words) < 3 * n:
         return 0.0
     grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
     count, until, hit = Counter(grams), 0, 0
@@ -48,11 +66,10 @@ def repeated_share(words: Sequence[str], n: int = 4, seen: int = 5) -> float:
 
 def with_repeated_share(df: DataFrame, key: str, text: str) -> DataFrame:
     """I3. (key, share) of each row's text; null texts have 0."""
-    word = re.compile(r"[^\W_]+")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({key: b[key], "share": [round(repeated_share(word.findall((t or "").casefold())), 6) for t in b[text]]})
+            yield pd.DataFrame({key: b[key], "share": [round(repeated_text_share(t), 6) for t in b[text]]})
 
     return df.select(key, text).mapInPandas(run, f"`{key}` {df.schema[key].dataType.simpleString()}, share double")
 

@@ -343,3 +343,10 @@ def test_every_row_has_its_rank(spark):
         want = [i for _, i, _ in sorted((r for r in rows if r[0] == sid), key=lambda r: (r[2] is None, r[2] or 0, r[1]))]
         assert [r.idx for r in sorted((r for r in got if r.sid == sid), key=lambda r: r["rank"])] == want
         assert sorted(r["rank"] for r in got if r.sid == sid) == list(range(1, len(want) + 1))
+
+
+def test_repeated_share_of_texts_without_spaces(spark):
+    texts = ["我们今天去公园散步吧" * 8, "今日は、とても良い天気ですね。" * 8, "ฉันไปตลาดทุกวันเลย" * 8, "城里的人们在等火车因为它晚点了没有人知道为什么这已经是第三次了他们问发生了什么事", "短い" * 10, "a b c d " * 6, None]
+    got = {r.k: r.share for r in verdicts.with_repeated_share(spark.createDataFrame(list(enumerate(texts)), "k long, text string"), "k", "text").collect()}
+    assert got[0] == got[1] == 1.0 and got[2] >= 0.8 and got[5] == 1.0
+    assert got[3] == got[4] == got[6] == 0.0
