@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from .lineage import settle
 from .ordered import bucket_of, carry_last, carry_previous
 
 BIN = 60_000
@@ -83,6 +84,26 @@ def at_point(points: DataFrame, segs: DataFrame) -> DataFrame:
     return got.groupBy("sid", "p").agg(F.min_by("b", F.struct(F.col("be") - F.col("bs"), "b")).alias("idx"))
 
 
+def at_or_nearest(points: DataFrame, segs: DataFrame) -> DataFrame:
+    """D13. ``at_point`` for points inside a segment; any other point takes the segment with the nearest endpoint, the lowest idx
+    at ties: sid, p, idx, source (inside, nearest). Points of recordings without segments give no row.
+
+    Endpoints before and after are carried through hour buckets.
+    """
+    inside = settle(at_point(points, segs))
+    ends = segs.select("sid", F.explode(F.array("s", "e")).alias("t"), "idx").groupBy("sid", "t").agg(F.min("idx").alias("i"))
+    ends = ends.select("sid", "t", F.lit(None).cast(points.schema["p"].dataType).alias("p"), F.struct("t", "i").alias("end"))
+    gaps = points.join(inside, ["sid", "p"], "left_anti").select("sid", "t", "p", F.lit(None).cast(ends.schema["end"].dataType).alias("end"))
+    d = settle(ends.unionByName(gaps).withColumn("hour", bucket_of(F.col("t"), 3_600_000)))
+    before = carry_last(d, ["sid"], "hour", ["t"], "end", "before").where("p is not null").select("sid", "p", "t", "before")
+    d = d.withColumn("nt", -F.col("t")).withColumn("nhour", -F.col("hour"))
+    after = carry_last(d, ["sid"], "nhour", ["nt"], "end", "after").where("p is not null").select("sid", "p", "after")
+    d = before.join(after, ["sid", "p"]).where("before is not null or after is not null")
+    # nulls are left out by the least
+    near = F.least(*[F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col("t") - F.col(c)["t"]).alias("far"), F.col(c)["i"].alias("i"))) for c in ("before", "after")])
+    return inside.withColumn("source", F.lit("inside")).unionByName(d.select("sid", "p", near["i"].alias("idx"), F.lit("nearest").alias("source")))
+
+
 def merged(base: DataFrame, stage: DataFrame, key: str, partial: bool = True) -> DataFrame:
     """D1. Left 1:1 join of a stage's results onto its input; repeated keys on either side, results for unknown
     keys, or (unless ``partial``) missing results raise before any row is returned."""

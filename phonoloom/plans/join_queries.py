@@ -95,6 +95,11 @@ def d13_segment_at_point(spark, d):
     return J.at_point(p, _seg(spark, d))
 
 
+def d13_nearest_segment(spark, d):
+    p = views.breaks(spark, d).select("sid", "lo").distinct().select("sid", F.col("lo").alias("p"), F.col("lo").alias("t"))
+    return J.at_or_nearest(p, _seg(spark, d))
+
+
 def d14_frame_conflicts(spark, d):
     return J.conflicts(views.frames(spark, d))
 
@@ -191,6 +196,8 @@ ORACLES = {
         select idx, coalesce(lang, near) as label, case when lang is not null then 'own' when near is not null then 'nearest' end as source from x""", "seg"),
     "d13_segment_at_point": sql("""also p as (select distinct sid, lo as p from brk), j as (select p.sid, p.p, idx, row_number() over (partition by p.sid, p.p order by e - s, idx) as r from p join seg on seg.sid = p.sid and s <= p.p and e >= p.p)
         select sid, p, idx from j where r = 1""", "brk", "seg"),
+    "d13_nearest_segment": sql("""also p as (select distinct sid, lo as p from brk), j as (select p.sid, p.p, idx, s <= p.p and e >= p.p as hit, row_number() over (partition by p.sid, p.p order by s <= p.p and e >= p.p desc, case when s <= p.p and e >= p.p then e - s else least(abs(p.p - s), abs(p.p - e)) end, idx) as r from p join seg on seg.sid = p.sid)
+        select sid, p, idx, case when hit then 'inside' else 'nearest' end as source from j where r = 1""", "brk", "seg"),
     "d14_frame_conflicts": sql("""also p as (select a.sid, a.idx as a, b.idx as b, least(a.e, b.e) - greatest(a.s, b.s) as over_ms, a.e - a.s as da, b.e - b.s as db from frm a join frm b on a.sid = b.sid and a.s < b.e and b.s < a.e and (a.s, -a.e, a.idx) < (b.s, -b.e, b.idx))
         select sid, a, b, over_ms, case when over_ms > 2000 or over_ms > 0.4 * da then 1 else 0 end as drop_a, case when over_ms > 2000 or over_ms > 0.4 * db then 1 else 0 end as drop_b from p""", "frm"),
     "d15_broken_gaps": sql("""also g as (select *, lag(e) over (partition by sid order by s, idx) as pe from seg)

@@ -36,7 +36,7 @@ def test_query_against_sql(spark, name):
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the given tables")
-@pytest.mark.parametrize("name", ["g1_full_order", "g2_full_locality"])
+@pytest.mark.parametrize("name", ["g1_full_order", "g2_full_locality", "d13_nearest_segment"])
 def test_whole_orders_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     got = entry.queries()[name](spark, SMALL).toPandas()

@@ -350,3 +350,17 @@ def test_repeated_share_of_texts_without_spaces(spark):
     got = {r.k: r.share for r in verdicts.with_repeated_share(spark.createDataFrame(list(enumerate(texts)), "k long, text string"), "k", "text").collect()}
     assert got[0] == got[1] == 1.0 and got[2] >= 0.8 and got[5] == 1.0
     assert got[3] == got[4] == got[6] == 0.0
+
+
+def test_points_in_gaps_take_the_nearest_segment(spark):
+    rng = random.Random(5)
+    segs = [("r" if i % 3 else "h", i, s, s + rng.choice([400, 5000, 60_000])) for i, s in enumerate(rng.sample(range(0, 40_000_000, 500), 50))]
+    pts = [(sid, t, t) for sid in ("r", "h", "none") for t in range(-5_000_000, 50_000_000, 777_750)]
+    got = J.at_or_nearest(spark.createDataFrame(pts, "sid string, p long, t long"), spark.createDataFrame(segs, "sid string, idx long, s long, e long")).collect()
+    want = {}
+    for sid, p, t in pts:
+        of = [x for x in segs if x[0] == sid]
+        held = [(e - s, i) for _, i, s, e in of if s <= t <= e]
+        if of:
+            want[sid, p] = (min(held)[1], "inside") if held else (min((min(abs(t - s), abs(t - e)), i) for _, i, s, e in of)[1], "nearest")
+    assert len(got) == len(want) and {(r.sid, r.p): (r.idx, r.source) for r in got} == want and {x for _, x in want.values()} >= {"nearest"}
