@@ -45,6 +45,12 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetitive(p2_shares(spark, sf_dir)).select("tbl", "row_key")
 
 
+def p2_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every rejected text, whatever its share
+    far = repetition.outliers(p2_shares(spark, sf_dir))
+    return far.select("tbl", "row_key", "grp", F.round("d2", 4).alias("d2"), F.round("share", 6).alias("share"))
+
+
 def _language_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def texts(name: str, key: str, text: str, label: str) -> DataFrame:
         return table(spark, sf_dir, name).select(F.lit(name).alias("tbl"), F.col(key).cast("string").alias("row_key"), F.col(text).alias("text"), F.col(label).alias("label"))

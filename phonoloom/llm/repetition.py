@@ -1,18 +1,21 @@
 """P2: repetition inside a single text.
 
-Every text gets a vector of statistics; per (language, source) a minimum-covariance-determinant
-estimate of location and scatter is found by concentration steps over all rows, and vectors beyond
-the Mahalanobis cutoff on the repetitive side are rejected. The exact share decides among those.
+Every text gets a vector of statistics. Per (language, source) the minimum-covariance-determinant
+estimate of location and scatter is found, and vectors beyond its Mahalanobis cutoff on the
+repetitive side are rejected; the exact share is then checked among the rejected only. The estimate
+works on a sketch of all rows: vectors fall into the cells of a fixed grid, each with its number,
+sums and products, so that a group of any size is a table of bounded size with exact moments.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lineage import settle
@@ -21,11 +24,12 @@ from .labels import label_code
 WORDS, CHARS = 8, 20
 CHI2_3 = 9.348  # 0.975 quantile, three dimensions
 MIN_GROUP = 50
-# the clean side of any group: location of the share at most this, spread at most and at least these
-LOCATION_CAP, SPREAD_CAP, SPREAD_FLOOR = 0.1, 0.15, 0.03
+GRID = 32  # cells per unit of each statistic
+RIDGE = 0.03  # added spread of each statistic: half of a clean group is often constant
+# what clean text looks like where no group of enough clean texts tells: location, and spread of each statistic
+PRIOR, PRIOR_SPREAD = (0.0, 0.1, 0.9), 0.15
 _WORD = re.compile(r"[^\W_]+(?:[̀-ͯऀ-ःऺ-ॏ॑-ॗ]+[^\W_]*)*")
 _SPACELESS = re.compile("[฀-๿぀-ヿ㐀-䶿一-鿿豈-﫿]")
-DIMS = ("v1", "v2", "v3")
 
 
 def units(text: str) -> tuple[list[str], bool]:
@@ -101,69 +105,152 @@ def statistics(texts: DataFrame) -> DataFrame:
     return texts.where("row_key is not null and text is not null").mapInPandas(run, schema).dropDuplicates(["tbl", "row_key"])
 
 
-def _inverse(moments: DataFrame) -> DataFrame:
-    """Per group the location and the inverse scatter, kept within the bounds of a clean group."""
-    names = [f"i{a}{b}" for a in range(3) for b in range(a, 3)]
-    schema = "grp string, " + ", ".join(f"c{i} double" for i in range(3)) + ", " + ", ".join(f"{n} double" for n in names)
+def _chi2_3(x: float) -> float:
+    return math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for r in b.itertuples(index=False):
-                m = np.array([r.m1, r.m2, r.m3]) / r.n
-                cov = np.array([[r.m11, r.m12, r.m13], [r.m12, r.m22, r.m23], [r.m13, r.m23, r.m33]]) / r.n - np.outer(m, m)
-                cov = cov * 1.9 + np.eye(3) * SPREAD_FLOOR**2  # consistency of the half with the smallest distances
-                if r.n < MIN_GROUP / 2:
-                    m, cov = np.array([0.0, 0.0, 1.0]), np.eye(3) * SPREAD_CAP**2
-                m[0] = min(m[0], LOCATION_CAP)
-                f = np.array([min(1.0, SPREAD_CAP / np.sqrt(cov[0, 0])), 1.0, 1.0])
-                inv = np.linalg.inv(cov * np.outer(f, f))
-                rows.append((r.grp, *m, *(inv[a, c] for a in range(3) for c in range(a, 3))))
-            yield pd.DataFrame(rows, columns=["grp", "c0", "c1", "c2", *names])
-
-    return moments.mapInPandas(run, schema)
-
-
-def _distance(df: DataFrame) -> DataFrame:
-    d = [F.col(v) - F.col(f"c{i}") for i, v in enumerate(DIMS)]
-    total = F.lit(0.0)
-    for a in range(3):
-        for b in range(a, 3):
-            total = total + d[a] * d[b] * F.col(f"i{a}{b}") * (1 if a == b else 2)
-    return df.withColumn("d2", total)
-
-
-def outliers(stats: DataFrame, steps: int = 3) -> DataFrame:
-    """``stats`` with grp and d2, only the rejected rows: beyond the cutoff and more repetitive than the location.
-
-    Groups of fewer than 50 texts are pooled by language, then all together. Concentration steps start from medians; each keeps,
-    per group, the half with the smallest distances. Location and spread of the share stay within
-    stated bounds, so even in a group made of spam every share of a third or more lies beyond the cutoff:
-    (asin(sqrt(1/3)) - 0.1) / 0.15 squared exceeds it, and the full distance is never smaller.
+
+def _chi2_5(x: float) -> float:
+    return math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+
+
+def consistency(alpha: float) -> float:
+    """Factor that makes the scatter of the ``alpha`` nearest of normal vectors in three dimensions that of all."""
+    lo, hi = 0.0, 60.0
+    for _ in range(80):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if _chi2_3(mid) < alpha else (lo, mid)
+    return alpha / _chi2_5(lo) if alpha < 1 else 1.0
+
+
+def _far(x: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+    d = x - mean
+    return np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
+
+
+def mcd(n: np.ndarray, sums: np.ndarray, products: np.ndarray, starts: int = 30, finish: int = 5, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(location, scatter) of the minimum-covariance-determinant estimate of cells with numbers, sums and products of their rows.
+
+    Seeded starts of four drawn cells take two concentration steps each; the best go on until their
+    determinant stops falling, and the least determinant is kept. A step takes the half of the rows
+    nearest to the estimate, of the cell on its border the part needed. Then comes the reweighting:
+    moments of all rows within the cutoff. ``RIDGE`` squared stands on every diagonal.
+    """
+    total, centre, ridge = n.sum(), sums / n[:, None], np.eye(3) * RIDGE**2
+    half = min(total, float((int(total) + 4) // 2))
+
+    def moments(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the given part of each cell."""
+        w = part @ n
+        m = part @ sums / w
+        return m, np.tensordot(part, products, 1) / w - np.outer(m, m)
+
+    def step(m: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(_far(centre, m, cov), kind="stable")
+        upto = np.cumsum(n[order])
+        part = np.zeros(len(n))
+        part[order] = np.clip((half - (upto - n[order])) / n[order], 0, 1)
+        m, s = moments(part)
+        return m, s + ridge
+
+    rng, tried = np.random.default_rng(seed), []
+    for _ in range(starts):
+        x = centre[rng.choice(len(n), 4, p=n / total)]
+        est = x.mean(0), np.cov(x.T, bias=True) + ridge
+        for _ in range(2):
+            est = step(*est)
+        tried.append((np.linalg.slogdet(est[1])[1], est))
+    tried.sort(key=lambda t: t[0])
+    best = None
+    for det, est in tried[:finish]:
+        for _ in range(100):
+            new = step(*est)
+            now = np.linalg.slogdet(new[1])[1]
+            if now >= det - 1e-10:
+                break
+            det, est = now, new
+        if best is None or det < best[0]:
+            best = det, est
+    m, cov = best[1]
+    cov = (cov - ridge) * consistency(half / total) + ridge
+    near = (_far(centre, m, cov) <= CHI2_3).astype(float)
+    if near @ n >= half:
+        m, cov = moments(near)
+        cov = cov * consistency(0.975) + ridge
+    return m, cov
+
+
+_PAIRS = [(a, b) for a in range(3) for b in range(a, 3)]
+_ESTIMATE = [f"c{i}" for i in range(3)] + [f"i{a}{b}" for a, b in _PAIRS]
+
+
+def _row(m: np.ndarray, cov: np.ndarray) -> list[float]:
+    inv = np.linalg.inv(cov)
+    return [*map(float, m), *(float(inv[a, b]) for a, b in _PAIRS)]
+
+
+def _prior() -> tuple[np.ndarray, np.ndarray]:
+    return np.array(PRIOR), np.eye(3) * PRIOR_SPREAD**2
+
+
+def broken(m: np.ndarray, cov: np.ndarray) -> bool:
+    """Whether an estimate is made of repetition: more than half of its group is, so its centre or its spread of shares is none of clean text."""
+    p = _prior()
+    return bool((_far(m[None], *p)[0] > CHI2_3 and m[0] > p[0][0]) or cov[0, 0] > PRIOR_SPREAD**2 + RIDGE**2)
+
+
+def estimates(stats: DataFrame) -> DataFrame:
+    """lang, source, n, ok and the estimate: for every (language, source), for every source (null lang) and for all rows (both null).
+
+    Not ok are groups of fewer than 50 rows and those whose estimate is made of repetition.
+    """
+    sums = [F.sum(f"v{i + 1}").alias(f"s{i}") for i in range(3)] + [F.sum(F.col(f"v{a + 1}") * F.col(f"v{b + 1}")).alias(f"p{a}{b}") for a, b in _PAIRS]
+    cell = [F.floor(F.col(f"v{i + 1}") * GRID).cast("int").alias(f"q{i}") for i in range(3)]
+    cells = stats.groupBy("lang", "source", *cell).agg(F.count(F.lit(1)).alias("n"), *sums)
+    up = F.explode(F.array(F.struct("lang", "source"), F.struct(F.lit(None).cast("string").alias("lang"), "source"), F.struct(F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"))))
+    held = ["n", *(f"s{i}" for i in range(3)), *(f"p{a}{b}" for a, b in _PAIRS)]
+    levels = cells.withColumn("g", up).groupBy("g.lang", "g.source", "q0", "q1", "q2").agg(*[F.sum(c).alias(c) for c in held])
+
+    def run(b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values(["q0", "q1", "q2"])
+        n = b["n"].to_numpy(float)
+        ok, est = bool(n.sum() >= MIN_GROUP), _prior()
+        if ok:
+            products = np.empty((len(b), 3, 3))
+            for a, c in _PAIRS:
+                products[:, a, c] = products[:, c, a] = b[f"p{a}{c}"]
+            est = mcd(n, b[["s0", "s1", "s2"]].to_numpy(float), products)
+            ok = not broken(*est)
+        return pd.DataFrame([[b["lang"].iloc[0], b["source"].iloc[0], int(n.sum()), ok, *_row(*est)]], columns=["lang", "source", "n", "ok", *_ESTIMATE])
+
+    schema = "lang string, source string, n long, ok boolean, " + ", ".join(f"{c} double" for c in _ESTIMATE)
+    return levels.groupBy("lang", "source").applyInPandas(run, schema)
+
+
+def resolved(found: DataFrame) -> DataFrame:
+    """lang, source, grp and the estimate that holds for them: their own, else the source's, else that of all rows, else ``PRIOR``."""
+    top = found.where("lang is null and source is null and ok").first()  # one row
+    last = F.struct(F.lit("*" if top else "prior").alias("grp"), *[F.lit(float(v)).alias(c) for c, v in zip(_ESTIMATE, [top[c] for c in _ESTIMATE] if top else _row(*_prior()))])
+    own, src = found.where("lang is not null"), found.where("lang is null and source is not null and ok")
+    src = src.select("source", F.struct(F.concat(F.lit("*|"), "source").alias("grp"), *_ESTIMATE).alias("up"))
+    own = own.select("lang", "source", F.when(F.col("ok"), F.struct(F.concat_ws("|", "lang", "source").alias("grp"), *_ESTIMATE)).alias("own"))
+    return own.join(src, "source", "left").select("lang", "source", F.coalesce("own", "up", last).alias("e")).select("lang", "source", "e.*")
+
+
+def outliers(stats: DataFrame, most: int = 20_000) -> DataFrame:
+    """``stats`` with grp and d2, only the rejected rows: beyond the cutoff of the estimate that holds for them, and more repetitive than its location.
+
+    A group in which more than half of the texts repeat has no clean half; it takes the source's
+    estimate, that the one of all rows, and only where that is broken too ``PRIOR`` holds. Estimates are a
+    row per (language, source); they are counted first and broadcast up to ``most``, above it joined plainly.
     """
-    stats = settle(stats)  # every pass below reads the vectors, not the texts
-    sizes = stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-    small = F.col("n") < MIN_GROUP
-    pooled = F.sum(F.when(small, F.col("n"))).over(W.partitionBy("lang"))
-    names = sizes.select("lang", "source", F.when(~small, F.concat_ws("|", "lang", "source")).when(pooled >= MIN_GROUP, F.concat_ws("|", "lang", F.lit("*"))).otherwise("*").alias("grp"))
-    rows = settle(_with(stats, names, ["lang", "source"]))
-    mids = rows.groupBy("grp").agg(*[F.percentile_approx(v, 0.5, 1000).alias(f"c{i}") for i, v in enumerate(DIMS)])
-    unit = {f"i{a}{b}": F.lit(1.0 / SPREAD_CAP**2 if a == b else 0.0) for a in range(3) for b in range(a, 3)}
-    params = mids.withColumns(unit)
-    for _ in range(steps):
-        near = _distance(_with(rows, settle(params), ["grp"]))
-        half = near.groupBy("grp").agg(F.percentile_approx("d2", 0.5, 1000).alias("cut"))
-        kept = _with(near.select("grp", *DIMS, "d2"), half, ["grp"]).where("d2 <= cut")
-        sums = [F.sum(v).alias(f"m{i + 1}") for i, v in enumerate(DIMS)]
-        sums += [F.sum(F.col(DIMS[a]) * F.col(DIMS[b])).alias(f"m{a + 1}{b + 1}") for a in range(3) for b in range(a, 3)]
-        params = _inverse(kept.groupBy("grp").agg(F.count(F.lit(1)).cast("double").alias("n"), *sums))
-    far = _distance(_with(rows, settle(params), ["grp"]))
-    return far.where((F.col("d2") > CHI2_3) & (F.col("v1") > F.col("c0"))).select(*rows.columns, "d2")
-
-
-def _with(rows: DataFrame, groups: DataFrame, on: list[str], most: int = 20_000) -> DataFrame:
-    """Joins one row per group; broadcast only after its size was counted."""
-    return rows.join(F.broadcast(groups) if groups.count() <= most else groups, on)
+    stats = settle(stats)  # the vectors are read twice, the texts once
+    found = settle(estimates(stats))
+    few = found.count() <= most
+    known = resolved(found)
+    d = [F.col(f"v{i + 1}") - F.col(f"c{i}") for i in range(3)]
+    d2 = sum((d[a] * d[b] * F.col(f"i{a}{b}") * (1 if a == b else 2) for a, b in _PAIRS), F.lit(0.0))
+    far = stats.join(F.broadcast(known) if few else known, ["lang", "source"]).withColumn("d2", d2)
+    return far.where((F.col("d2") > CHI2_3) & (F.col("v1") > F.col("c0"))).select(*stats.columns, "grp", "d2")
 
 
 def repetitive(stats: DataFrame, least: float = 1 / 3) -> DataFrame:

@@ -163,6 +163,65 @@ def test_outliers_lose_no_repetitive_text(spark, spam):
     assert got == sorted({r[1] for r in rows if r[1] and r[2] and brute_share(r[2]) >= 1 / 3})
 
 
+def cells_of(x, grid=repetition.GRID):
+    import pandas as pd
+
+    cell = pd.factorize(pd.Series(map(tuple, np.floor(x * grid).astype(int))))[0]
+    n = np.bincount(cell).astype(float)
+    sums = np.stack([np.bincount(cell, x[:, i]) for i in range(3)], 1)
+    products = np.stack([[np.bincount(cell, x[:, i] * x[:, j]) for i in range(3)] for j in range(3)]).transpose(2, 0, 1)
+    return n, sums, products
+
+
+def test_least_determinant_as_every_subset():
+    from itertools import combinations
+
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal((0.2, 0.3, 0.7), 0.05, (8, 3)), rng.normal((0.9, 1.0, 0.3), 0.02, (5, 3))])
+    n, sums, products = cells_of(x, 10_000)  # every row its own cell
+    half = (len(x) + 4) // 2
+    ridge = np.eye(3) * repetition.RIDGE**2
+    best = min((np.linalg.slogdet(np.cov(x[list(c)].T, bias=True) + ridge)[1], c) for c in combinations(range(len(x)), half))
+    want = x[list(best[1])]
+    m, cov = want.mean(0), np.cov(want.T, bias=True) * repetition.consistency(half / len(x)) + ridge
+    near = x[repetition._far(x, m, cov) <= repetition.CHI2_3]
+    m, cov = near.mean(0), np.cov(near.T, bias=True) * repetition.consistency(0.975) + ridge
+    got = repetition.mcd(n, sums, products)
+    np.testing.assert_allclose(got[0], m, atol=1e-9)
+    np.testing.assert_allclose(got[1], cov, atol=1e-9)
+
+
+@pytest.mark.parametrize("spam", [0.0, 0.2, 0.45])
+def test_estimate_ignores_spam(spam):
+    rng = np.random.default_rng(4)
+    clean = np.clip(rng.normal((0.1, 0.2, 0.9), (0.04, 0.06, 0.03), (2000, 3)), 0, 1)
+    bad = rng.normal((1.0, 1.05, 0.5), 0.05, (int(2000 * spam / (1 - spam)), 3))
+    m, cov = repetition.mcd(*cells_of(np.vstack([clean, bad])))
+    np.testing.assert_allclose(m, clean.mean(0), atol=0.02)
+    assert np.all(np.sqrt(np.diag(cov)) < 0.1) and not repetition.broken(m, cov)
+    assert (repetition._far(bad, m, cov) > repetition.CHI2_3).all()
+
+
+def test_rejection_is_by_group(spark):
+    # one vector, in a group where it is usual, in one where it is not, in one made of repetition, and in one too small
+    def row(k, source, v):
+        return ("t", str(k), "en", source, float(np.sin(v[0]) ** 2), *map(float, v))
+
+    rng = np.random.default_rng(6)
+    usual = rng.normal((0.3, 0.4, 0.8), (0.13, 0.13, 0.05), (600, 3))
+    clean = np.clip(rng.normal((0.02, 0.1, 0.9), (0.02, 0.05, 0.05), (900, 3)), 0, 1)
+    spam = rng.normal((1.1, 1.1, 0.5), 0.03, (200, 3))
+    rows = [row(i, s, v) for i, (s, v) in enumerate([("usual", v) for v in usual] + [("clean", v) for v in clean] + [("spam", v) for v in spam])]
+    probe = (0.62, 0.6, 0.78)
+    rows += [row(f"probe_{s}", s, probe) for s in ("usual", "clean", "spam", "small")]
+    df = spark.createDataFrame(rows, "tbl string, row_key string, lang string, source string, share double, v1 double, v2 double, v3 double")
+    got = {r.row_key: r.grp for r in repetition.outliers(df).collect()}
+    assert {k for k in got if k.startswith("probe")} == {"probe_clean", "probe_spam", "probe_small"}  # the estimate decides, not the share
+    assert got["probe_clean"] == "en|clean" and got["probe_spam"] == "*" and got["probe_small"] == "*"
+    assert sum(r[3] == "spam" and r[1] in got for r in rows) == 201
+    assert repetition.repetitive(df).where("row_key like 'probe%'").count() == 3
+
+
 def test_no_texts_no_outliers(spark):
     none = spark.createDataFrame([], "tbl string, row_key string, text string, label string, source string")
     assert repetition.repetitive(repetition.statistics(none)).count() == 0
