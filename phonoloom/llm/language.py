@@ -1,18 +1,19 @@
 """P3: the language of texts, and of each part of a text that mixes languages, by rank-order profiles.
 
-A language profile ranks the n-grams (one to four letters, words padded) of its training texts. The
-out-of-place distance of a text to a profile is the sum over the text's n-grams of how far their
-rank is from the profile's, n-grams outside the profile being furthest. In a stretch of a few words
-nearly all n-grams occur once and tie for the first rank, so the distance of a stretch is the sum
-of its words' distances, and each distinct word is measured once per worker. Texts are cut into
-stretches of a few words at marks, line breaks and changes of script; one language, or the pair of
-languages that together explain the stretches best, is chosen from the sums; further languages join
-a pair by the same evidence, and the stretches are then parted among the chosen ones.
+A language profile ranks the n-grams (one to four letters, words padded) of its training texts. A text's
+own n-grams are ranked by how often they occur, equal ones alike, and its out-of-place distance to a
+profile is the sum over its most frequent n-grams of how far their rank is from the profile's,
+n-grams outside the profile being furthest. Texts are cut into stretches of a few words at marks,
+line breaks and changes of script, each ranked and measured in the same way. A text in one language
+has that of the least distance as a whole; the pair of languages that together explain the
+stretches best is chosen where both speak clearly; further languages join a pair by the same
+evidence, and the stretches are then parted among the chosen ones.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import combinations
@@ -30,11 +31,14 @@ CODES = tuple(LANGUAGES)
 DEPTH = 1200  # ranks kept of each profile
 PAIRS = np.array(list(combinations(range(len(CODES)), 2)))
 STRETCH = 6  # words
+ABSENT = 3.0  # stands for a rank no other comes near: 1 out of place
+TOP = 400  # ranks compared of a text as a whole
 # what is no language of its own: annotations, time marks, opening labels, turn tags
 _NOISE = re.compile(
     r"\d+:\d\d(?::\d\d)?[.,]\d+\s*-->\s*\d+:\d\d(?::\d\d)?[.,]\d+|\[[^\[\]]{1,60}\]|\([^()]{1,60}\)|\{[^{}]{1,60}\}|<[^<>]{1,60}>|【[^【】]{1,60}】|（[^（）]{1,60}）|\*[^*\n]{1,40}\*"
     r"|(?:^|(?<=\n))\s*(?:[^\W\d_][^\s:：]{0,14}[ _-]?\d{1,4}(?:\s*[:：]|\s+[-–—]\s)|[^\W\d_a-z][^\W\d_]+ [^\W\d_a-z][^\W\d_]+(?: \([a-z]+\))?[:：] )"
 )
+_NOISY = re.compile(r"[\[(<{【（*:：>-]")
 # one token of a script, or a gap: scripts without spaces fall into short pieces that recur
 _TOKENS = re.compile(
     r"([A-Za-zÀ-ÖØ-öø-ɏ]+(?:['’][A-Za-zÀ-ÖØ-öø-ɏ]+)*)|([Ѐ-ԯ]+(?:['’ʼ][Ѐ-ԯ]+)*)|([一-鿿㐀-䶿々]{1,2})|([぀-ヿ]{1,3})|([฀-๿]{1,3})|([가-힯]+)|([ऀ-ॿ]+)|[.!?…。！？।—–\n：:;；，]+"
@@ -55,80 +59,141 @@ def ngrams(word: str) -> list[str]:
 
 
 class Profiles:
-    """Rank tables of all languages; ``measure`` keeps the distances of words already met."""
+    """Rank tables of all languages, and the n-grams of the words already met."""
 
     def __init__(self, counts: dict[str, Counter], depth: int = DEPTH):
-        self.rank: dict[str, np.ndarray] = {}
+        self.row: dict[str, int] = {}
+        ranks: list[np.ndarray] = []
         for i, code in enumerate(CODES):
             for r, (g, _) in enumerate(sorted(counts.get(code, Counter()).items(), key=lambda x: (-x[1], x[0]))[:depth]):
-                self.rank.setdefault(g, np.full(len(CODES), 1.0))[i] = r / depth
-        self._absent = np.ones(len(CODES))
-        self._forget()
-
-    def _forget(self) -> None:
+                at = self.row.setdefault(g, len(self.row))
+                if at == len(ranks):
+                    ranks.append(np.full(len(CODES), ABSENT, np.float32))
+                ranks[at][i] = r / depth
+        # the last row is that of n-grams in no profile: furthest out of place
+        self.ranks, self.depth = np.array([*ranks, np.full(len(CODES), ABSENT)], np.float32), depth
+        self.forget()
+
+    def forget(self) -> None:
         self.ids: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
-
-    def measure(self, word: str) -> np.ndarray:
-        """Out-of-place distances of a word to each language (ranks over the profile depth), then its n-grams' number."""
-        grams = ngrams(word)
-        return np.append(sum((self.rank.get(g, self._absent) for g in grams), np.zeros(len(CODES))), len(grams))
+        self.other: dict[str, int] = {}
+        self.flat, self.at = array("q"), array("q", [0])
 
     def id_of(self, word: str) -> int:
-        """Row of a word's distances in ``table``; -1 for a hesitation sound."""
+        """Number of a word whose n-grams stand in ``flat[at[i] : at[i + 1]]``; -1 for a hesitation sound."""
         i = self.ids.get(word)
         if i is None:
             if is_sound(word):
                 i = self.ids[word] = -1
             else:
-                i = self.ids[word] = len(self.rows)
-                self.rows.append(self.measure(word))
+                known, base, other = self.row, len(self.row), self.other
+                for g in ngrams(word):
+                    n = known.get(g)
+                    self.flat.append(n if n is not None else base + other.setdefault(g, len(other)))
+                i = self.ids[word] = len(self.at) - 1
+                self.at.append(len(self.flat))
         return i
 
     def __getstate__(self):
-        return {"rank": self.rank, "_absent": self._absent}
+        return {"row": self.row, "ranks": self.ranks, "depth": self.depth}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
-        self._forget()
-
-    def table(self) -> np.ndarray:
-        return np.array(self.rows) if self.rows else np.zeros((0, len(CODES) + 1))
+        self.forget()
+
+    def spelled(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams of word numbers one after the other, and how many each word has."""
+        at = np.frombuffer(self.at, np.int64)
+        size = at[words + 1] - at[words]
+        pos = np.repeat(at[words] - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
+        return np.frombuffer(self.flat, np.int64)[pos], size
+
+    def out_of_place(self, item: np.ndarray, gram: np.ndarray, n_items: int, top: int | None = None) -> np.ndarray:
+        """Per item the out-of-place distance to each language and the number of n-grams compared, from the n-grams of all items.
+
+        An item's n-grams are ranked by how often they occur, equal ones alike; the distance is the sum over them
+        of how far the rank is from the profile's, as a part of the profile's depth, and 1 where the profile lacks the
+        n-gram. With ``top`` only ranks below it are compared.
+        """
+        out = np.zeros((n_items, len(CODES) + 1))
+        if not len(item):
+            return out
+        # each n-gram of an item once, with the number of times it occurs
+        bits = int(gram.max()).bit_length()
+        key = (item << bits) | gram
+        key.sort()
+        new = np.flatnonzero(np.diff(key, prepend=-1))
+        key, times = key[new], np.diff(np.append(new, len(key)))
+        item, gram = key >> bits, key & ((1 << bits) - 1)
+        first = np.flatnonzero(np.diff(item, prepend=-1))
+        # those that occur once come behind all others of their item, alike; only the others are sorted
+        many = times > 1
+        held = np.add.reduceat(many.astype(np.int64), first)
+        rank = np.repeat(held, np.diff(np.append(first, len(item))))
+        often = np.flatnonzero(many)
+        if len(often):
+            order = often[np.lexsort((-times[often], item[often]))]
+            i, t = item[order], times[order]
+            new = np.append(True, (i[1:] != i[:-1]) | (t[1:] != t[:-1]))
+            start = np.append(True, i[1:] != i[:-1])
+            seat = np.arange(len(order))
+            rank[order] = seat[new][np.cumsum(new) - 1] - seat[start][np.cumsum(start) - 1]
+        if top is not None:
+            use = rank < top
+            item, gram, rank = item[use], gram[use], rank[use]
+        far = len(self.ranks) - 1
+        place = (rank / self.depth).astype(np.float32)[:, None]
+        gram = np.minimum(gram, far)
+        first = np.flatnonzero(np.diff(item, prepend=-1)) if top is not None else first
+        edge = np.append(first, len(item))
+        # tables of about 20,000 rows, whole items each
+        cuts = np.unique(np.append(np.searchsorted(first, np.arange(0, len(item), 20_000)), len(first)))
+        for a, b in zip(cuts, cuts[1:]):
+            d = self.ranks.take(gram[edge[a] : edge[b]], axis=0)
+            d -= place[edge[a] : edge[b]]
+            np.abs(d, out=d)
+            np.minimum(d, 1, out=d)
+            out[item[first[a:b]], :-1] = np.add.reduceat(d, first[a:b] - edge[a], axis=0)
+        out[item[first], -1] = np.diff(edge)
+        return out
 
 
 def stretches(text: str, spans: list[list[int]] | None = None) -> tuple[list[str], list[int], list[int]]:
-    """Words of a text, the number of the stretch each lies in, and the script of each stretch.
+    """Words of a text, the number of the first word of each stretch, and the script of each stretch.
 
     ``spans`` takes the start and end of each stretch in the text.
     """
     # blanks of equal length, so that offsets stay those of the text
-    if any(c in text for c in "[(<{【（*:：>-"):
+    if _NOISY.search(text):
         text = _NOISE.sub(lambda m: "\n" + " " * (len(m[0]) - 1), text)
     if "อ" in text:
         text = _THAI_SOUNDS.sub(lambda m: " " * len(m[0]), text)
-    words, number, scripts = [], [], []
-    n, held, script, before = -1, 0, 0, ""
+    words, firsts, scripts = [], [], []
+    held, most, script, before = 0, 0, 0, ""
     for m in _TOKENS.finditer(text):
         g = m.lastindex
         if g is None:
             script = 0
             continue
-        g = 3 if g == 4 else g
-        if g != script or held == STRETCH * (3 if g in (3, 5) else 1):
-            n, held, script = n + 1, 0, g
-            scripts.append(g)
+        if g == 4:
+            g = 3
+        if g != script or held == most:
             if spans is not None:
-                spans.append([m.start(), m.end()])
-        elif spans is not None:
-            spans[-1][1] = m.end()
+                if scripts:
+                    spans[-1][1] = last.end()
+                spans.append([m.start(), 0])
+            held, script, most = 0, g, STRETCH * (3 if g == 3 or g == 5 else 1)
+            scripts.append(g)
+            firsts.append(len(words))
+        last = m
         w = m[0]
-        if w == before:  # a false start
-            continue
-        before = w
-        held += 1
-        words.append(w)
-        number.append(n)
-    return words, number, scripts
+        if w != before:  # else a false start
+            before = w
+            held += 1
+            words.append(w)
+    if spans is not None and scripts:
+        spans[-1][1] = last.end()
+    return words, firsts, scripts
 
 
 def languages(profiles: Profiles, texts: Iterable[str | None]) -> list[list[tuple[str, float]]]:
@@ -143,34 +208,42 @@ def spoken(profiles: Profiles, texts: Iterable[str | None]) -> list[tuple[list[t
     word lies in one. Parts begin and end at stretches, so to within six words without a mark between.
     """
     texts = list(texts)
-    if len(profiles.rows) > 400_000:
-        profiles._forget()
-    ids, seg, doc, scr, spans, base = [], [], [], [], [], 0
+    out: list[tuple[list, list]] = []
+    lo = size = 0
+    for hi, t in enumerate(texts):  # bounds the arrays, not the texts
+        size += len(t) if isinstance(t, str) else 0
+        if size > 400_000 or hi == len(texts) - 1:
+            out += _spoken(profiles, texts[lo : hi + 1])
+            lo, size = hi + 1, 0
+    return out
+
+
+def _spoken(profiles: Profiles, texts: list[str | None]) -> list[tuple[list, list]]:
+    if len(profiles.flat) > 20_000_000:
+        profiles.forget()
+    ids, firsts, doc, scr, spans, known = [], [], [], [], [], profiles.ids
     for d, t in enumerate(texts):
         if not t or t.isspace():
             continue
-        words, number, scripts = stretches(t, spans)
-        ids += [profiles.id_of(w) for w in words]
-        seg += [base + k for k in number]
+        words, first, scripts = stretches(t, spans)
+        n = len(ids)
+        firsts += [n + k for k in first]
+        ids += [known[w] if w in known else profiles.id_of(w) for w in words]
         doc += [d] * len(scripts)
         scr += scripts
-        base += len(scripts)
     out: list[tuple[list, list]] = [([], []) for _ in texts]
     if not ids:
         return out
-    ids, seg, doc, scr = np.array(ids), np.array(seg), np.array(doc), np.array(scr)
+    ids, doc, scr, base = np.array(ids), np.array(doc), np.array(scr), len(scr)
+    seg = np.repeat(np.arange(base), np.diff([*firsts, len(ids)]))
     real = ids >= 0
-    k = len(CODES)
-    sums = np.zeros((base, k + 1))
     held = np.bincount(seg[real], minlength=base)
-    if real.any():
-        rows = profiles.table()[ids[real]]
-        starts = np.flatnonzero(np.diff(seg[real], prepend=-1))
-        sums[seg[real][starts]] = np.add.reduceat(rows, starts, axis=0)
-    return _choose(out, sums, held, doc, scr, spans)
+    gram, size = profiles.spelled(ids[real])
+    item = np.repeat(seg[real], size)
+    return _choose(out, profiles, item, gram, profiles.out_of_place(item, gram, base), held, doc, scr, spans)
 
 
-def _choose(out: list, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr: np.ndarray, spans: list) -> list:
+def _choose(out: list, profiles: Profiles, item: np.ndarray, gram: np.ndarray, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr: np.ndarray, spans: list) -> list:
     k = len(CODES)
     dist, n = sums[:, :k], np.maximum(sums[:, k], 1)
     # a Latin stretch of one or two words beside another script is a name, and no stretch of its own
@@ -184,8 +257,14 @@ def _choose(out: list, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr:
         return out
     d, dd, nn, sol = doc[pos], dist[pos], n[pos], solid[pos]
     starts = np.flatnonzero(np.diff(d, prepend=-1))
-    total = np.add.reduceat(dd, starts, axis=0)
-    weight = np.add.reduceat(nn, starts)
+    # the language of a text as a whole: its own ranking against the profiles
+    total, weight = np.add.reduceat(dd, starts, axis=0), np.add.reduceat(nn, starts)
+    several = np.bincount(d, minlength=len(out)) > 1
+    mine = (use & several[doc])[item]
+    if mine.any():
+        whole = profiles.out_of_place(doc[item[mine]], gram[mine], len(out), top=TOP)[d[starts]]
+        more = several[d[starts]]
+        total[more], weight[more] = whole[more, :k], np.maximum(whole[more, k], 1)
     best = total.argmin(1)
     per_pair = np.add.reduceat(np.minimum(dd[:, PAIRS[:, 0]], dd[:, PAIRS[:, 1]]), starts, axis=0)
     pair = per_pair.argmin(1)

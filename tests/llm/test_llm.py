@@ -254,6 +254,42 @@ def profiles():
     return language.Profiles(counts)
 
 
+@pytest.mark.parametrize("top", [None, 5])
+def test_out_of_place_as_brute_force(top):
+    from collections import Counter
+
+    p = profiles()
+    rank = {}
+    counts = {g: Counter(n for w in language.stretches(t)[0] for n in language.ngrams(w)) for g, t in SAMPLES.items()}
+    for code, c in counts.items():
+        rank[code] = {g: r for r, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[: p.depth])}
+    texts = ["the old town", "banana banana und der zug", "zzzz qqqq", "ab", "когда поезд поезд"]
+    words = [language.stretches(t)[0] for t in texts]
+    ids = np.array([p.id_of(w) for ws in words for w in ws])
+    gram, size = p.spelled(ids)
+    got = p.out_of_place(np.repeat(np.repeat(np.arange(len(texts)), [len(w) for w in words]), size), gram, len(texts) + 1, top)
+    for i, ws in enumerate(words):
+        own = Counter(n for w in ws for n in language.ngrams(w))
+        place = {g: sum(c > own[g] for c in own.values()) for g in own}
+        use = [g for g in own if top is None or place[g] < top]
+        for j, code in enumerate(language.CODES):
+            want = sum(abs(place[g] - rank[code][g]) / p.depth if g in rank[code] else 1.0 for g in use)
+            assert got[i, j] == pytest.approx(want, abs=1e-4)
+        assert got[i, -1] == len(use)
+    assert not got[-1].any()
+
+
+def test_a_texts_own_ranks_decide():
+    # the profiles hold the same n-grams, in another order: only the text's own order tells them apart
+    from collections import Counter
+
+    p = language.Profiles({"en": Counter({"a": 100, "b": 50, "c": 10, "d": 5}), "de": Counter({"a": 5, "b": 10, "c": 50, "d": 100})}, depth=4)
+    gram = np.array([p.row[g] for g in "aaaabbbccd" + "ddddcccbba"])
+    far = p.out_of_place(np.repeat([0, 1], 10), gram, 2)
+    en, de = language.CODES.index("en"), language.CODES.index("de")
+    assert far[0, en] == 0 < far[0, de] and far[1, de] == 0 < far[1, en]
+
+
 def test_languages_single_and_mixed():
     p = profiles()
     halves = {g: t[: len(t) // 2] if g in ("zh", "th") else t.rsplit(" ", 8)[0] for g, t in SAMPLES.items()}
