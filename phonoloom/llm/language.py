@@ -122,10 +122,11 @@ class Profiles:
         bits = int(gram.max()).bit_length()
         key = (item << bits) | gram
         key.sort()
-        new = np.flatnonzero(np.diff(key, prepend=-1))
-        key, times = key[new], np.diff(np.append(new, len(key)))
+        new = _starts(key)
+        times = np.diff(new, append=len(key))
+        key = key[new]
         item, gram = key >> bits, key & ((1 << bits) - 1)
-        first = np.flatnonzero(np.diff(item, prepend=-1))
+        first = _starts(item)
         # those that occur once come behind all others of their item, alike; only the others are sorted
         many = times > 1
         held = np.add.reduceat(many.astype(np.int64), first)
@@ -144,7 +145,7 @@ class Profiles:
         far = len(self.ranks) - 1
         place = (rank / self.depth).astype(np.float32)[:, None]
         gram = np.minimum(gram, far)
-        first = np.flatnonzero(np.diff(item, prepend=-1)) if top is not None else first
+        first = _starts(item) if top is not None else first
         edge = np.append(first, len(item))
         # tables of about 20,000 rows, whole items each
         cuts = np.unique(np.append(np.searchsorted(first, np.arange(0, len(item), 20_000)), len(first)))
@@ -158,6 +159,14 @@ class Profiles:
         return out
 
 
+def _starts(rising: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    new = np.empty(len(rising), bool)
+    new[:1] = True
+    np.not_equal(rising[1:], rising[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def stretches(text: str, spans: list[list[int]] | None = None) -> tuple[list[str], list[int], list[int]]:
     """Words of a text, the number of the first word of each stretch, and the script of each stretch.
 
@@ -266,17 +275,29 @@ def _choose(out: list, profiles: Profiles, item: np.ndarray, gram: np.ndarray, s
         more = several[d[starts]]
         total[more], weight[more] = whole[more, :k], np.maximum(whole[more, k], 1)
     best = total.argmin(1)
-    per_pair = np.add.reduceat(np.minimum(dd[:, PAIRS[:, 0]], dd[:, PAIRS[:, 1]]), starts, axis=0)
-    pair = per_pair.argmin(1)
     ends = np.append(starts[1:], len(pos))
+    # texts of several stretches: the pair that explains them best, and what each of the two would gain over the other
+    wide = np.flatnonzero(ends - starts > 1)
+    pair, maybe = np.zeros(len(starts), np.int64), np.zeros(len(starts), bool)
+    if len(wide):
+        at = np.flatnonzero(several[d])
+        cut = _starts(d[at])
+        rows = dd[at].astype(np.float32)
+        low = np.empty((len(wide), len(PAIRS)), np.float32)
+        for q, (x, y) in enumerate(PAIRS):
+            low[:, q] = np.add.reduceat(np.minimum(rows[:, x], rows[:, y]), cut)
+        pair[wide] = low.argmin(1)
+        number = np.repeat(pair[wide], (ends - starts)[wide])
+        edge = dd[at, PAIRS[number, 0]] - dd[at, PAIRS[number, 1]]
+        # no run of either can gain more than all its stretches together
+        maybe[wide] = np.minimum(np.add.reduceat(np.maximum(edge, 0), cut), np.add.reduceat(np.maximum(-edge, 0), cut)) >= MIX_GAIN
     second = np.partition(total, 1, axis=1)[:, 1]
-    first, last = np.searchsorted(doc, d[starts]), np.searchsorted(doc, d[starts], "right")
-    for j, (s, e) in enumerate(zip(starts, ends)):
-        t, b = d[s], best[j]
-        sure = float(np.clip((second[j] - total[j, b]) / weight[j] * 8, 0, 1))
+    sure_of = np.clip((second - total[np.arange(len(best)), best]) / weight * 8, 0, 1).tolist()
+    first, last = np.searchsorted(doc, d[starts]).tolist(), np.searchsorted(doc, d[starts], "right").tolist()
+    for j, (s, e, t, b, sure, mixed) in enumerate(zip(starts.tolist(), ends.tolist(), d[starts].tolist(), best.tolist(), sure_of, maybe.tolist())):
         found, chosen = [(CODES[b], sure)], [b]
-        x, y = PAIRS[pair[j]]
-        if e - s > 1:
+        if mixed:
+            x, y = PAIRS[pair[j]]
             edge = dd[s:e, x] - dd[s:e, y]  # above 0: nearer to y
             mine, yours = _part(-edge, nn[s:e], sol[s:e]), _part(edge, nn[s:e], sol[s:e])
             if min(mine[0], yours[0]) > 0:
