@@ -127,7 +127,8 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentences.sentences(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return sentences.sentences(docs, lexicon=sentences.fit_lexicon(docs))
 
 
 def queries() -> dict:

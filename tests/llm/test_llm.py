@@ -557,5 +557,47 @@ def test_sentences_of_rows(spark):
 
 
 def test_lattice_prefers_words():
-    words = sentences._LEXICON["ja"]
-    assert sentences.lattice_words("それから", words) == ["それから"] and "".join(sentences.lattice_words("とっても静か", words)) == "とっても静か"
+    costs = {"我们": 2.0, "我": 3.0, "们": 5.0, "天气": 3.0}
+    assert sentences.lattice_words("我们天气好", costs) == ["我们", "天气", "好"]
+    assert sentences.lattice_words("", costs) == []
+
+
+def test_lattice_as_every_cut():
+    from itertools import product
+
+    rng = random.Random(8)
+    costs = {"".join(rng.choice("ab") for _ in range(rng.randrange(1, 4))): rng.uniform(1, 6) for _ in range(8)}
+    for _ in range(60):
+        t = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))
+        price = lambda ws: sum(costs.get(w, 12.0 if len(w) == 1 else 1e9) if len(w) > 1 else min(costs.get(w, 12.0), 12.0) for w in ws)
+        cuts = []
+        for mask in product([0, 1], repeat=len(t) - 1):
+            ws, at = [], 0
+            for i, m in enumerate(mask, 1):
+                if m:
+                    ws.append(t[at:i])
+                    at = i
+            cuts.append(price([*ws, t[at:]]))
+        assert price(sentences.lattice_words(t, costs)) == pytest.approx(min(cuts))
+
+
+def test_fitted_dictionary_decides():
+    # without the word the lattice takes its first character for a particle that carries on
+    texts = ["彼はとても元気です。", "今日、とても暑い。", "犬もとても好きだ。", "海がとても青い。", "母は「はい」と答えた。", "私は彼と話した。", "犬と猫がいる。", "父と行く。", "これはとても良い。", "それもとても安い。"] * 4
+    fitted = sentences.Lexicon.fit(texts)
+    assert "とても" in fitted.costs["ja"]
+    text = "彼は「行く。」とても静かだった。"
+    assert len(sentences.sentence_spans(text, fitted)) == 2 and len(sentences.sentence_spans(text)) == 1
+    assert len(sentences.sentence_spans("彼は「行く。」と言った。", fitted)) == 1
+    import pickle
+
+    again = pickle.loads(pickle.dumps(fitted))
+    assert again.costs == fitted.costs and len(sentences.sentence_spans(text, again)) == 2
+    assert sentences.Lexicon.fit([]).costs == sentences.BUILT_IN.costs
+
+
+def test_fit_lexicon_of_rows(spark):
+    rows = [(1, "彼はとても元気です。"), (2, None), (3, "plain words only"), (4, "")]
+    df = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "です" in sentences.fit_lexicon(df).costs["ja"]
+    assert sentences.fit_lexicon(df.where("false")).costs == sentences.BUILT_IN.costs
