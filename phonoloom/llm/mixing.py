@@ -53,25 +53,27 @@ def budgets(leaves: Sequence[Leaf], total: float) -> None:
 
 
 def leaf_sizes(sized: DataFrame) -> DataFrame:
-    """(source, language, size, documents): tokens of each source and the language most of them are in."""
-    per = sized.where("source is not null").groupBy("source", "language").agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"))
-    return per.groupBy("source").agg(F.max_by(F.coalesce("language", F.lit("und")), F.struct("t", F.coalesce("language", F.lit("und")))).alias("language"), F.sum("t").alias("size"), F.sum("n").alias("documents"))
+    """(source, domain, language, size, documents): tokens of each source, and the domain and language most of them are in; ties go to the greatest name."""
+    per = sized.where("source is not null").groupBy("source", F.coalesce("domain", F.lit("none")).alias("domain"), F.coalesce("language", F.lit("und")).alias("language")).agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"))
+    most = lambda c: per.groupBy("source", c).agg(F.sum("t").alias("t")).groupBy("source").agg(F.max_by(c, F.struct("t", c)).alias(c))
+    return per.groupBy("source").agg(F.sum("t").alias("size"), F.sum("n").alias("documents")).join(most("domain"), "source").join(most("language"), "source")
 
 
-def plan(sized: DataFrame, targets: DataFrame, domains: dict[str, str] | None = None) -> list[tuple]:
-    """Rows (source, language, size, target_share, max_repeats, budget, short) of the sources in ``targets``.
+def plan(sized: DataFrame, targets: DataFrame) -> list[tuple]:
+    """Rows (source, domain, language, size, target_share, max_repeats, budget, short) of the sources in ``targets``.
 
-    ``targets`` has a row per source and comes to the driver; sources that have no documents get
-    size 0. ``domains`` may name the domain of a source; by default all are of one.
+    ``sized`` has source, domain, language and tokens; ``targets`` has a row per source and comes to the
+    driver; sources that have no documents get size 0. A source is short if its budget, after all
+    that was moved, stays below its share.
     """
     total = sized.agg(F.sum("tokens").alias("t")).first().t or 0
     rows = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats")).join(leaf_sizes(sized), "source", "left").orderBy("source").collect()
-    leaves = [Leaf(((domains or {}).get(r.source, "all"), r.language or "und", r.source), float(r.target_share or 0), float((r["size"] or 0) * (r.max_repeats or 0))) for r in rows]
+    leaves = [Leaf((r.domain or "none", r.language or "und", r.source), float(r.target_share or 0), float((r["size"] or 0) * (r.max_repeats or 0))) for r in rows]
     budgets(leaves, total)
-    return [(r.source, r.language or "und", int(r["size"] or 0), float(r.target_share or 0), int(r.max_repeats or 0), x.budget, x.most < x.share * total) for r, x in zip(rows, leaves)]
+    return [(r.source, x.path[0], x.path[1], int(r["size"] or 0), x.share, int(r.max_repeats or 0), x.budget, x.budget < x.share * total) for r, x in zip(rows, leaves)]
 
 
-_PLAN = "source string, language string, size long, target_share double, max_repeats int, budget double, short boolean"
+_PLAN = "source string, domain string, language string, size long, target_share double, max_repeats int, budget double, short boolean"
 
 
 def select(spark: SparkSession, sized: DataFrame, planned: list[tuple], seed: int = 0) -> DataFrame:
@@ -96,8 +98,8 @@ def select(spark: SparkSession, sized: DataFrame, planned: list[tuple], seed: in
 
 
 def report(spark: SparkSession, chosen: DataFrame, planned: list[tuple]) -> DataFrame:
-    """Per source: language, size, target_share, max_repeats, used tokens, actual_share, most_times and whether it falls short."""
+    """Per source: domain, language, size, target_share, max_repeats, used tokens, actual_share, most_times and whether it falls short."""
     used = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("times")).alias("used"), F.max("times").alias("most_times"))
     r = spark.createDataFrame(planned, _PLAN).join(used, "source", "left").withColumn("used", F.coalesce("used", F.lit(0)))
     all_used = F.sum("used").over(W.partitionBy(F.lit(1)))  # one row per target source
-    return r.select("source", "language", "size", "target_share", "max_repeats", "used", F.when(all_used > 0, F.col("used") / all_used).otherwise(0.0).alias("actual_share"), F.coalesce("most_times", F.lit(0)).alias("most_times"), "short")
+    return r.select("source", "domain", "language", "size", "target_share", "max_repeats", "used", F.when(all_used > 0, F.col("used") / all_used).otherwise(0.0).alias("actual_share"), F.coalesce("most_times", F.lit(0)).alias("most_times"), "short")

@@ -49,8 +49,10 @@ def pack(items: DataFrame, capacity: int, nearly: float = 0.985, per_task: int =
     """container_id, size, doc_id, piece, tokens, doc_tokens: every piece in one container, none above the capacity.
 
     Each partition packs its items; bins filled to ``nearly`` are done, the others are the items of
-    the next, narrower round (``per_task`` bins to a task) until one task holds what is left. A
-    bin's members are bounded by the capacity. Items without id or with null size are left out;
+    the next round, mixed anew and narrower (``per_task`` bins to a task, never more), until one task
+    holds what is left. A round that leaves more than nine tenths of its bins open ends it as well: in
+    a task with a random ``per_task`` of all the bins hardly any two go together, so those left
+    stay as they are. A bin's members are bounded by the capacity. Items without id or with null size are left out;
     equal items count each; no items, no containers.
     """
 
@@ -73,22 +75,26 @@ def pack(items: DataFrame, capacity: int, nearly: float = 0.985, per_task: int =
 
     bins = settle(cut_items(items.select("doc_id", "tokens").where("doc_id is not null and tokens is not null"), capacity).mapInPandas(run, _SCHEMA))
     done = [bins.where("full")]
-    rest, left = bins.where("not full"), bins.where("not full").count()
+    rest, left, turn = bins.where("not full"), bins.where("not full").count(), 0
     while left:
         parts = math.ceil(left / per_task)
-        spread = rest.repartition(parts, F.xxhash64(F.col("members")[0]["doc_id"], F.col("members")[0]["piece"]))
+        spread = rest.repartition(parts, F.xxhash64(F.lit(turn), F.col("members")[0]["doc_id"], F.col("members")[0]["piece"]))
         packed = settle(spread.mapInPandas(run, _SCHEMA))
-        if parts == 1:
-            done.append(packed)
-            break
         done.append(packed.where("full"))
-        rest, before = packed.where("not full"), left
+        rest, before, turn = packed.where("not full"), left, turn + 1
         left = rest.count()
-        if left > 0.9 * before:  # what is left doesn't combine any more at this width
-            per_task *= 4
+        if parts == 1 or left > 0.9 * before:
+            done.append(rest)
+            break
     whole = done[0]
     for d in done[1:]:
         whole = whole.unionByName(d)
     first = F.array_min(F.transform("members", lambda m: F.struct(m["doc_id"], m["piece"])))
     named = whole.select(F.format_string("c%d_%d", first["doc_id"], first["piece"]).alias("container_id"), "size", F.explode("members").alias("m"))
     return named.select("container_id", "size", "m.doc_id", "m.piece", "m.tokens", "m.doc_tokens")
+
+
+def fill(packed: DataFrame, capacity: int) -> DataFrame:
+    """container_id, n_items, size, room, fill: what each container of ``pack`` holds; room is what stays empty, fill the share used."""
+    held = packed.groupBy("container_id").agg(F.count(F.lit(1)).alias("n_items"), F.sum("tokens").alias("size"))
+    return held.select("container_id", "n_items", "size", (F.lit(capacity) - F.col("size")).alias("room"), F.round(F.col("size") / F.lit(float(capacity)), 6).alias("fill"))

@@ -98,18 +98,28 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_pieces(spark, sf_dir).where("piece = 0").select("seg_id", "forced_cut")
 
 
+def p6_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size, overlap = pieces.limits(table(spark, sf_dir, "size_limits"), "segment")
+    return pieces.checked(settle(p6_pieces(spark, sf_dir)), table(spark, sf_dir, "breaks"), round(size * 1000), round(overlap * 1000))
+
+
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     capacity, _ = pieces.limits(table(spark, sf_dir, "size_limits"), "container")
     return packing.pack(tokens.token_counts(table(spark, sf_dir, "documents").where("text is not null"), ["doc_id"]), int(capacity))
 
 
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capacity, _ = pieces.limits(table(spark, sf_dir, "size_limits"), "container")
+    return packing.fill(p7_containers(spark, sf_dir), int(capacity))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the first piece of each document that had to be cut
     return p7_containers(spark, sf_dir).where("doc_tokens > tokens and piece = 0").select("doc_id")
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[tuple]]:
-    sized = settle(tokens.token_counts(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang"]).withColumnRenamed("lang", "language"))
+    sized = settle(tokens.token_counts(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "kind"]).withColumnsRenamed({"lang": "language", "kind": "domain"}))
     planned = mixing.plan(sized, table(spark, sf_dir, "mix_targets"))
     return mixing.select(spark, sized, planned), planned
 

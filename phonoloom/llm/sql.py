@@ -15,6 +15,11 @@ gap as (select seg_id, lo - max(hi) over (partition by seg_id order by lo, hi ro
 select seg_id, cast(max(case when d > lim then 1 else 0 end) as int) as forced_cut from gap, lim group by seg_id
 """
 
+# what the pieces of each long segment must come to
+P6_CHECKED = P6_FOUND.replace("select seg_id, cast(max(case when d > lim then 1 else 0 end) as int) as forced_cut from gap, lim group by seg_id", """,
+f as (select seg_id, cast(max(case when d > lim then 1 else 0 end) as int) as forced_cut from gap, lim group by seg_id)
+select seg_id, s as start_ms, e as end_ms, cast(1 as int) as within_limit, cast(1 as int) as overlaps, cast(1 as int) as "natural", forced_cut from big join f using (seg_id)""")
+
 # windows of 8 words or 20 characters as strings, marked where the same string began before in the text
 P2_FOUND = """
 with t as (
@@ -53,4 +58,4 @@ select group_id, id from gr where id <> group_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p6_found": P6_FOUND}
+    return {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p6_found": P6_FOUND, "p6_checked": P6_CHECKED}

@@ -423,11 +423,34 @@ def test_cut_pieces():
         for a, b, hard in got[:-1]:  # a cut that isn't hard has a pause at its end or at the next start
             if not hard:
                 assert any(lo <= b <= hi or lo <= b - overlap <= hi for lo, hi in ps)
-        if any(h for *_, h in got) and not ps:
-            assert forced
+        assert forced == any(h for *_, h in got)  # hard only where it must be
     assert pieces.cut(0, 10, [], 30, 1) == ([(0, 10, False)], False)
 
 
+def test_cut_has_fewest_hard_cuts():
+    from functools import lru_cache
+
+    rng = random.Random(12)
+    for _ in range(300):
+        limit, overlap, end = rng.randrange(3, 8), rng.randrange(0, 3), rng.randrange(9, 40)
+        ps = [(x, min(end, x + rng.randrange(4))) for x in (rng.randrange(end) for _ in range(rng.randrange(7)))]
+        natural = {x for x in range(end) if any(lo <= x <= hi or lo <= x + overlap <= hi for lo, hi in ps)}
+
+        @lru_cache(None)
+        def least(x):
+            if end - x <= limit:
+                return 0
+            return min((x + d not in natural) + least(x + d) for d in range(1, limit - overlap + 1))
+
+        got, _ = pieces.cut(0, end, ps, limit, overlap)
+        assert sum(h for *_, h in got) == least(0)
+
+
+def test_cut_looks_ahead():
+    got, forced = pieces.cut(0, 97_000, [(13_801, 16_201), (29_481, 29_694), (59_646, 60_542), (80_000, 80_100)], 30_000, 1000)
+    assert not forced and not any(h for *_, h in got)
+
+
 def test_pieces_of_rows(spark):
     nan = float("nan")
     rows = [(1, "a", 0.0, 70.0, None, None, None), (2, "a", 0.0, 30.0, None, None, None), (3, "a", 5.0, None, None, None, None), (4, "a", 5.0, nan, None, None, None), (5, "a", 50.0, 5.0, None, None, None), (6, None, 0.0, 99.0, None, None, None), (None, "a", 0.0, 99.0, None, None, None)]
@@ -436,6 +459,8 @@ def test_pieces_of_rows(spark):
     got = sorted((r.seg_id, r.piece, r.start_ms, r.end_ms, r.hard_cut, r.forced_cut) for r in pieces.cut_pieces(df, br, 30_000, 1000).collect())
     assert [g for g in got if g[0] == 1] == [(1, 0, 0, 26_000, 0, 0), (1, 1, 25_000, 53_000, 0, 0), (1, 2, 52_000, 70_000, 0, 0)]
     assert {g[0]: g[5] for g in got} == {1: 0, 6: 1}
+    sure = {r.seg_id: (r.start_ms, r.end_ms, r.within_limit, r.overlaps, r.natural, r.forced_cut) for r in pieces.checked(pieces.cut_pieces(df, br, 30_000, 1000), br, 30_000, 1000).collect()}
+    assert sure == {1: (0, 70_000, 1, 1, 1, 0), 6: (0, 99_000, 1, 1, 1, 1)}
     assert pieces.cut_pieces(df.limit(0), br, 30_000, 1000).count() == 0
     with pytest.raises(ValueError):
         pieces.cut_pieces(df, br, 1000, 1000)
@@ -474,6 +499,16 @@ def test_pack_whole(spark):
     assert packing.pack(df.limit(0), 1000).count() == 0
 
 
+def test_items_that_never_go_together(spark):
+    # six tenths of a container each: no round can join two, and no task grows beyond its width
+    df = spark.createDataFrame([(i, 600) for i in range(2000)], "doc_id long, tokens long").repartition(5)
+    got = packing.fill(packing.pack(df, 1000, per_task=50), 1000).toPandas()
+    assert len(got) == 2000 and (got.n_items == 1).all() and (got.fill == 0.6).all() and (got.room == 400).all()
+    mixed = spark.createDataFrame([(i, 600 if i % 2 else 390) for i in range(2000)], "doc_id long, tokens long").repartition(5)
+    got = packing.fill(packing.pack(mixed, 1000, per_task=200), 1000).toPandas()
+    assert got["size"].sum() == 1000 * 990 and len(got) <= 1060
+
+
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "hello world"), (2, None), (3, ""), (4, "字" * 5000), (5, "a" * 20_000)], "doc_id long, text string")
     n = {r.doc_id: r.tokens for r in tokens.token_counts(df, ["doc_id"]).collect()}
@@ -500,13 +535,14 @@ def test_budgets():
 def test_mixture(spark):
     rng = random.Random(8)
     docs = [(i, rng.choice(["big"] * 8 + ["mid", "tiny"]), "en", rng.randrange(1, 50)) for i in range(2000)] + [(5000, None, "en", 10), (None, "big", "en", 3), (5001, "other", None, 7)]
-    sized = clashing(spark.createDataFrame(docs, "doc_id long, source string, language string, tokens long")).drop("size")
+    sized = clashing(spark.createDataFrame(docs, "doc_id long, source string, language string, tokens long").withColumn("domain", F.when(F.col("source") != "mid", "long"))).drop("size")
     targets = spark.createDataFrame([("big", 0.3, 4), ("mid", 0.3, 4), ("tiny", 0.3, 1), ("none", 0.1, 3), (None, 0.0, 1)], "source string, target_share double, max_repeats int")
     planned = mixing.plan(sized, targets)
     got = mixing.select(spark, sized, planned).toPandas()
     rep = mixing.report(spark, mixing.select(spark, sized, planned), planned).toPandas().set_index("source")
     total = sum(d[3] for d in docs)
-    for s, budget in ((p[0], p[5]) for p in planned):
+    assert {p[0]: p[1:3] for p in planned} == {"big": ("long", "en"), "mid": ("none", "en"), "tiny": ("long", "en"), "none": ("none", "und")}
+    for s, budget in ((p[0], p[6]) for p in planned):
         own = got[got.source == s]
         used = (own.tokens * own.times).sum()
         assert budget - 50 <= used <= budget + 1e-6 and (own.times <= rep.max_repeats[s]).all()
