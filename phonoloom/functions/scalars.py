@@ -78,6 +78,31 @@ def nearest_sample(seconds: Column, rate: int) -> Column:
     return F.bround(seconds * rate).cast("long")
 
 
+# Coefficients of the quality polynomials, the highest power first.
+QUALITY = {"sig": (-0.08397278, 1.22083953, 0.0052439), "bak": (-0.13166888, 1.60915514, -0.39604546), "ovr": (-0.06766283, 1.11546468, 0.04602535)}
+QUALITY_PERSONAL = {
+    "sig": (-0.01019296, 0.02751166, 1.19576786, -0.24348726), "bak": (-0.04976499, 0.44276479, -0.1644611, 0.96883132), "ovr": (-0.00533021, 0.005101, 1.18058466, -0.11236046),
+}
+
+
+def polynomial(x: Column, coefficients: Sequence[float]) -> Column:
+    """I25. A polynomial by Horner's rule, the highest power first."""
+    out = F.lit(float(coefficients[0]))
+    for c in coefficients[1:]:
+        out = out * x + F.lit(float(c))
+    return out
+
+
+def clip_id(stem: Column) -> Column:
+    """I20. What follows seven digits and an underscore in a clip's name; null for any other name."""
+    return F.nullif(F.regexp_extract(stem, r"^[0-9]{7}_(.+)$", 1), F.lit(""))
+
+
+def pitch_label(hz: Column, gender: Column) -> Column:
+    """I7, I26. low, medium or high by the gender's edges; an unknown gender takes those of female."""
+    return F.when(gender == "male", bucket(hz, PITCH_MALE, ("low", "medium", "high"))).otherwise(bucket(hz, PITCH_FEMALE, ("low", "medium", "high")))
+
+
 def hex_modulo(hexes: Column, n: int) -> Column:
     """I15, I17. A hexadecimal string modulo ``n``, by Horner's rule: exact for any length."""
     digits = F.split(hexes, "")

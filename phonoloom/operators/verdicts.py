@@ -76,8 +76,8 @@ def with_repeated_share(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def degenerate(text: Column, seconds: Column) -> Column:
     """I2. More than 80 characters, more than 25 a second, and a run that recurs three times."""
-    n = F.length(F.coalesce(text, F.lit("")))
-    return (n > 80) & (n > 25 * seconds) & (ngram_repeat(text) >= 3)
+    n = F.coalesce(X.char_count(text), F.lit(0))
+    return (n > 80) & (seconds > 0) & (n > 25 * seconds) & (ngram_repeat(text) >= 3)
 
 
 def transcript_verdict(text: Column, lang: Column, accepted: Column, seconds: Column, q: Column, fewest: int = 2) -> Column:
