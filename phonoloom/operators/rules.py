@@ -127,7 +127,7 @@ def boundaries(text: Column) -> Column:
 
 def speaker_at(text: Column, position: Column) -> Column:
     """I23. The last turn tag that is closed by ``position``; null without any."""
-    return F.nullif(F.regexp_extract(F.substring(text, F.lit(1), position.cast("int") + 1), r"(?s).*\[(S\d+)\]", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(F.substring(text, F.lit(1), position.cast("int") + 1), r"(?s)\A.*\[(S\d+)\]", 1), F.lit(""))
 
 
 # Words that speak for a sound, in the order ties are settled.

@@ -165,6 +165,13 @@ def numbered(rows: DataFrame, keys: list[str], order: str, prefix: str, batch: i
     return r.withColumn("name", F.format_string(f"{prefix}%04d", F.col("k") - 1)).withColumn("batch", F.floor((F.col("k") - 1) / batch) + 1).drop("k")
 
 
+def placed_members(windowed: DataFrame) -> DataFrame:
+    """D22. Adds ``place``, the 1-based place of a segment in its window: its rank in the recording less that of the window's first, so a window without end is never one task."""
+    d = bucketed_rank(windowed, ["sid"], "s", ["idx"], HOUR, "__rank")
+    first = d.groupBy("sid", "win").agg(F.min("__rank").alias("__first"))
+    return d.join(first, ["sid", "win"]).withColumn("place", F.col("__rank") - F.col("__first") + 1).drop("__rank", "__first")
+
+
 def transcript(windowed: DataFrame) -> DataFrame:
     """F20. One text per window: runs of one speaker tag joined, text-less ones omitted: ``[S1] a b [S2] c``."""
     tagged = windowed.join(speaker_tags(windowed), ["sid", "win", "spk"])
