@@ -2,18 +2,19 @@
 
 Starts and ends of an entity are ranked independently. With k intervals begun and k ended the
 entity is silent, so a gap lies between the k-th end and the (k+1)-th start exactly where the start
-is later than the end. The boundaries left over, ranked again, pair up as periods.
+is later than the end. An end of rank k closes a period where only k starts come up to it, and a
+start of rank k + 1 opens one where k ends come before it; the boundaries left over pair up in order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from .lineage import settle
-from .ordered import bucketed_rank, millis
+from .ordered import bucket_of, millis
 
 HOUR_MS = 3_600_000
 
@@ -37,21 +38,30 @@ def interval_rows(df: DataFrame, entity: Sequence[str], row_key: Sequence[str],
 def periods_and_gaps(df: DataFrame, entity: Sequence[str], bucket_ms: int = HOUR_MS) -> DataFrame:
     """From (entity, s, e) rows: entity, ``kind``, ``start_ms``, ``end_ms``, ``n`` (intervals; null for gaps).
 
-    Empty input gives an empty result; touching intervals join; equal intervals count each.
+    Empty input gives an empty result; touching intervals join; equal intervals count each. Boundaries are
+    shuffled once, into buckets of an entity's time; ranks are counts inside a bucket plus those of the
+    buckets before, and only a bucket's totals and its first boundary cross its border.
     """
     entity = list(entity)
-    side = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("s").alias("t")), F.struct(F.lit(1).alias("side"), F.col("e").alias("t")))).alias("x")
-    ranked = bucketed_rank(df.select(*entity, side).select(*entity, "x.side", "x.t"), [*entity, "side"], "t", [], bucket_ms, "k")
-    # cut k: the k-th end against the (k+1)-th start; k = 0 opens the first, the largest closes the last period
-    cuts = ranked.groupBy(*entity, (F.col("k") + F.col("side") - 1).alias("k")).agg(F.max(F.when(F.col("side") == 0, F.col("t"))).alias("s"), F.max(F.when(F.col("side") == 1, F.col("t"))).alias("e"))
-    cuts = settle(cuts.where("s is null or e is null or s > e"))
-    gaps = cuts.where("s is not null and e is not null").select(
-        *entity, F.lit("gap").alias("kind"), F.col("e").alias("start_ms"), F.col("s").alias("end_ms"), F.lit(None).cast("long").alias("n")
+    both = F.explode(F.array(F.struct(F.col("s").alias("t"), F.lit(0).alias("side")), F.struct(F.col("e").alias("t"), F.lit(1).alias("side")))).alias("x")
+    ev = df.select(*entity, both).select(*entity, "x.t", "x.side").withColumn("__b", bucket_of(F.col("t"), bucket_ms)).repartition(*entity, "__b")
+    # a start comes before an end of the same time: touching intervals join
+    inside = W.partitionBy(*entity, "__b").orderBy("t", "side")
+    upto = inside.rowsBetween(W.unboundedPreceding, 0)
+    ranked = ev.withColumn("ks", F.sum(1 - F.col("side")).over(upto)).withColumn("ke", F.sum("side").over(upto))
+    before = W.partitionBy(*entity).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)
+    totals = ranked.groupBy(*entity, "__b").agg(F.max("ks").alias("ns"), F.max("ke").alias("ne"))
+    earlier = totals.select(*entity, "__b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("ns", "ne")])
+    ranks = ranked.join(earlier, [*entity, "__b"]).select(*entity, "__b", "t", "side", (F.col("ks") + F.col("ns")).alias("ks"), (F.col("ke") + F.col("ne")).alias("ke"))
+    # n: intervals ended by then
+    bounds = settle(ranks.where("(side = 0 and ks = ke + 1) or (side = 1 and ke = ks)").select(*entity, "__b", "t", "side", F.col("ke").alias("n")))
+    row = F.struct("t", "side", "n")
+    after = bounds.groupBy(*entity, "__b").agg(F.min(row).alias("__first"))
+    after = after.select(*entity, "__b", F.lead("__first").over(W.partitionBy(*entity).orderBy("__b")).alias("__after"))
+    nxt = F.coalesce(F.lead(row).over(inside), F.col("__after"))
+    # starts and ends alternate: an opening start is followed by its end, an end by the start after the gap
+    pairs = bounds.join(after, [*entity, "__b"]).withColumn("__next", nxt).where("__next is not null")
+    period = F.col("side") == 0
+    return pairs.select(
+        *entity, F.when(period, "period").otherwise("gap").alias("kind"), F.col("t").alias("start_ms"), F.col("__next.t").alias("end_ms"), F.when(period, F.col("__next.n") - F.col("n")).alias("n")
     )
-    # the starts that open and the ends that close, ranked again, pair up
-    bounds = cuts.select(*entity, "k", side).where("x.t is not null").select(*entity, "k", "x.side", "x.t")
-    paired = bucketed_rank(bounds, [*entity, "side"], "t", [], bucket_ms, "i").groupBy(*entity, "i").agg(
-        *[F.max(F.when(F.col("side") == v, F.col(c))).alias(f"{c}{v}") for v in (0, 1) for c in ("t", "k")]
-    )
-    periods = paired.select(*entity, F.lit("period").alias("kind"), F.col("t0").alias("start_ms"), F.col("t1").alias("end_ms"), (F.col("k1") - F.col("k0")).alias("n"))
-    return periods.unionByName(gaps)
