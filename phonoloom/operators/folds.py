@@ -68,9 +68,10 @@ def grouped_voices(df: DataFrame, parent: str, voice: str, least: int = 1) -> Da
     return d.groupBy(parent).agg(orphan, F.map_from_entries(F.array_sort(named)).alias("voices"))
 
 
-def speed_edges(df: DataFrame, lang: str, rate: str, least: int = 20) -> DataFrame:
+def speed_edges(df: DataFrame, lang: str, rate: str, least: int = 200) -> DataFrame:
     """E21. Per language with enough rows the median rate and the edges fitted to it, with the shares below, between and above."""
     m = df.where(F.col(rate).isNotNull() & F.col(lang).isNotNull()).groupBy(lang).agg(F.count(F.lit(1)).alias("n"), F.median(rate).alias("med")).where(F.col("n") >= least)
+    # The edges as parts of the median.
     m = m.select(lang, "n", F.round(F.col("med") * 0.843, 1).alias("lo"), F.round(F.col("med") * 1.335, 1).alias("hi"))
     d = df.where(F.col(rate).isNotNull()).join(m, lang)
     g = d.groupBy(lang, "n", "lo", "hi").agg(F.sum((F.col(rate) < F.col("lo")).cast("int")).alias("slow"), F.sum((F.col(rate) > F.col("hi")).cast("int")).alias("fast"))
@@ -81,3 +82,26 @@ def budgeted(df: DataFrame, order: str, amount: str, most: float) -> DataFrame:
     """G5. Rows in ``order`` while the sum of those before stays below ``most``; meant for unit tables (a row per archive)."""
     before = W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     return df.withColumn("before", F.coalesce(F.sum(amount).over(before), F.lit(0))).where(F.col("before") < most)
+
+
+def restricted(posterior: DataFrame, keys: Sequence[str], label: str, weight: str, admitted: str) -> DataFrame:
+    """C25. (keys, label, share): weights restricted to the labels in the array ``admitted`` and made to sum to one.
+
+    Where nothing is admitted, or no weight lies on what is, all labels keep their part.
+    """
+    w = W.partitionBy(*keys)
+    d = posterior.withColumn("__k", F.when(F.array_contains(F.coalesce(admitted, F.array().cast("array<string>")), F.col(label)), F.col(weight)).otherwise(0))
+    d = d.withColumn("__kt", F.sum("__k").over(w)).withColumn("__wt", F.sum(weight).over(w)).where("__kt = 0 or __k > 0")
+    return d.select(*keys, label, F.round(F.when(F.col("__kt") > 0, F.col("__k") / F.col("__kt")).otherwise(F.col(weight) / F.nullif(F.col("__wt"), F.lit(0))), 6).alias("share"))
+
+
+def enriched(rows: DataFrame, tags: str, ok: str) -> DataFrame:
+    """E26. Per tag the pass rates of rows with and without it and their ratio: tag, n_with, n_without, rate_with, rate_without, ratio.
+
+    ``ok`` is 0 or 1; a rate over no rows and a ratio to a rate of zero are null.
+    """
+    all_ = rows.agg(F.count(F.lit(1)).alias("__n"), F.sum(ok).alias("__ok"))  # one row
+    per = rows.select(F.explode(F.array_distinct(tags)).alias("tag"), F.col(ok).alias("__o")).groupBy("tag").agg(F.count(F.lit(1)).alias("n_with"), F.sum("__o").alias("__k"))
+    d = per.join(F.broadcast(all_)).withColumn("n_without", F.col("__n") - F.col("n_with"))
+    a, b = F.col("__k") / F.col("n_with"), (F.col("__ok") - F.col("__k")) / F.nullif(F.col("n_without"), F.lit(0))
+    return d.select("tag", "n_with", "n_without", F.round(a, 6).alias("rate_with"), F.round(b, 6).alias("rate_without"), F.round(a / F.nullif(b, F.lit(0.0)), 6).alias("ratio"))

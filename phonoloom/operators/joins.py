@@ -152,3 +152,13 @@ def ranked_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     local = W.partitionBy(*keys, F.spark_partition_id()).orderBy(*order)
     few = df.withColumn("__r", F.row_number().over(local)).where(F.col("__r") <= k).drop("__r")
     return few.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
+
+
+def overlaid(base: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """D3. Left join in which every field of ``side`` takes the place of the base's where the key has a row there, null or not;
+    fields only ``side`` has are null elsewhere; ``overlaid`` tells which rows were met. Keys of ``side`` must not repeat."""
+    fields = [c for c in side.columns if c != key]
+    j = base.join(side.select(key, F.struct(*fields).alias("__new")), key, "left")
+    met = F.col("__new").isNotNull()
+    cols = [F.when(met, F.col("__new")[c]).otherwise(F.col(c) if c in base.columns else F.lit(None)).alias(c) for c in fields]
+    return j.select(*[c for c in base.columns if c not in fields], *cols, met.alias("overlaid"))

@@ -22,12 +22,17 @@ def speaker_cuts(frames: DataFrame, longest_ms: int = 30_000, merge_gap_ms: int
     opens = ~F.col("has_prev") | ~F.col("prev_spk").eqNullSafe(F.col("spk")) | (F.col("s") - F.col("far") >= merge_gap_ms)
     d = carry_last(d.withColumn("opens", F.when(opens | long, F.struct("s", "idx"))), ["sid"], "hour", ["s", "idx"], "opens", "run")
     lists = d.groupBy("sid", "spk", "run").agg(F.sort_array(F.collect_list(F.struct("s", "idx", "e"))).alias("rows"))
-    step = f"""aggregate(rows, cast(array() as array<struct<us:bigint,ue:bigint,n:bigint>>), (acc, r) ->
-        case when size(acc) > 0 and r.e - element_at(acc, -1).us <= {longest_ms} and r.s - element_at(acc, -1).ue < {merge_gap_ms}
-             then concat(slice(acc, 1, size(acc) - 1), array(named_struct('us', element_at(acc, -1).us, 'ue', greatest(element_at(acc, -1).ue, r.e), 'n', element_at(acc, -1).n + 1L)))
+    unit = "named_struct('us', a.us, 'ue', a.ue, 'n', a.n)"
+    closed = f"if(a.n > 0, array_append(a.c, {unit}), a.c)"
+    # the open unit is carried beside the closed ones; of a long frame the tail stays open
+    step = f"""aggregate(rows, named_struct('c', cast(array() as array<struct<us:bigint,ue:bigint,n:bigint>>), 'us', 0L, 'ue', 0L, 'n', 0L), (a, r) ->
+        case when a.n > 0 and r.e - a.us <= {longest_ms} and r.s - a.ue < {merge_gap_ms}
+             then named_struct('c', a.c, 'us', a.us, 'ue', greatest(a.ue, r.e), 'n', a.n + 1L)
              when r.e - r.s > {longest_ms}
-             then concat(acc, transform(sequence(0, cast(ceil((r.e - r.s) / {longest_ms}) as int) - 1), k -> named_struct('us', r.s + k * {longest_ms}L, 'ue', least(r.e, r.s + (k + 1) * {longest_ms}L), 'n', 1L)))
-             else concat(acc, array(named_struct('us', r.s, 'ue', r.e, 'n', 1L))) end)"""
+             then named_struct('c', concat({closed}, transform(sequence(0, cast(ceil((r.e - r.s) / {longest_ms}) as int) - 2), k -> named_struct('us', r.s + k * {longest_ms}L, 'ue', r.s + (k + 1) * {longest_ms}L, 'n', 1L))),
+                               'us', r.s + (cast(ceil((r.e - r.s) / {longest_ms}) as bigint) - 1L) * {longest_ms}L, 'ue', r.e, 'n', 1L)
+             else named_struct('c', {closed}, 'us', r.s, 'ue', r.e, 'n', 1L) end,
+        a -> array_append(a.c, {unit}))"""
     u = lists.select("sid", "spk", F.explode(F.expr(step)).alias("u")).select("sid", "spk", F.col("u.us").alias("unit_start"), F.col("u.ue").alias("unit_end"), F.col("u.n").alias("n"))
     return u.where(F.col("unit_end") - F.col("unit_start") >= least_ms)
 

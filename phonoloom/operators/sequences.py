@@ -90,6 +90,23 @@ def gate_windows(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("reason", reason)
 
 
+def _folded_units(segs: DataFrame, max_gap_ms: int, max_span_ms: int) -> DataFrame:
+    """The units of ``capped_units`` with the idx each begins with."""
+    d = carry_previous(hourly(segs.withColumn("spk", F.coalesce("spk", F.lit("")))), ["sid"], "hour", ORDER, ["spk", "e"])
+    opens = ~F.col("has_prev") | (F.col("prev_spk") != F.col("spk")) | (F.col("s") - F.col("prev_e") >= max_gap_ms)
+    d = carry_last(d.withColumn("opens", F.when(opens, F.struct("s", "idx"))), ["sid"], "hour", ORDER, "opens", "run")
+    rows = F.sort_array(F.collect_list(F.struct("s", "idx", "e")))
+    folded = d.groupBy("sid", "spk", "run").agg(rows.alias("rows"))
+    # the open unit is carried beside the closed ones, which are only touched when a unit closes
+    step = f"""aggregate(rows, named_struct('c', cast(array() as array<struct<us:bigint,ue:bigint,n:bigint,i:bigint>>), 'us', 0L, 'ue', 0L, 'n', 0L, 'i', 0L), (a, r) ->
+        if(a.n > 0 and r.e - a.us <= {max_span_ms},
+           named_struct('c', a.c, 'us', a.us, 'ue', r.e, 'n', a.n + 1L, 'i', a.i),
+           named_struct('c', if(a.n > 0, array_append(a.c, named_struct('us', a.us, 'ue', a.ue, 'n', a.n, 'i', a.i)), a.c), 'us', r.s, 'ue', r.e, 'n', 1L, 'i', cast(r.idx as bigint))),
+        a -> array_append(a.c, named_struct('us', a.us, 'ue', a.ue, 'n', a.n, 'i', a.i)))"""
+    u = folded.select("sid", "spk", F.explode(F.expr(step)).alias("u"))
+    return u.select("sid", "spk", F.col("u.us").alias("unit_start"), F.col("u.ue").alias("unit_end"), F.col("u.n").alias("n_seg"), F.col("u.i").alias("first_idx"))
+
+
 def capped_units(segs: DataFrame, max_gap_ms: int = 3000, max_span_ms: int = 20_000) -> DataFrame:
     """F3. Greedy merge of neighbouring segments of one speaker: sid, spk, unit_start, unit_end, n_seg.
 
@@ -97,18 +114,20 @@ def capped_units(segs: DataFrame, max_gap_ms: int = 3000, max_span_ms: int = 20_
     the unit's start stays within ``max_span_ms``. Only breaks of speaker or gap are fixed points of
     the fold, so rows are folded per such run, which a run of the order bounds, not per recording.
     """
-    d = carry_previous(hourly(segs.withColumn("spk", F.coalesce("spk", F.lit("")))), ["sid"], "hour", ORDER, ["spk", "e"])
-    opens = ~F.col("has_prev") | (F.col("prev_spk") != F.col("spk")) | (F.col("s") - F.col("prev_e") >= max_gap_ms)
-    d = carry_last(d.withColumn("opens", F.when(opens, F.struct("s", "idx"))), ["sid"], "hour", ORDER, "opens", "run")
-    rows = F.sort_array(F.collect_list(F.struct("s", "idx", "e")))
-    folded = d.groupBy("sid", "spk", "run").agg(rows.alias("rows"))
-    unit = "struct<us:bigint,ue:bigint,n:int>"
-    step = f"""aggregate(rows, cast(array() as array<{unit}>), (acc, r) ->
-        if(size(acc) > 0 and r.e - element_at(acc, -1).us <= {max_span_ms},
-           concat(slice(acc, 1, size(acc) - 1), array(named_struct('us', element_at(acc, -1).us, 'ue', r.e, 'n', element_at(acc, -1).n + 1))),
-           concat(acc, array(named_struct('us', r.s, 'ue', r.e, 'n', 1)))))"""
-    u = folded.select("sid", "spk", F.explode(F.expr(step)).alias("u"))
-    return u.select("sid", "spk", F.col("u.us").alias("unit_start"), F.col("u.ue").alias("unit_end"), F.col("u.n").cast("long").alias("n_seg"))
+    return _folded_units(segs, max_gap_ms, max_span_ms).drop("first_idx")
+
+
+def unit_metrics(segs: DataFrame, max_gap_ms: int = 3000, max_span_ms: int = 20_000) -> DataFrame:
+    """E15. Per unit of F3: sid, unit_start, n_seg, seconds (of its segments, three places), mean_q (plain mean, three places) and lang,
+    the most frequent set and known language in lower case, the first seen at ties."""
+    first = _folded_units(segs, max_gap_ms, max_span_ms).select("sid", F.col("first_idx").alias("idx"), F.lit(True).alias("__first"))
+    d = hourly(segs).join(first, ["sid", "idx"], "left").withColumn("opens", F.when(F.col("__first"), F.struct("s", "idx")))
+    d = carry_last(d, ["sid"], "hour", ORDER, "opens", "unit")
+    d = d.withColumn("__l", F.lower(F.trim("lang"))).withColumn("__l", F.when(~F.col("__l").isin("", "unknown"), F.col("__l")))
+    votes = d.where("__l is not null").groupBy("sid", "unit", "__l").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("s", "idx")).alias("at"))
+    top = votes.groupBy("sid", "unit").agg(F.max(F.struct("n", (-F.col("at.s")).alias("a"), (-F.col("at.idx")).alias("b"), "__l")).alias("x")).select("sid", "unit", F.col("x.__l").alias("lang"))
+    g = d.groupBy("sid", "unit").agg(F.count(F.lit(1)).alias("n_seg"), F.round(F.sum(F.col("e") - F.col("s")) / 1000, 3).alias("seconds"), F.round(F.avg("q") + 1e-9, 3).alias("mean_q"))
+    return g.join(top, ["sid", "unit"], "left").select("sid", F.col("unit.s").alias("unit_start"), "n_seg", "seconds", "mean_q", "lang")
 
 
 def long_chunks(segs: DataFrame, max_gap_ms: int = 2000) -> DataFrame:
@@ -172,16 +191,22 @@ def placed_members(windowed: DataFrame) -> DataFrame:
     return d.join(first, ["sid", "win"]).withColumn("place", F.col("__rank") - F.col("__first") + 1).drop("__rank", "__first")
 
 
+def kept_turns(windowed: DataFrame, tolerance_ms: int = 50) -> DataFrame:
+    """I28. Adds ``kept``: false for a reused segment (``status``) that ends more than ``tolerance_ms`` after its window's ``win_end``."""
+    return windowed.withColumn("kept", (F.col("status") != "reuse") | (F.col("e") <= F.col("win_end") + tolerance_ms))
+
+
 def transcript(windowed: DataFrame) -> DataFrame:
-    """F20. One text per window: runs of one speaker tag joined, text-less ones omitted: ``[S1] a b [S2] c``."""
+    """F20. One text per window: runs of one speaker tag joined, text-less ones omitted: ``[S1] a b [S2] c``.
+
+    Runs are built in hour buckets; only a window's finished lines meet in one row. Windows without text give no row.
+    """
     tagged = windowed.join(speaker_tags(windowed), ["sid", "win", "spk"])
-    d = tagged.withColumn("t", F.trim(F.coalesce("txt", F.lit(""))))
-    inside = W.partitionBy("sid", "win").orderBy(*ORDER)
-    d = d.withColumn("new", F.coalesce(F.lag("tag").over(inside) != F.col("tag"), F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(inside))
-    one = d.where("t <> ''").groupBy("sid", "win", "run", "tag").agg(F.array_sort(F.collect_list(F.struct("s", "idx", "t"))).alias("ts"))
-    line = F.concat(F.lit("["), F.col("tag"), F.lit("] "), F.array_join(F.transform("ts", lambda x: x["t"]), " "))
-    g = one.select("sid", "win", F.struct("run", line.alias("line")).alias("r")).groupBy("sid", "win").agg(F.array_sort(F.collect_list("r")).alias("rs"))
-    return g.select("sid", F.col("win").alias("win_start"), F.array_join(F.transform("rs", lambda x: x["line"]), " ").alias("transcript"))
+    d = tagged.select("sid", "hour", "s", "idx", F.struct("win", "tag").alias("key"), F.nullif(F.trim("txt"), F.lit("")).alias("t"))
+    r = runs(d, ["sid"], "hour", ORDER, "key", ["s", "idx"], joined=["t"]).where("t <> ''")
+    line = F.concat(F.lit("["), F.col("key.tag"), F.lit("] "), F.col("t"))
+    g = r.groupBy("sid", F.col("key.win").alias("win_start")).agg(F.array_sort(F.collect_list(F.struct("first_s", "first_idx", line.alias("line")))).alias("rs"))
+    return g.select("sid", "win_start", F.array_join(F.transform("rs", lambda x: x["line"]), " ").alias("transcript"))
 
 
 def event_schedule(duration_ms: Column, every: int = 30_000, room: int = 10_000, least: int = 15_000) -> Column:

@@ -80,16 +80,21 @@ def degenerate(text: Column, seconds: Column) -> Column:
     return (n > 80) & (seconds > 0) & (n > 25 * seconds) & (ngram_repeat(text) >= 3)
 
 
-def transcript_verdict(text: Column, lang: Column, accepted: Column, seconds: Column, q: Column, fewest: int = 2) -> Column:
-    """C3. The first failing check of a transcript: no_result, lang, repetition, text, quality, ratio; null where all pass."""
+def transcript_verdict(text: Column, lang: Column, accepted: Column, seconds: Column, q: Column, lid: Column, repeated: Column, dialect: Column, fewest: int = 2, floor: float = 3.0, dialect_floor: float = 2.4) -> Column:
+    """C3. The first failing check of a transcript: no_result, lang, asr_repetition, text, post_asr_zh_en, ratio; null where all pass.
+
+    ``lid`` is the language a detector gave before, ``repeated`` the I3 share, ``dialect`` whether both sides name one. A text
+    recognised as zh or en that the detector took for neither must reach the quality floor.
+    """
     chars = F.coalesce(X.char_count(text), F.lit(0))
-    floor = X.by_language(lang, {"zh": 3.0, "en": 3.0}, 2.4)
+    known = F.lower(F.trim(F.coalesce(lid, F.lit("")))).isin("zh", "en")
+    least = F.when(dialect, F.lit(dialect_floor)).otherwise(F.lit(floor))
     return (
-        F.when((chars == 0) & lang.isNull(), "no_result")
+        F.when((F.trim(F.coalesce(text, F.lit(""))) == "") & (F.coalesce(lang, F.lit("")) == ""), "no_result")
         .when(~F.coalesce(accepted, F.lit(False)), "lang")
-        .when(ngram_repeat(text) >= 4, "repetition")
+        .when(repeated >= 0.8, "asr_repetition")
         .when(chars < fewest, "text")
-        .when(q.isNull() | (q < floor), "quality")
+        .when(F.coalesce(lang.isin("zh", "en"), F.lit(False)) & ~known & (q.isNull() | (q < least)), "post_asr_zh_en")
         .when(~X.seconds_per_char_ok(seconds, chars, lang), "ratio")
     )
 

@@ -54,7 +54,7 @@ def e8_grouped_voices(spark, d):
 
 
 def e11_covering_languages(spark, d):
-    return A.covering_labels(_seg(spark, d), ["sid"], "lang", _w())
+    return A.covering_labels(_seg(spark, d).where("trim(txt) <> '' and lang <> 'unknown'"), ["sid"], "lang", _w())
 
 
 def e12_majority_language(spark, d):
@@ -147,7 +147,7 @@ def c5_ratio_bounds(spark, d):
 def c6_confidence_gate(spark, d):
     f = views.facts(spark, d)
     conf = F.try_element_at("extra", F.lit("lid_confidence")).cast("double")
-    return f.select("fact_id", F.when(F.col("language").isNull() | (F.trim("language") == "") | (F.coalesce(conf, F.lit(0.0)) < 0.5), "unknown").otherwise(F.split("language", " ")[0]).alias("lang"))
+    return f.select("fact_id", F.when(F.col("language").isNull() | (F.trim("language") == "") | (F.coalesce(conf, F.lit(0.0)) < 0.8), "unknown").otherwise(F.split("language", " ")[0]).alias("lang"))
 
 
 def c10_language_subset(spark, d):
@@ -189,11 +189,6 @@ def c32_pattern_scan(spark, d):
     return t.where(F.col("text").rlike(r"\b[0-9]{1,2} ?[ap]\. ?m\.") | F.col("text").rlike(r"https?://")).select("doc_id")
 
 
-def g1_numeric_order(spark, d):
-    s = _seg(spark, d).select("sid", "idx", F.coalesce("q", F.lit(float("inf"))).alias("key"))
-    return J.ranked_within(s, ["sid"], [F.asc("key"), F.asc("idx")], 5).select("sid", "idx", "rank")
-
-
 def g1_full_order(spark, d):
     s = _seg(spark, d).select("sid", "idx", F.coalesce("q", F.lit(float("inf"))).alias("key"))
     return ranged_rank(s, ["sid"], [F.asc("key"), F.asc("idx")], "rank").select("sid", "idx", "rank")
@@ -284,7 +279,7 @@ ORACLES = {
     "e4_posterior_mean": _POST + "select label, pos, mean, row_number() over (partition by label order by mean desc, pos) as rank from m",
     "e5_top_positions": _POST + ", r as (select label, pos, mean, row_number() over (partition by label order by mean desc, pos) as rank from m) select * from r where rank <= 3",
     "e8_grouped_voices": sql("also g as (select sid, spk, count(*) as n, cast(sum(e - s) as bigint) as ms from seg group by sid, spk), o as (select sid, cast(sum(case when spk is null then n else 0 end) as bigint) as orphans, count(spk) as k from g group by sid) select o.sid, orphans, g.spk, g.n, g.ms from o left join g on g.sid = o.sid and g.spk is not null", "seg"),
-    "e11_covering_languages": sql("""also p as (select sid, lang, sum(e - s) as w from seg where lang is not null and lang <> '' group by all),
+    "e11_covering_languages": sql("""also p as (select sid, lang, sum(e - s) as w from seg where lang is not null and lang not in ('', 'unknown') and trim(txt) <> '' group by all),
         c as (select *, coalesce(sum(w) over (partition by sid order by w desc, lang rows between unbounded preceding and 1 preceding), 0) as b, sum(w) over (partition by sid) as a from p)
         select sid, string_agg(lang, ',' order by lang) as labels from c where b < 0.9 * a group by sid""", "seg"),
     "e12_majority_language": sql("also p as (select sid, lower(trim(lang)) as l, count(*) as n, min((s, idx)) as fst from seg where lower(trim(lang)) not in ('', 'unknown') group by all), r as (select *, row_number() over (partition by sid order by n desc, fst) as r from p) select sid, l as lang, n from r where r = 1", "seg"),
@@ -296,7 +291,7 @@ ORACLES = {
     "e19_top_sources": "select source, count(*) as n from documents group by source order by n desc, source limit 5",
     "e20_survey": "select source, coalesce(lang, 'none') as lang, " + ", ".join(f"cast(coalesce(sum(case when kind = '{k}' then n_chars end), 0) as bigint) as \"{k}\"" for k in ("long", "dialogue", "caption", "short", "subtitle")) + " from documents group by 1, 2",
     "e20_rollup": "select source, kind, count(*) as n, cast(sum(n_chars) as bigint) as chars, grouping(source, kind) as level from documents group by rollup (source, kind)",
-    "e21_speed_edges": sql("also " + _RATED + """, m as (select lang, count(*) as n, median(rate) as med from rr where rate is not null and lang is not null group by lang having count(*) >= 20),
+    "e21_speed_edges": sql("also " + _RATED + """, m as (select lang, count(*) as n, median(rate) as med from rr where rate is not null and lang is not null group by lang having count(*) >= 200),
         f as (select lang, n, round(med * 0.843, 1) as lo, round(med * 1.335, 1) as hi from m)
         select f.lang, n, lo, hi, round(sum(case when rate < lo then 1 else 0 end) / count(*), 6) as slow_share, round(sum(case when rate > hi then 1 else 0 end) / count(*), 6) as fast_share from f join rr on rr.lang = f.lang where rate is not null group by all""", "seg"),
     "e24_row_languages": sql("also p as (select sid, lang, min((s, idx)) as fst from seg where trim(lang) <> '' group by all) select sid, string_agg(lang, ',' order by fst) as languages from p group by sid", "seg"),
@@ -307,7 +302,7 @@ ORACLES = {
     "c2_quality_marks": sql("select idx, case when (e - s) / 1000.0 < 0.5 then 'duration_too_short' when (e - s) / 1000.0 > 30 then 'duration_too_long' when q is null then 'missing_quality' when q < case when lower(trim(lang)) in ('zh', 'en') then 3.0 else 2.4 end then 'low_quality' end as reason from seg", "seg"),
     "c5_ratio_bounds": sql("also " + _RATED + """ select idx, case when chars > 0 and sec > 0 and sec / chars >= case when lower(trim(lang)) in ('zh', 'yue', 'ja', 'ko', 'th') then 0.04 else 0.015 end
         and sec / chars <= case when lower(trim(lang)) in ('zh', 'yue', 'ja', 'ko', 'th') then 2.0 else 1.0 end then 1 else 0 end as ok from rr""", "seg"),
-    "c6_confidence_gate": sql("select fact_id, case when language is null or trim(language) = '' or coalesce(try_cast(extra['lid_confidence'] as double), 0) < 0.5 then 'unknown' else split_part(language, ' ', 1) end as lang from fac", "fac"),
+    "c6_confidence_gate": sql("select fact_id, case when language is null or trim(language) = '' or coalesce(try_cast(extra['lid_confidence'] as double), 0) < 0.8 then 'unknown' else split_part(language, ' ', 1) end as lang from fac", "fac"),
     "c10_language_subset": "with r as (select sid, arg_max_null(languages, ingested_at) as languages from recordings where sid is not null group by sid) select sid from r where len(languages) > 0 and len(list_filter(languages, lambda x: x not in ('en', 'de', 'fr', 'es'))) = 0",
     "c12_clamped": sql("""also r as (select sid, arg_max_null(duration, ingested_at) as d0 from recordings where sid is not null group by sid), r2 as (select sid, try_cast(round(d0 * 1000) as bigint) as dur from r), j as (select seg.*, dur from seg left join r2 using (sid))
         select idx, case when dur is null then 'no_duration' when s >= dur then 'starts_past_end' when least(e, dur) - s < 500 then 'too_short' else 'kept' end as reason, least(e, dur) as end_ms from j""", "seg"),
@@ -315,7 +310,6 @@ ORACLES = {
     "c19_cough_filter": sql("select id, trim(regexp_replace(regexp_replace(nv_text, '\\[Cough\\]', ' ', 'g'), ' +', ' ', 'g')) as text from nv where nv_text is not null and (not contains(nv_text, '[Cough]') or len(list_filter(coalesce(nv_tags, []), lambda t: t <> 'Cough')) > 0)", "nv"),
     "c20_iqr_acceptance": sql("also " + _RATED + ", x as (select *, sec / chars as r from rr where chars > 0), b as (select quantile_cont(r, 0.25) as q1, quantile_cont(r, 0.75) as q3 from x) select idx from x, b where sec >= 2 and sec <= 30 and q >= 2.8 and chars >= 2 and r >= q1 - 1.5 * (q3 - q1) and r <= q3 + 1.5 * (q3 - q1)", "seg"),
     "c32_pattern_scan": "select doc_id from documents where regexp_matches(text, '\\b[0-9]{1,2} ?[ap]\\. ?m\\.') or regexp_matches(text, 'https?://')",
-    "g1_numeric_order": sql("also r as (select sid, idx, row_number() over (partition by sid order by coalesce(q, 'infinity'::double), idx) as rank from seg) select * from r where rank <= 5", "seg"),
     "g1_full_order": sql("select sid, idx, row_number() over (partition by sid order by coalesce(q, 'infinity'::double), idx) as rank from seg", "seg"),
     "g3_top_voices": sql("also p as (select sid, spk, sum(e - s) as w from seg where spk is not null group by all), r as (select *, row_number() over (partition by sid order by w desc, spk) as r from p) select sid, string_agg(spk, '|' order by r) as top from r where r <= 3 group by sid", "seg"),
     "g5_budget_stop": sql("also t as (select source_tar, cast(sum(cast(round((rel_end - rel_start) * 1000) as bigint)) as bigint) as ms from man where source_tar is not null and rel_end > rel_start group by 1), c as (select *, cast(coalesce(sum(ms) over (order by source_tar rows between unbounded preceding and 1 preceding), 0) as bigint) as before from t) select source_tar, ms, before from c where before < 900000", "man"),

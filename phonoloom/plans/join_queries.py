@@ -47,7 +47,7 @@ def a18_member_views(spark, d):
 
 def d1_stage_merge(spark, d):
     base = table(spark, d, "documents").where("doc_id is not null").select("doc_id", "parent_id", "kind")
-    tags = table(spark, d, "documents").where("doc_id % 3 <> 0").select("doc_id", X.char_count(F.col("text")).cast("long").alias("chars"))
+    tags = table(spark, d, "documents").where("doc_id is not null and text is not null").select("doc_id", X.char_count(F.col("text")).cast("long").alias("chars"))
     return J.merged(base, tags, "doc_id")
 
 
@@ -180,7 +180,7 @@ ORACLES = {
     "a3_last_wins": "select sid, arg_max(audio_name, (ingested_at, audio_name)) as audio_name, arg_max(sample_rate, (ingested_at, audio_name)) as sample_rate from recordings where sid is not null group by sid",
     "a9_first_seen_archives": sql("select source_tar, min(id) as first_id, count(*) as n from man where source_tar is not null group by source_tar", "man"),
     "a18_member_views": sql("select case when contains(source_member, '_long_') then 'long' when contains(source_member, '_dlg_') then 'dialogue' else 'short' end as view, count(*) as n from man where source_member is not null group by 1", "man"),
-    "d1_stage_merge": "select doc_id, parent_id, kind, case when doc_id % 3 <> 0 then length(regexp_replace(text, '[\\s\\p{P}\\p{Z}]', '', 'g')) end as chars from documents where doc_id is not null",
+    "d1_stage_merge": "select doc_id, parent_id, kind, length(regexp_replace(text, '[\\s\\p{P}\\p{Z}]', '', 'g')) as chars from documents where doc_id is not null",
     "d2_transcript_merge": sql("also " + _ACC + " select idx, coalesce(heard, txt) as text, case when heard is not null then 'asr' when txt is not null then 'raw' end as text_source from seg left join acc using (sid, seg_index)", "seg", "fac"),
     "d5_remaining_work": sql("select idx from seg where not exists (select 1 from fac where accepted and fac.sid = seg.sid and fac.seg_index = seg.seg_index)", "seg", "fac"),
     "d6_pending_archives": sql("select distinct source_tar from man where source_tar is not null and regexp_extract(source_tar, '([^/]+)$', 1) not in (select regexp_extract(source_tar, '([^/]+)$', 1) from man where txt is not null and source_tar is not null)", "man"),

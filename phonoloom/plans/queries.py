@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import periods
 from ..sources.tables import table
-from . import fold_queries, join_queries, record_queries, rule_queries, sequence_queries, source_queries, verdict_queries
+from . import fold_queries, join_queries, record_queries, rule_queries, sequence_queries, source_queries, unit_queries, verdict_queries
 
-MODULES = (sequence_queries, join_queries, fold_queries, verdict_queries, record_queries, rule_queries, source_queries)
+MODULES = (sequence_queries, join_queries, fold_queries, verdict_queries, record_queries, rule_queries, source_queries, unit_queries)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,14 +36,6 @@ def d9_unit_texts(spark, d):
     return R.unit_texts(s, views.facts(spark, d))
 
 
-def d17_synced_spans(spark, d):
-    f = views.frames(spark, d)
-    target = f.where("idx % 3 <> 0").select("sid", "s", "e", "spk", F.lit("old").alias("tag")).dropDuplicates(["sid", "s", "e", "spk"])
-    v = F.when(F.col("idx") % 6 == 0, "drop").when(F.col("idx") % 4 == 0, "replace").otherwise("keep")
-    dec = f.where("idx % 2 = 0").groupBy("sid", "s", "e", "spk").agg(F.min("idx").alias("idx")).select("sid", "s", "e", "spk", v.alias("verdict"), F.when(v == "replace", "new").alias("tag"))
-    return R.synced_spans(target, dec)
-
-
 def d20_selection(spark, d):
     m = views.manifest(spark, d).where("id is not null and source_member is not null")
     return R.strict_selection(m.where("lang = 'en'").select("id"), m.select("id", "source_tar", "source_member"), "id", ["source_member"])
@@ -115,10 +107,6 @@ ORACLES = {
     "d9_unit_texts": sql("also " + _WIN + """, g as (select sid, seg_index, arg_min_null(text, fact_id) as text, 1 as hit from fac where accepted group by sid, seg_index),
         j as (select o.sid, o.win, o.s, g.text, hit from o left join g on g.sid = o.sid and g.seg_index = o.seg_index)
         select sid, win as unit, count(*) as n, case when count(*) = count(hit) then coalesce(string_agg(trim(text), ' ' order by s, trim(text)) filter (where trim(text) <> ''), '') end as text from j group by sid, win""", "seg", "fac"),
-    "d17_synced_spans": sql("""also t as (select distinct sid, s, e, spk, 'old' as tag from frm where idx % 3 <> 0), m as (select sid, s, e, spk, min(idx) as idx from frm where idx % 2 = 0 group by all),
-        d as (select *, case when idx % 6 = 0 then 'drop' when idx % 4 = 0 then 'replace' else 'keep' end as v from m)
-        select coalesce(t.sid, d.sid) as sid, coalesce(t.s, d.s) as s, coalesce(t.e, d.e) as e, coalesce(t.spk, d.spk) as spk, case when v = 'replace' then 'new' else tag end as tag
-        from t full join d on t.sid = d.sid and t.s = d.s and t.e = d.e and t.spk = d.spk where coalesce(v, 'keep') <> 'drop' and (tag is not null or v = 'replace')""", "frm"),
     "d20_selection": sql("select id, source_tar, source_member from man where id is not null and source_member is not null and lang = 'en'", "man"),
     "f26_sample_bounds": sql("also " + _WIN + ", w as (select *, max(e) over (partition by sid, win) as hi from o) select idx as id, cast(round_even(greatest(s, win) * 16000 / 1000, 0) as bigint) as from_sample, cast(round_even(least(e, hi) * 16000 / 1000, 0) as bigint) as to_sample, cast(null as varchar) as problem from w", "seg"),
     "g7_segment_order": sql("select idx, row_number() over (partition by sid order by s, e, idx) as rank from seg", "seg"),

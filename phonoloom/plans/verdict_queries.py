@@ -30,11 +30,6 @@ def _status(spark, d):
     return _seg(spark, d).join(f, ["sid", "seg_index"], "left").withColumn("status", F.when(F.col("ok"), "reuse").when(F.col("ok").isNotNull(), "skip").otherwise("fill"))
 
 
-def c3_transcript_verdict(spark, d):
-    f = views.facts(spark, d).join(_seg(spark, d).select("sid", "seg_index", "s", "e", "q"), ["sid", "seg_index"])
-    return f.select("fact_id", V.transcript_verdict(F.col("text"), F.col("language"), F.col("accepted"), _w() / 1000, F.col("q")).alias("reason"))
-
-
 def c14_posterior_gate(spark, d):
     p = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.abs(x).cast("double")).alias("p"))
     total = F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
@@ -58,31 +53,12 @@ def c24_chunk_gates(spark, d):
     return c.select("sid", "chunk_start", F.when(sec < 30, "too_short").when(F.coalesce("mean_q", F.lit(0.0)) < 2.4, "low_quality").otherwise("kept").alias("reason"))
 
 
-def c25_restricted_posterior(spark, d):
-    p = table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: F.abs(x).cast("double")).alias("p"))
-    kept = F.slice("p", 1, 8)
-    total = F.aggregate(kept, F.lit(0.0), lambda a, x: a + x)
-    return p.select("vec_id", F.posexplode(F.transform(kept, lambda x: F.round(x / total, 6))).alias("pos", "share"))
-
-
-def d3_caption_overlay(spark, d):
-    m = views.manifest(spark, d).where("id is not null").select("id", "txt", F.col("lang").alias("old"))
-    c = m.where("txt is not null and length(txt) > 40").select("id", F.substring("txt", 1, 20).alias("caption"))
-    return m.join(c, "id", "left").select("id", F.coalesce("caption", "txt").alias("txt"))
-
-
 def d19_offsets(spark, d):
     m = views.manifest(spark, d).where("source_tar is not null")
     i = m.where("txt is not null").select("source_tar", "source_member", F.length("txt").cast("long").alias("size")).dropDuplicates(["source_tar", "source_member"])
     return m.select("id", "source_tar", "source_member").join(i, ["source_tar", "source_member"], "left").groupBy("source_tar").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("size").isNull().cast("int")).alias("missing"))
 
 
-def d22_children(spark, d):
-    # windows with the ids of their members in order, looked up by position
-    w = S.gap_windows(_seg(spark, d)).groupBy("sid", "win").agg(F.array_sort(F.collect_list(F.struct("s", "idx"))).alias("m"))
-    return w.select("sid", F.col("win").alias("win_start"), F.try_element_at("m", F.lit(2))["idx"].alias("second"))
-
-
 def e6_voice_fold(spark, d):
     s = _seg(spark, d).where("spk is not null")
     g = s.groupBy("sid", "spk").agg(F.count(F.lit(1)).alias("n"), F.sum(_w()).alias("ms"), F.countDistinct("lang").alias("n_langs"))
@@ -100,11 +76,6 @@ def e10_spread(spark, d):
     return t.groupBy("sid").agg(F.count("label").alias("n"), F.round(F.coalesce((F.max("label") - F.min("label")) / F.nullif(F.max("label"), F.lit(0.0)), F.lit(0.0)), 3).alias("spread"))
 
 
-def e15_unit_metrics(spark, d):
-    u = S.capped_units(_seg(spark, d))
-    return u.groupBy("sid").agg(F.count(F.lit(1)).alias("units"), F.max("n_seg").alias("most_segs"), F.round(F.avg((F.col("unit_end") - F.col("unit_start")) / 1000), 3).alias("mean_sec"))
-
-
 def f14_run_assembly(spark, d):
     s = S.gap_windows(_status(spark, d).select("sid", "idx", "s", "e", "spk", "status"))
     return V.assembled_runs(s.withColumn("role", F.when(F.col("status") == "reuse", "OK").when(F.col("status") == "skip", "BREAK").otherwise("SILENCE")))
@@ -137,13 +108,6 @@ def f23_phase_line(spark, d):
     return g.select("sid", F.array_join(F.transform("p", lambda x: F.concat(x["label"], F.lit("@"), X.time_label(x["run_start"]))), " > ").alias("line"))
 
 
-def g2_locality(spark, d):
-    m = views.manifest(spark, d).where("source_tar is not null")
-    from ..operators.joins import ranked_within
-
-    return ranked_within(m.select("source_tar", "id", "rel_start"), ["source_tar"], [F.asc_nulls_last("rel_start"), F.asc("id")], 3).select("source_tar", "id", "rank")
-
-
 def g2_full_locality(spark, d):
     m = views.manifest(spark, d).where("source_tar is not null")
     # no table has byte offsets: the name of the member, by which archives are written, stands for its offset
@@ -179,12 +143,6 @@ def i12_language_names(spark, d):
     return table(spark, d, "documents").select("doc_id", F.when(F.coalesce(code, F.lit("")) == "", "unknown").otherwise(code).alias("code"))
 
 
-def i22_keyword_score(spark, d):
-    t = table(spark, d, "documents").where("text is not null")
-    score = sum((F.lower("text").rlike(rf"(^|[^a-z]){w}([^a-z]|$)").cast("int") for w in ("bridge", "market", "river")), F.lit(0))
-    return t.select("doc_id", score.alias("score"))
-
-
 def i23_turn_positions(spark, d):
     t = table(spark, d, "documents").where("kind = 'dialogue' and text is not null")
     return t.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"\[S\d+\]"), F.lit(0))).cast("long").alias("tags"), F.locate("[S2]", F.col("text")).cast("long").alias("first_s2"))
@@ -206,14 +164,10 @@ _WIN = "f as (select *, max(e) over (partition by sid order by s, idx rows betwe
 _CH = "length(regexp_replace(coalesce({}, ''), '[\\s\\p{{P}}\\p{{Z}}]', '', 'g'))"
 ORACLES = {
     "c24_chunk_gates": "select sid, chunk_start, case when (chunk_end - chunk_start) / 1000.0 < 30 then 'too_short' when coalesce(mean_q, 0.0) < 2.4 then 'low_quality' else 'kept' end as reason from (" + sequence_queries.ORACLES["f4_long_chunks"] + ")",
-    "i22_keyword_score": "select doc_id, " + " + ".join(f"cast(regexp_matches(lower(text), '(^|[^a-z]){w}([^a-z]|$)') as integer)" for w in ("bridge", "market", "river")) + " as score from documents where text is not null",
     "c14_posterior_gate": "with p as (select vec_id, list_transform(embedding, lambda x: abs(cast(x as double))) as p from embeddings), q as (select vec_id, p, list_max(p) as b, list_sum(p) as t from p) select vec_id, case when b / t >= 0.05 then list_position(p, b) end as label, round(b / t, 4) as confidence from q",
     "c21_reuse_status": sql("also " + _STATUS + " select idx, status from st", "seg", "fac"),
     "c22_untranscribable": sql("also " + _STATUS + ", g as (select sid, cast(sum(case when status = 'reuse' then e - s else 0 end) as bigint) as reuse, cast(sum(case when status = 'skip' then e - s else 0 end) as bigint) as skip, cast(sum(case when status = 'fill' then e - s else 0 end) as bigint) as fill from st group by sid) select *, case when reuse / (reuse + skip + fill) < 0.05 and skip > fill then 1 else 0 end as hopeless from g", "seg", "fac"),
-    "c25_restricted_posterior": "with p as (select vec_id, list_transform(embedding, lambda x: abs(cast(x as double)))[1:8] as p from embeddings), x as (select vec_id, unnest(p) as v, generate_subscripts(p, 1) - 1 as pos, list_sum(p) as t from p) select vec_id, pos, round(v / t, 6) as share from x",
-    "d3_caption_overlay": sql("select id, case when length(txt) > 40 then substr(txt, 1, 20) else txt end as txt from man where id is not null", "man"),
     "d19_offsets": sql("also i as (select distinct source_tar, source_member from man where txt is not null and source_tar is not null) select man.source_tar, count(*) as rows, cast(sum(case when i.source_tar is null then 1 else 0 end) as bigint) as missing from man left join i on i.source_tar = man.source_tar and i.source_member = man.source_member where man.source_tar is not null group by man.source_tar", "man"),
-    "d22_children": sql("also " + _WIN.format("seg") + ", r as (select *, row_number() over (partition by sid, win order by s, idx) as r from o) select sid, win as win_start, max(case when r = 2 then idx end) as second from r group by sid, win", "seg"),
     "e6_voice_fold": sql("""also v as (select * from seg where spk is not null), g as (select sid, spk, count(*) as n, cast(sum(e - s) as bigint) as ms, count(distinct lang) as n_langs, round(sum(q * (e - s)) / nullif(sum(case when q is not null then e - s end), 0), 6) as q from v group by sid, spk),
         p as (select sid, spk, lang, sum(e - s) as w from v where lang is not null and lang <> '' group by all), k as (select sid, spk, arg_max(lang, (w, lang)) as lang, round(max(w) / sum(w), 6) as lang_share from p group by sid, spk)
         select g.sid, g.spk, n, ms, n_langs, lang, lang_share, q from g left join k on k.sid = g.sid and k.spk = g.spk""", "seg"),
@@ -228,7 +182,6 @@ ORACLES = {
         r as (select *, row_number() over (partition by sid, win order by speech desc, s) as r from j) select sid, win as win_start, s as win_s, until as win_e, cast(speech as bigint) as speech_ms from r where r = 1""", "seg"),
     "f19_stitched": sql("""also v as (select * from nv where turn is not null and nv_text is not null and trim(nv_text) <> ''), l as (select *, lag(turn) over w as pt from v window w as (partition by rec order by rel_start, turn, nv_text, id))
         select rec as id, string_agg(case when pt = turn then nv_text else '[' || turn || '] ' || nv_text end, ' ' order by rel_start, turn, nv_text, id) as transcript from l group by rec""", "nv"),
-    "g2_locality": sql("also r as (select source_tar, id, row_number() over (partition by source_tar order by rel_start nulls last, id) as rank from man where source_tar is not null) select * from r where rank <= 3", "man"),
     "g2_full_locality": sql("select source_tar, id, row_number() over (partition by source_tar order by source_member nulls last, rel_start nulls last, id) as rank from man where source_tar is not null", "man"),
     "h1_concat": sql("select id, txt as text, null as turn from man union all select id, nv_text, turn from nv", "man", "nv"),
     "h8_coverage": sql("select cast(('0x' || substr(md5(id), 32, 1)) as bigint) % 4 as shard, count(*) as n from man where id is not null group by 1", "man"),
