@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from .ordered import ranged_sum
+
 
 def weighted_vote(df: DataFrame, keys: Sequence[str], label: str, weight: Column) -> DataFrame:
     """E1. The label of the greatest summed weight, the greatest label at ties, with its share; null and empty labels don't vote."""
@@ -79,9 +81,8 @@ def speed_edges(df: DataFrame, lang: str, rate: str, least: int = 200) -> DataFr
 
 
 def budgeted(df: DataFrame, order: str, amount: str, most: float) -> DataFrame:
-    """G5. Rows in ``order`` while the sum of those before stays below ``most``; meant for unit tables (a row per archive)."""
-    before = W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    return df.withColumn("before", F.coalesce(F.sum(amount).over(before), F.lit(0))).where(F.col("before") < most)
+    """G5. Rows in ``order`` while the sum of those before stays below ``most``, with that sum as ``before``; summed over ranges of ``order``."""
+    return ranged_sum(df, order, amount, "before").where(F.col("before") < most)
 
 
 def restricted(posterior: DataFrame, keys: Sequence[str], label: str, weight: str, admitted: str) -> DataFrame:

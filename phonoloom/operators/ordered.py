@@ -58,6 +58,19 @@ def ranged_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out
     return part.withColumn("__rn", F.row_number().over(inside)).join(offsets, [*keys, "__p"]).withColumn(out, F.col("__rn") + F.col("__off")).drop("__rn", "__off", "__p")
 
 
+def ranged_sum(df: DataFrame, order: str, amount: str, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``amount`` over all rows before this one in ``order``, 0 for the first; null amounts count 0.
+
+    Rows are parted by ranges of ``order``; only one sum per range crosses. ``order`` should be unique, ties share no defined order.
+    """
+    part = settle(df.repartitionByRange(order).withColumn("__p", F.spark_partition_id()))
+    sums = part.groupBy("__p").agg(F.coalesce(F.sum(amount), F.lit(0)).alias("__s"))
+    # a row per range
+    offsets = sums.select("__p", F.coalesce(F.sum("__s").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    inside = F.coalesce(F.sum(amount).over(W.partitionBy("__p").orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return part.withColumn("__in", inside).join(offsets, "__p").withColumn(out, F.col("__in") + F.col("__off")).drop("__in", "__off", "__p")
+
+
 def carry_last(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str], value: str, out: str) -> DataFrame:
     """Adds ``out``: the last non-null ``value`` at or before the row, across bucket borders.
 

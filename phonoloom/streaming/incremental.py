@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window as W
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.joins import first_wins
+from ..operators.ordered import ranged_sum
+
 
 def follow(spark: SparkSession, source: str, schema: str, key: str, sink: str, checkpoint: str, work=lambda df: df):
     """J1, J10. Processes what has come into ``source`` (a folder of Parquet files) and isn't done yet; returns the finished query.
@@ -18,11 +22,11 @@ def follow(spark: SparkSession, source: str, schema: str, key: str, sink: str, c
     """
 
     def batch(df: DataFrame, number: int) -> None:
-        new = df.dropDuplicates([key])
+        new = first_wins(df, [key], [c for c in df.columns if c != key]) if len(df.columns) > 1 else df.distinct()
         try:
             new = new.join(spark.read.parquet(sink).select(key), key, "left_anti")
-        except Exception as e:  # no sink before the first batch
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        except AnalysisException as e:  # no sink before the first batch
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
         work(new).write.mode("append").parquet(sink)
 
@@ -34,34 +38,28 @@ def follow(spark: SparkSession, source: str, schema: str, key: str, sink: str, c
 def streamed_gap_windows(stream: DataFrame, max_gap_ms: int = 6000, late: str = "10 seconds") -> DataFrame:
     """F1 over a stream of (sid, at timestamp, s, e): windows are emitted once the watermark passes their end plus the gap.
 
-    Rows up to ``late`` behind the newest are put in order; the state of a recording is its open
-    windows, of which no more than the lateness can hold.
+    The state of a recording is one (start, end, number) per open window: rows are merged into windows as
+    they come, in any order, so a window that never closes is one entry however many rows it has.
     """
-    out, state = "sid string, win_start long, win_end long, n_seg long", "rows array<struct<s:bigint,e:bigint>>"
+    out, state = "sid string, win_start long, win_end long, n_seg long", "open array<struct<s:bigint,e:bigint,n:bigint>>"
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], st: GroupState) -> Iterator[pd.DataFrame]:
-        held = [(r["s"], r["e"]) if isinstance(r, dict) else (r[0], r[1]) for r in (st.get[0] if st.exists else [])]
+        held = [tuple(r.values()) if isinstance(r, dict) else tuple(r) for r in (st.get[0] if st.exists else [])]
         for b in batches:
-            held += list(zip(b["s"].tolist(), b["e"].tolist()))
+            held += [(s, e, 1) for s, e in zip(b["s"].tolist(), b["e"].tolist())]
         held.sort()
         mark = st.getCurrentWatermarkMs()
-        closed, groups = [], []
-        for s, e in held:
-            if groups and s - groups[-1][1] <= max_gap_ms:
-                groups[-1][1] = max(groups[-1][1], e)
-                groups[-1][2].append((s, e))
-            else:
-                groups.append([s, e, [(s, e)]])
-        keep, due = [], []
-        for s, e, rows in groups:
-            if e + max_gap_ms < mark or st.hasTimedOut and e + max_gap_ms <= mark:
-                closed.append((key[0], s, e, len(rows)))
+        merged: list[list[int]] = []
+        for s, e, n in held:
+            if merged and s - merged[-1][1] <= max_gap_ms:
+                merged[-1] = [merged[-1][0], max(merged[-1][1], e), merged[-1][2] + n]
             else:
-                keep += rows
-                due.append(e + max_gap_ms + 1)
+                merged.append([s, e, n])
+        due = lambda w: w[1] + max_gap_ms < mark or st.hasTimedOut and w[1] + max_gap_ms <= mark
+        closed, keep = [(key[0], *w) for w in merged if due(w)], [w for w in merged if not due(w)]
         if keep:
-            st.update(([{"s": s, "e": e} for s, e in keep],))
-            st.setTimeoutTimestamp(max(min(due), mark + 1))  # the first window to close
+            st.update(([{"s": s, "e": e, "n": n} for s, e, n in keep],))
+            st.setTimeoutTimestamp(max(min(w[1] for w in keep) + max_gap_ms + 1, mark + 1))  # the first window to close
         elif st.exists:
             st.remove()
         yield pd.DataFrame(closed, columns=["sid", "win_start", "win_end", "n_seg"])
@@ -70,9 +68,11 @@ def streamed_gap_windows(stream: DataFrame, max_gap_ms: int = 6000, late: str =
 
 
 def assigned_batches(units: DataFrame, order: str, size: str, limit: int) -> DataFrame:
-    """J4. Batch number of each unit (an archive a row): a batch is closed once it holds ``limit``, by the running size before the unit."""
-    before = F.coalesce(F.sum(size).over(W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return units.withColumn("batch", F.floor(before / F.lit(limit)).cast("long"))
+    """J4. Batch number of each unit (an archive a row): a batch is closed once it holds ``limit``, by the running size before the unit.
+
+    The running size is taken over ranges of ``order``, so the table of units is never one task.
+    """
+    return ranged_sum(units, order, size, "__before").withColumn("batch", F.floor(F.col("__before") / F.lit(limit)).cast("long")).drop("__before")
 
 
 def live_keys(beats: DataFrame, now: float, lease: float = 1800.0) -> DataFrame:
