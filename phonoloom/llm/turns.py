@@ -24,10 +24,11 @@ from ..operators.ordered import bucket_of, carry_last, millis, runs
 from .samples import lowest_hash
 from .speakers import ROLES, speaker_key
 
-SPEAKER, TIME, NOTE, FILLER, SPEECH = range(5)
-STATES = ("speaker", "timestamp", "annotation", "filler", "speech")
-(TIME_BRACKET, TIME_BARE, NOTE_BRACKET, NUMBER_BRACKET, NAME_BRACKET, NUMBER_LABEL, NAME_LABEL, MUSIC, HESITATION, UNSURE, WORD, SIGN) = range(12)
-N_OBS = 12
+# signs between words are a state of their own while decoding, and speech in the result
+SPEAKER, TIME, NOTE, FILLER, SPEECH, MARK = range(6)
+STATES = ("speaker", "timestamp", "annotation", "filler", "speech", "speech")
+(TIME_BRACKET, TIME_BARE, NOTE_BRACKET, NUMBER_BRACKET, NAME_BRACKET, NUMBER_LABEL, NAME_LABEL, MUSIC, HESITATION, UNSURE, HINTED_UNSURE, WORD, SIGN) = range(13)
+N_OBS, N_STATES = 13, 6
 
 # Hesitation sounds, with doubled letters and more reduced to one.
 HESITATIONS = frozenset(
@@ -120,33 +121,34 @@ def tokens(text: str) -> list[tuple[int, int, int]]:
 
 
 def observed(toks: list[tuple[int, int, int]], text: str, lang: str | None) -> list[int]:
-    """Observations with doubtful sounds settled by what stands around them."""
+    """Observations of tokens; a doubtful sound in a language where it is usually hesitation has a class of its own."""
     obs = [o for o, _, _ in toks]
     hint = (lang or "").lower()[:2]
     for i, o in enumerate(obs):
-        if o == UNSURE:
-            near = [obs[j] for j in (i - 1, i + 1) if 0 <= j < len(obs)]
-            word = text[toks[i][1] : toks[i][2]].lower()
-            if all(x in (SIGN, HESITATION, UNSURE, NOTE_BRACKET, TIME_BARE, TIME_BRACKET, NUMBER_LABEL, NAME_LABEL, NUMBER_BRACKET, NAME_BRACKET) for x in near) or (hint and hint in HINTED.get(word, "").split()):
-                obs[i] = HESITATION
+        if o == UNSURE and hint and hint in HINTED.get(text[toks[i][1] : toks[i][2]].lower(), "").split():
+            obs[i] = HINTED_UNSURE
     return obs
 
 
 def weak_states(obs: list[int]) -> list[int]:
-    """Training labels by shape alone: a label counts as a speaker only before the first word."""
+    """Training labels by shape and neighbours: a label counts as a speaker only before the first word, a doubtful sound
+    as hesitation where no word stands beside it."""
     out, opening = [], True
-    for o in obs:
+    for i, o in enumerate(obs):
         if o in (TIME_BRACKET, TIME_BARE):
             s = TIME
         elif o in (NOTE_BRACKET, MUSIC):
             s = NOTE
-        elif o == HESITATION:
+        elif o in (HESITATION, HINTED_UNSURE):
             s = FILLER
+        elif o == UNSURE:
+            s = SPEECH if WORD in obs[max(0, i - 1) : i + 2] else FILLER
         elif o in (NUMBER_LABEL, NUMBER_BRACKET, NAME_LABEL, NAME_BRACKET) and opening:
             s = SPEAKER
         else:
-            s = SPEECH
-        opening = opening and s not in (SPEECH,)
+            s = MARK if o == SIGN else SPEECH
+        # signs don't end the opening of a text, nor what was found before them
+        opening = opening and s not in (SPEECH, MARK)
         out.append(s)
     return out
 
@@ -158,8 +160,8 @@ class Tagger:
         def table(counts: Counter, rows: int, cols: int, add: float) -> list[list[float]]:
             return [[math.log((counts[r, c] + add) / (sum(counts[r, k] for k in range(cols)) + add * cols)) for c in range(cols)] for r in range(rows)]
 
-        self.start = table(Counter({(0, c): n for c, n in start.items()}), 1, 5, 0.5)[0]
-        self.step, self.emit = table(step, 5, 5, 0.5), table(emit, 5, N_OBS, 0.05)
+        self.start = table(Counter({(0, c): n for c, n in start.items()}), 1, N_STATES, 0.5)[0]
+        self.step, self.emit = table(step, N_STATES, N_STATES, 0.5), table(emit, N_STATES, N_OBS, 0.05)
         self._known: dict[tuple[int, ...], tuple[int, ...]] = {}
 
     @classmethod
@@ -189,17 +191,17 @@ class Tagger:
             path = self._viterbi(key)
             if len(self._known) < 50_000:
                 self._known[key] = path
-        return [path[i] for i in back]
+        return [SPEECH if path[i] == MARK else path[i] for i in back]
 
     def _viterbi(self, obs: tuple[int, ...]) -> tuple[int, ...]:
         if not obs:
             return ()
-        score, links = [self.start[s] + self.emit[s][obs[0]] for s in range(5)], []
+        score, links = [self.start[s] + self.emit[s][obs[0]] for s in range(N_STATES)], []
         for o in obs[1:]:
-            best = [max(range(5), key=lambda a, b=b: score[a] + self.step[a][b]) for b in range(5)]
-            score = [score[best[b]] + self.step[best[b]][b] + self.emit[b][o] for b in range(5)]
+            best = [max(range(N_STATES), key=lambda a, b=b: score[a] + self.step[a][b]) for b in range(N_STATES)]
+            score = [score[best[b]] + self.step[best[b]][b] + self.emit[b][o] for b in range(N_STATES)]
             links.append(best)
-        path = [max(range(5), key=score.__getitem__)]
+        path = [max(range(N_STATES), key=score.__getitem__)]
         for best in reversed(links):
             path.append(best[path[-1]])
         return tuple(reversed(path))

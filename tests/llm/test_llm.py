@@ -64,7 +64,17 @@ def test_tagger_decodes_as_brute_force():
         def score(p):
             return t.start[p[0]] + t.emit[p[0]][obs[0]] + sum(t.step[a][b] + t.emit[b][o] for a, b, o in zip(p, p[1:], obs[1:]))
 
-        assert score(t._viterbi(tuple(obs))) == pytest.approx(max(score(p) for p in product(range(5), repeat=5)))
+        assert score(t._viterbi(tuple(obs))) == pytest.approx(max(score(p) for p in product(range(turns.N_STATES), repeat=5)))
+
+
+def test_the_sequence_model_decides():
+    # the training rule takes a doubtful sound beside a word for speech; in the sequences it is hesitation before a mark, and speech between words
+    texts = ["er, we left the town", "so, um, they came home, late", "[00:10] um, yes, of course", "er, er, who knows"] * 30 + ["wir sahen, dass er kam"]
+    t = turns.Tagger.fit([turns.observed(turns.tokens(x), x, None) for x in texts])
+    for text, want in (("Dr. Fox opened er, the tunnel", "Dr. Fox opened, the tunnel"), ("dass er heute kam", "dass er heute kam")):
+        assert turns.tag(t, text, None)[1] == want
+    obs = turns.observed(toks := turns.tokens("Dr. Fox opened er, the tunnel"), "Dr. Fox opened er, the tunnel", None)
+    assert len(toks) and t.decode(obs) != [turns.SPEECH if x == turns.MARK else x for x in turns.weak_states(obs)]
 
 
 def brute_turns(rows):
