@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lineage import settle
+from ..operators.lineage import discard, settle, settle_table
 from .speakers import is_person, speaker_key
 
 # Squeezed spellings that name nobody, and words that with a number are local to a recording.
@@ -57,14 +57,17 @@ def hash_to_min(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     A node's cluster is a set of (node, member) rows, so no cluster is ever one value or one task's
     list. Each round a node sends its cluster to the cluster's minimum and the minimum to the
     cluster; it ends when a round changes nothing. The least member of a node comes from a partial
-    aggregation; the join back on hot nodes is left to adaptive skew splitting. No edges, no rows.
+    aggregation; the join back on hot nodes is left to adaptive skew splitting. A round's table is deleted once
+    the next is written. No edges, no rows.
     """
     both = edges.select(F.col("u").alias("n"), F.col("v").alias("m")).unionByName(edges.select(F.col("v").alias("n"), F.col("u").alias("m")))
-    clusters, seen = settle(both.unionByName(both.select("n", F.col("n").alias("m"))).distinct()), None
+    clusters, path = settle_table(both.unionByName(both.select("n", F.col("n").alias("m"))).distinct())
+    seen = None
     for _ in range(max_rounds):
         least = clusters.groupBy("n").agg(F.min("m").alias("low"))
         sent = clusters.join(least, "n").select(F.explode(F.array(F.struct(F.col("low").alias("n"), F.col("m").alias("m")), F.struct(F.col("m").alias("n"), F.col("low").alias("m")))).alias("x"))
-        clusters = settle(sent.select("x.n", "x.m").distinct())
+        before, (clusters, path) = path, settle_table(sent.select("x.n", "x.m").distinct())
+        discard(edges.sparkSession, before)  # a round needs only the one before
         # unordered digest of the cluster rows: two rounds alike mean stable
         now = clusters.agg(F.count(F.lit(1)), F.sum(F.xxhash64("n", "m").cast("decimal(38,0)")), F.sum(F.crc32(F.concat_ws("\x00", "n", "m").cast("binary")).cast("decimal(38,0)"))).first()
         if now == seen:
