@@ -12,7 +12,7 @@ from . import groups, language, mixing, packing, pieces, repetition, sentences,
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "segments")
-    return turns.speaker_turns(turns.tagged_segments(s, turns.fit_tagger(s), clean_text=False)).select("sid", "speaker", "first_seg", "last_seg")
+    return turns.speaker_turns(turns.tagged_segments(s, turns.fit_tagger(s)).select("sid", "speaker", "first_seg", "last_seg")
 
 
 def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "segments")
-    return turns.speaker_turns(turns.tagged_segments(s, turns.fit_tagger(s), clean_text=False), with_times=True)
+    return turns.speaker_turns(turns.tagged_segments(s, turns.fit_tagger(s), with_times=True)
 
 
 def p1_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
