@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from ..functions import scalars as X
 from .ordered import ranged_sum
 
 
@@ -106,3 +107,30 @@ def enriched(rows: DataFrame, tags: str, ok: str) -> DataFrame:
     d = per.join(F.broadcast(all_)).withColumn("n_without", F.col("__n") - F.col("n_with"))
     a, b = F.col("__k") / F.col("n_with"), (F.col("__ok") - F.col("__k")) / F.nullif(F.col("n_without"), F.lit(0))
     return d.select("tag", "n_with", "n_without", F.round(a, 6).alias("rate_with"), F.round(b, 6).alias("rate_without"), F.round(a / F.nullif(b, F.lit(0.0)), 6).alias("ratio"))
+
+
+def view_hours(rows: DataFrame, least_hours: float = 0.05) -> DataFrame:
+    """E20. Rows, hours and part of the whole by language and view, with the sums of a language (null view) and of all (both null): lang, view, n, hours, part.
+
+    Entries below ``least_hours`` are left out, the grand total never. ``rows`` have lang, view and ms.
+    """
+    total = rows.agg(F.sum("ms").alias("__all"))  # one row
+    g = rows.rollup("lang", "view").agg(F.count(F.lit(1)).alias("n"), F.sum("ms").alias("__ms"), F.grouping("lang").alias("__gl"))
+    h = F.col("__ms") / F.lit(3_600_000.0)
+    d = g.join(F.broadcast(total)).where((h >= least_hours) | (F.col("__gl") == 1))
+    return d.select("lang", "view", "n", F.round(h, 4).alias("hours"), F.round(F.col("__ms") / F.col("__all"), 6).alias("part"))
+
+
+def speaker_fold(segs: DataFrame, genders: DataFrame) -> DataFrame:
+    """E6. What belongs to a speaker whatever is said: sid, spk, n_segments, speech_seconds, lang and dominant_lang_ratio (vote by length),
+    n_languages, gender, mean_q (weighted) and the pitch class found anew from the mean and the gender.
+
+    ``genders`` has a row per (sid, spk) at most; a speaker without one has a null gender, which takes the edges of female.
+    """
+    key, w = ["sid", "spk"], F.col("e") - F.col("s")
+    g = segs.groupBy(*key).agg(F.count(F.lit(1)).alias("n_segments"), F.round(F.sum(w) / 1000 + 1e-9, 2).alias("speech_seconds"), F.countDistinct(F.when(F.col("lang") != "", F.col("lang"))).alias("n_languages"))
+    vote = weighted_vote(segs, key, "lang", w).select(*key, F.col("label").alias("lang"), F.col("share").alias("dominant_lang_ratio"))
+    d = g.join(vote, key, "left").join(weighted_mean(segs, key, "q", w).withColumnRenamed("mean", "mean_q"), key).join(genders, key, "left")
+    # the measured score stands for a mean pitch, as the tables have none
+    pitch = X.pitch_label(F.col("mean_q") * 45, F.col("gender"))
+    return d.select(*key, "n_segments", "speech_seconds", "lang", "dominant_lang_ratio", "n_languages", "gender", "mean_q", pitch.alias("pitch"))

@@ -140,6 +140,21 @@ def long_chunks(segs: DataFrame, max_gap_ms: int = 2000) -> DataFrame:
     return g.select("sid", "spk", F.col("chunk.s").alias("chunk_start"), "chunk_end", "n_seg", F.round("mq", 4).alias("mean_q"))
 
 
+def chunk_metrics(segs: DataFrame, max_gap_ms: int = 2000) -> DataFrame:
+    """E14. Per long chunk (F4): chunk_start, members (seg_index in order of time), speech_ms, mean_q weighted by speech, evaluated (whether
+    any member has a score) and flagged_share, the flagged members' (``flag``) part of the summed speech."""
+    d = carry_previous(hourly(segs.withColumn("spk", F.coalesce("spk", F.lit("")))), ["sid"], "hour", ORDER, ["spk", "e"])
+    opens = ~F.col("has_prev") | (F.col("prev_spk") != F.col("spk")) | (F.col("s") - F.col("prev_e") > max_gap_ms)
+    d = carry_last(d.withColumn("opens", F.when(opens, F.struct("s", "idx"))), ["sid"], "hour", ORDER, "opens", "chunk")
+    w = F.col("e") - F.col("s")
+    members = F.array_sort(F.collect_list(F.when(F.col("seg_index").isNotNull(), F.struct("s", "idx", "seg_index"))))
+    g = d.groupBy("sid", "chunk").agg(
+        members.alias("m"), F.sum(w).alias("speech_ms"), F.round(F.sum(F.col("q") * w) / F.nullif(F.sum(F.when(F.col("q").isNotNull(), w)), F.lit(0)), 4).alias("mean_q"),
+        (F.count("q") > 0).cast("int").alias("evaluated"), F.round(F.sum(F.when(F.col("flag"), w).otherwise(0)) / F.sum(w), 6).alias("flagged_share"),
+    )
+    return g.select("sid", F.col("chunk.s").alias("chunk_start"), F.array_join(F.transform("m", lambda x: x["seg_index"]), ",").alias("members"), "speech_ms", "mean_q", "evaluated", "flagged_share")
+
+
 def with_runs(segs: DataFrame, label: str, max_gap_ms: int = 10_000) -> DataFrame:
     """Adds ``run``, the (s, idx) of the first row of the run of equal ``label`` (null is a label) without a gap to the previous row's end above the limit."""
     d = carry_previous(hourly(segs), ["sid"], "hour", ORDER, [label, "e"])

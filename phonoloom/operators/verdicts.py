@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
+from .lineage import settle
+from .sequences import gate_windows, window_metrics
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -99,11 +101,9 @@ def transcript_verdict(text: Column, lang: Column, accepted: Column, seconds: Co
     )
 
 
-def assembled_runs(items: DataFrame, max_gap_ms: int = 3000, least_ms: int = 5000, voices: int = 1) -> DataFrame:
-    """F14. Runs of (sid, win, s, e, idx, spk, role): BREAK rows part runs, ends that aren't OK are trimmed,
-    a gap between OK rows above ``max_gap_ms`` parts them, and runs shorter than ``least_ms`` or with fewer
-    OK voices are dropped. Windows bound the rows of a partition.
-    """
+def run_members(items: DataFrame, max_gap_ms: int = 3000) -> DataFrame:
+    """Rows of (sid, win, s, e, idx, spk, role, ...) that make up runs, with ``piece`` and ``part``: BREAK rows part runs, ends that
+    aren't OK are trimmed, and a gap between OK rows above ``max_gap_ms`` parts them. Windows bound the rows of a partition."""
     w = W.partitionBy("sid", "win").orderBy("s", "idx")
     d = items.withColumn("piece", F.sum((F.col("role") == "BREAK").cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))).where("role <> 'BREAK'")
     wp = W.partitionBy("sid", "win", "piece").orderBy("s", "idx")
@@ -113,9 +113,41 @@ def assembled_runs(items: DataFrame, max_gap_ms: int = 3000, least_ms: int = 500
     span = W.partitionBy("sid", "win", "piece", "part")
     pos = F.struct("s", "idx")
     d = d.withColumn("lo", F.min(F.when(F.col("role") == "OK", pos)).over(span)).withColumn("hi", F.max(F.when(F.col("role") == "OK", pos)).over(span))
-    d = d.where((pos >= F.col("lo")) & (pos <= F.col("hi")))
-    g = d.groupBy("sid", "win", "piece", "part").agg(F.min("s").alias("run_start"), F.max("e").alias("run_end"), F.count(F.lit(1)).alias("n"), F.countDistinct(F.when(F.col("role") == "OK", F.col("spk"))).alias("voices"))
-    return g.where((F.col("run_end") - F.col("run_start") >= least_ms) & (F.col("voices") >= voices)).select("sid", F.col("win").alias("win_start"), "run_start", "run_end", "n", "voices")
+    return d.where((pos >= F.col("lo")) & (pos <= F.col("hi"))).drop("new", "lo", "hi")
+
+
+_RUN = ["sid", "win", "piece", "part"]
+
+
+def _run_spans(members: DataFrame, least_ms: int, voices: int) -> DataFrame:
+    g = members.groupBy(*_RUN).agg(F.min("s").alias("run_start"), F.max("e").alias("run_end"), F.count(F.lit(1)).alias("n"), F.countDistinct(F.when(F.col("role") == "OK", F.col("spk"))).alias("voices"))
+    return g.where((F.col("run_end") - F.col("run_start") >= least_ms) & (F.col("voices") >= voices))
+
+
+def assembled_runs(items: DataFrame, max_gap_ms: int = 3000, least_ms: int = 5000, voices: int = 1) -> DataFrame:
+    """F14. Runs of ``run_members``; those shorter than ``least_ms`` or with fewer OK voices are dropped."""
+    return _run_spans(run_members(items, max_gap_ms), least_ms, voices).select("sid", F.col("win").alias("win_start"), "run_start", "run_end", "n", "voices")
+
+
+def split_windows(items: DataFrame, max_gap_ms: int = 3000, least_ms: int = 5000, voices: int = 1) -> DataFrame:
+    """F15. The runs of each window measured and gated anew as windows of their own: sid, win_start, run_start, run_end, speakers,
+    reason, ``whole`` (1 where all rows of the window are OK and in the run: the window stays as it is) and name.
+
+    Runs that pass the gates are named ``D<window>_p<i>`` from 0 in order of time within their window; others have a null name.
+    ``items`` carry sid, win, idx, s, e, spk, q and role.
+    """
+    m = settle(run_members(items.select("sid", "win", "idx", "s", "e", "spk", "q", "role"), max_gap_ms))
+    spans = _run_spans(m, least_ms, voices)
+    key = F.concat_ws("#", *_RUN).alias("sid")
+    own = m.join(spans.select(*_RUN), _RUN, "left_semi").select(key, "idx", "s", "e", "spk", "q")
+    gated = gate_windows(window_metrics(own, 1 << 50)).select(F.col("sid").alias("run_key"), "speakers", "reason")
+    rows = items.groupBy("sid", "win").agg(F.count(F.lit(1)).alias("n_items"), F.min((F.col("role") == "OK").cast("int")).alias("all_ok"))
+    d = spans.withColumn("run_key", F.concat_ws("#", *_RUN)).join(gated, "run_key").join(rows, ["sid", "win"])
+    d = d.withColumn("whole", ((F.col("all_ok") == 1) & (F.col("n") == F.col("n_items"))).cast("int"))
+    # windows are named by their start, so a kept run's number is its place among the kept of its window
+    kept = F.sum((F.col("reason") == "kept").cast("int")).over(W.partitionBy("sid", "win").orderBy("run_start", "piece", "part").rowsBetween(W.unboundedPreceding, 0))
+    name = F.when(F.col("reason") == "kept", F.concat(F.lit("D"), F.col("win").cast("string"), F.lit("_p"), (kept - 1).cast("string")))
+    return d.withColumn("name", name).select("sid", F.col("win").alias("win_start"), "run_start", "run_end", "speakers", "reason", "whole", "name")
 
 
 def best_window(members: DataFrame, most_ms: int = 30_000) -> DataFrame:

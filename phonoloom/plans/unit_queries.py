@@ -14,7 +14,7 @@ from ..sources import views
 from ..sources.tables import table
 from ..sources.views import sql
 from . import rule_queries as Q
-from . import verdict_queries
+from . import sequence_queries, verdict_queries
 
 
 def c3_transcript_verdict(spark, d):
@@ -49,6 +49,32 @@ def e26_tag_enrichment(spark, d):
     return A.enriched(nv, "nv_tags", "ok")
 
 
+def f15_split_windows(spark, d):
+    st = verdict_queries._status(spark, d).select("sid", "idx", "s", "e", "spk", "q", "status")
+    role = F.when(F.col("status") == "reuse", "OK").when(F.col("status") == "skip", "BREAK").otherwise("SILENCE")
+    return V.split_windows(S.gap_windows(st).withColumn("role", role))
+
+
+def e14_chunk_metrics(spark, d):
+    s = views.segments(spark, d).select("sid", "idx", "seg_index", "s", "e", "spk", "q", (F.trim(F.coalesce("txt", F.lit(""))) == "").alias("flag"))
+    return S.chunk_metrics(s)
+
+
+def e20_view_hours(spark, d):
+    m = views.manifest(spark, d).where("source_member is not null and rel_end > rel_start")
+    view = F.when(F.contains("source_member", F.lit("_long_")), "long").when(F.contains("source_member", F.lit("_dlg_")), "dialogue").otherwise("short")
+    ms = F.round((F.col("rel_end") - F.col("rel_start")) * 1000).cast("long")
+    return A.view_hours(m.select(F.coalesce(F.nullif(F.trim("lang"), F.lit("")), F.lit("unknown")).alias("lang"), view.alias("view"), ms.alias("ms")), least_hours=0.05)
+
+
+def e6_speaker_fold(spark, d):
+    s = views.segments(spark, d).where("spk is not null")
+    first = S.speaker_tags(s.withColumn("win", F.lit(0))).select("sid", "spk", "tag")
+    voices = views.records(spark, d).where("speakers is not null").select(F.col("id").alias("sid"), F.explode("speakers").alias("tag", "v")).select("sid", "tag", F.col("v.gender").alias("gender"))
+    voices = J.first_wins(voices, ["sid", "tag"], ["gender"])
+    return A.speaker_fold(s, first.join(voices, ["sid", "tag"], "left").select("sid", "spk", "gender"))
+
+
 def i28_cut_transcripts(spark, d):
     st = verdict_queries._status(spark, d).select("sid", "idx", "s", "e", "spk", "txt", "status")
     w = S.gap_windows(st)
@@ -77,6 +103,30 @@ ORACLES = {
     "d3_caption_overlay": sql("also c as (select distinct on (parent_id) parent_id, text, lang, source, n_chars from documents where kind = 'caption' and text is not null and parent_id is not null order by parent_id, doc_id) select id, case when c.parent_id is null then txt else c.text end as txt, case when c.parent_id is null then man.lang else c.lang end as lang, source, n_chars, case when c.parent_id is null then 0 else 1 end as captioned from man left join c on c.parent_id = man.parent_id where id is not null", "man"),
     "e15_unit_metrics": _UNITS + ", m as (select u.sid, u.unit, n.s, n.e, n.q, n.idx, lower(trim(n.lang)) as l from u join n on n.sid = u.sid and n.r = u.r), v as (select sid, unit, l, count(*) as c, min((s, idx)) as fst from m where l is not null and l not in ('', 'unknown') group by all), t as (select distinct on (sid, unit) sid, unit, l from v order by sid, unit, c desc, fst), g as (select sid, unit, min(s) as unit_start, count(*) as n_seg, round(sum(e - s) / 1000.0, 3) as seconds, round(avg(q) + 1e-9, 3) as mean_q from m group by sid, unit) select g.sid, unit_start, n_seg, seconds, mean_q, t.l as lang from g left join t on t.sid = g.sid and t.unit = g.unit",
     "e26_tag_enrichment": sql("also n as (select nv_tags, case when len(coalesce(nv_verified, [])) > 0 then 1 else 0 end as ok from nv where nv_tags is not null), a as (select count(*) as n, sum(ok) as k from n), t as (select tag, count(*) as c, sum(ok) as k from (select unnest(list_distinct(nv_tags)) as tag, ok from n) group by tag) select tag, c as n_with, a.n - c as n_without, round(t.k / c, 6) as rate_with, round((a.k - t.k) / nullif(a.n - c, 0), 6) as rate_without, round((t.k / c) / nullif((a.k - t.k) / nullif(a.n - c, 0), 0), 6) as ratio from t, a", "nv"),
+    "f15_split_windows": sql("also " + verdict_queries._STATUS + ", " + _WIN.format("st") + """, r0 as (select *, case status when 'reuse' then 'OK' when 'skip' then 'BREAK' else 'SILENCE' end as role from o),
+        p0 as (select *, sum(case when role = 'BREAK' then 1 else 0 end) over (partition by sid, win order by s, idx rows unbounded preceding) as piece from r0),
+        q0 as (select *, last_value(case when role = 'OK' then e end ignore nulls) over (partition by sid, win, piece order by s, idx rows between unbounded preceding and 1 preceding) as oe from p0 where role <> 'BREAK'),
+        n0 as (select *, sum(case when role = 'OK' and s - oe > 3000 then 1 else 0 end) over (partition by sid, win, piece order by s, idx rows unbounded preceding) as part from q0),
+        b0 as (select *, min(case when role = 'OK' then (s, idx) end) over g as lo, max(case when role = 'OK' then (s, idx) end) over g as hi from n0 window g as (partition by sid, win, piece, part)),
+        m0 as (select *, sid || '#' || win || '#' || piece || '#' || part as rk from b0 where (s, idx) >= lo and (s, idx) <= hi),
+        a0 as (select sid, win, piece, part, rk, min(s) as run_start, max(e) as run_end, count(*) as n from m0 group by all having max(e) - min(s) >= 5000 and count(distinct case when role = 'OK' then spk end) >= 1),
+        n as (select rk as sid, idx, s, e, min(s) over (partition by rk) as win, q, coalesce(spk, '') as spk from m0 where rk in (select rk from a0)),
+        """ + sequence_queries._TURN.partition("from o),")[2] + sequence_queries._METRICS.partition(sequence_queries._TURN)[2].rstrip() + ", gt as (select *, case when (win_end" + sequence_queries.ORACLES["c23_window_gates"].partition("select *, case when (win_end")[2] + """),
+        w0 as (select sid, win, count(*) as ni, min(case when role = 'OK' then 1 else 0 end) as ok from r0 group by sid, win),
+        j0 as (select a0.*, gt.speakers, gt.reason, case when ok = 1 and n = ni then 1 else 0 end as whole, sum(case when gt.reason = 'kept' then 1 else 0 end) over (partition by a0.sid, a0.win order by run_start, piece, part rows unbounded preceding) as kk from a0 join gt on gt.sid = a0.rk join w0 on w0.sid = a0.sid and w0.win = a0.win)
+        select sid, win as win_start, run_start, run_end, speakers, reason, whole, case when reason = 'kept' then 'D' || win || '_p' || (kk - 1) end as name from j0""", "seg", "fac"),
+    "e14_chunk_metrics": sql("""also c0 as (select sid, idx, seg_index, s, e, q, coalesce(spk, '') as spk, trim(coalesce(txt, '')) = '' as flag from seg), p as (select *, lag(e) over w as pe, lag(spk) over w as ps from c0 window w as (partition by sid order by s, idx)),
+        r as (select *, sum(case when pe is null or ps <> spk or s - pe > 2000 then 1 else 0 end) over (partition by sid order by s, idx rows unbounded preceding) as run from p)
+        select sid, min(s) as chunk_start, string_agg(seg_index, ',' order by s, idx) as members, cast(sum(e - s) as bigint) as speech_ms, round(sum(q * (e - s)) / nullif(sum(case when q is not null then e - s end), 0), 4) as mean_q, case when count(q) > 0 then 1 else 0 end as evaluated, round(sum(case when flag then e - s else 0 end) / sum(e - s), 6) as flagged_share from r group by sid, run""", "seg"),
+    "e20_view_hours": sql("""also v as (select coalesce(nullif(trim(lang), ''), 'unknown') as lang, case when contains(source_member, '_long_') then 'long' when contains(source_member, '_dlg_') then 'dialogue' else 'short' end as "view", cast(round((rel_end - rel_start) * 1000) as bigint) as ms from man where source_member is not null and rel_end > rel_start),
+        t as (select sum(ms) as t from v), g as (select lang, "view", count(*) as n, sum(ms) as ms, grouping(lang) as gl, grouping("view") as gv from v group by rollup (lang, "view"))
+        select lang, "view", n, round(ms / 3600000.0, 4) as hours, round(ms / t.t, 6) as part from g, t where ms / 3600000.0 >= 0.05 or gl = 1""", "man"),
+    "e6_speaker_fold": sql("""also v as (select * from seg where spk is not null), a as (select sid, spk, min((s, idx)) as fst from v group by all), tg as (select sid, spk, 'S' || row_number() over (partition by sid order by fst) as tag from a),
+        vo as (select id as sid, unnest(map_keys(speakers)) as tag, unnest(map_values(speakers)).gender as gender from rec where speakers is not null), gd as (select tg.sid, tg.spk, gender from tg left join vo on vo.sid = tg.sid and vo.tag = tg.tag),
+        l as (select sid, spk, lang, sum(e - s) as w from v where lang is not null and lang <> '' group by all), lv as (select sid, spk, arg_max(lang, (w, lang)) as lang, round(max(w) / sum(w), 6) as dominant_lang_ratio, count(*) as n_languages from l group by sid, spk),
+        g as (select sid, spk, count(*) as n_segments, round(sum(e - s) / 1000.0 + 1e-9, 2) as speech_seconds, round(sum(q * (e - s)) / nullif(sum(case when q is not null then e - s end), 0), 6) as mean_q from v group by sid, spk)
+        select g.sid, g.spk, n_segments, speech_seconds, lv.lang, lv.dominant_lang_ratio, coalesce(n_languages, 0) as n_languages, gd.gender, mean_q, case when mean_q is null then null when gd.gender = 'male' then case when mean_q * 45 < 115.7 then 'low' when mean_q * 45 > 149.7 then 'high' else 'medium' end else case when mean_q * 45 < 141.6 then 'low' when mean_q * 45 > 184.5 then 'high' else 'medium' end end as pitch
+        from g left join lv on lv.sid = g.sid and lv.spk = g.spk left join gd on gd.sid = g.sid and gd.spk = g.spk""", "seg", "rec"),
     "f3_capped_units": _UNITS + " select sid, spk, min(us) as unit_start, arg_max(ue, r) as unit_end, count(*) as n_seg from u group by sid, spk, unit",
     "f5_speaker_cuts": _CUTS,
     "i28_cut_transcripts": sql("also " + verdict_queries._STATUS + ", " + _WIN.format("st") + """, w as (select *, coalesce(max(case when status <> 'reuse' then e end) over (partition by sid, win), max(e) over (partition by sid, win)) as we from o),
@@ -88,4 +138,4 @@ ORACLES = {
         select d.sid, d.win as win_start, dropped, string_agg(line, ' ' order by run) as transcript from d left join z on z.sid = d.sid and z.win = d.win group by d.sid, d.win, dropped""", "seg", "fac"),
 }
 
-QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "cdei" and k[1:2].isdigit()}
+QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "cdefi" and k[1:2].isdigit()}
