@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import scalars as X
+from ..sources.files import safe_path
 from .verdicts import most_repeats, repeated_text_share
 
 # What a verdict makes of an item; anything else breaks.
@@ -94,8 +95,7 @@ def usable_manifest(rows: DataFrame, shard: int | None = None, of: int = 1, stri
     """
     d = rows if shard is None else rows.where(F.coalesce(X.crc_shard(F.coalesce("parent_id", "id"), of), F.lit(0)) == shard)
     path = F.col("wav_path")
-    # within the root: no parent reference and no NUL once taken apart
-    inside = F.coalesce((F.trim(path) != "") & ~F.contains(path, F.lit("\x00")) & ~F.startswith(path, F.lit("/")) & ~F.array_contains(F.split(path, "/"), ".."), F.lit(False))
+    inside = safe_path(path)
     packed = F.col("source_tar").isNotNull() & F.col("source_member").isNotNull()
     d = d.withColumn("__ok", inside | packed)
     if strict and not d.where("not __ok").isEmpty():
@@ -209,3 +209,47 @@ def insertions(texts: DataFrame, every: int = 30) -> DataFrame:
 
     ok = texts.where("id is not null and trim(text) <> '' and seconds > 0")
     return ok.select("id", "text", F.col("seconds").cast("double").alias("seconds")).mapInPandas(run, f"id {kind}, event int, target double, position int")
+
+
+def prompt_fits(tokens: Column, answer: int, most: int = 8192) -> Column:
+    """C31. Whether a prompt and its answer stay within the model's length; null tokens don't."""
+    return F.coalesce(tokens + answer <= most, F.lit(False))
+
+
+def with_insertions(text: str, marks: list[tuple[int, str]]) -> str:
+    """L5. ``text`` with each bracketed tag put in at its position; equal positions keep the order given."""
+    for _, p, tag in sorted(((i, p, t) for i, (p, t) in enumerate(marks)), key=lambda m: (m[1], m[0]), reverse=True):
+        text = f"{text[:p]}[{tag}]{text[p:]}"
+    return text
+
+
+def without_insertions(text: str, marks: list[tuple[int, str]]) -> str:
+    """L5. The text before ``with_insertions``: tags are taken out where they were put in; a tag that isn't there raises."""
+    for p, tag in sorted(marks, key=lambda m: m[0]):
+        piece = f"[{tag}]"
+        if not text.startswith(piece, p):
+            raise ValueError(f"no {piece} at {p}")
+        text = text[:p] + text[p + len(piece) :]
+    return text
+
+
+def tagged_texts(texts: DataFrame, every: int = 30) -> DataFrame:
+    """F25, L5. (id, n_tags, tagged, lossless) for rows (id, text, seconds): sounds drawn by I15 put in at the distinct boundaries of F25, and
+    whether taking them out gives the text again. Texts without an insertion come back as they are with n_tags 0; null and blank texts give no row."""
+    at = insertions(texts, every)
+    tag = F.element_at(F.array(*[F.lit(x) for x in DRAWN]), (F.conv(F.substring(F.sha2(F.concat(F.col("id").cast("string"), F.lit(":"), F.col("event").cast("string")).cast("binary"), 256), 1, 8), 16, 10).cast("long") % 8 + 1).cast("int"))
+    marks = at.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("position", "event", tag.alias("tag")))).alias("marks"))
+    d = texts.where("id is not null and trim(text) <> ''").select("id", "text").join(marks, "id", "left")
+    kind = texts.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for i, t, m in zip(b["id"], b["text"], b["marks"]):
+                put = [(int(x["position"]), x["tag"]) for x in m] if m is not None else []
+                out = with_insertions(t, put)
+                rows.append((i, len(put), out, int(without_insertions(out, put) == t)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "n_tags", "tagged", "lossless"])
+
+    return d.mapInPandas(run, f"id {kind}, n_tags int, tagged string, lossless int")

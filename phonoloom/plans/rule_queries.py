@@ -173,6 +173,16 @@ def l2_dispatch(spark, d):
     return m.join(r, "parent_id", "left").select("id", form.alias("form"), tongue.alias("tongue"), F.when(F.col("voices"), "dialogue").otherwise("clip").alias("builder"), example.alias("example"))
 
 
+def c31_prompt_fits(spark, d):
+    # characters stand for tokens here; the tokenizers belong to another part
+    return table(spark, d, "documents").select("doc_id", R.prompt_fits(F.col("n_chars"), 512).cast("int").alias("fits"))
+
+
+def l5_tagged_texts(spark, d):
+    t = table(spark, d, "documents").where("kind in ('long', 'dialogue')")
+    return R.tagged_texts(t.select(F.col("doc_id").alias("id"), "text", (F.col("n_chars") / 12.0).alias("seconds")))
+
+
 def f25_insertions(spark, d):
     t = table(spark, d, "documents").where("kind in ('long', 'dialogue')")
     return R.insertions(t.select(F.col("doc_id").alias("id"), "text", (F.col("n_chars") / 12.0).alias("seconds")))
@@ -220,6 +230,7 @@ ORACLES = {
     "c27_rescues": sql("also " + _REP + ", mr as (" + verdict_queries.ORACLES["i2_ngram_repeat"] + """), dn as (select distinct sid, seg_index from fac where accepted), sc as (select sid, seg_index, min(fact_id) as fact_id from fac group by sid, seg_index),
         u as (select idx, (e - s) / 1000.0 as sec, text, repeated, most, """ + _CH.format("text") + """ as ch from seg join sc on sc.sid = seg.sid and sc.seg_index = seg.seg_index join fac on fac.fact_id = sc.fact_id join rep on rep.fact_id = sc.fact_id join mr on mr.fact_id = sc.fact_id where not exists (select 1 from dn where dn.sid = seg.sid and dn.seg_index = seg.seg_index))
         select idx, case when trim(coalesce(text, '')) = '' then 'blank' when ch > 80 and sec > 0 and ch / sec > 25 and most >= 3 then 'degenerate' when repeated >= 0.8 then 'asr_repetition' else 'ok' end as rescue from u""", "seg", "fac"),
+    "c31_prompt_fits": "select doc_id, case when n_chars + 512 <= 8192 then 1 else 0 end as fits from documents",
     "c29_placed": sql("also " + _LAST.format("duration") + ", j as (select id, rel_start as a, rel_end as b, duration as hi from man left join rc1 on rc1.sid = man.parent_id), k as (select *, case when a is null or b is null or hi is null then 'missing' when b <= a then 'empty' when a >= hi or b <= 0 then 'outside' end as problem from j) select id, problem, case when problem is null then greatest(0.0, a) end as placed_start, case when problem is null then least(b, hi) end as placed_end from k", "man"),
     "c30_safe_names": sql("select id, case when trim(source_member) <> '' and not contains(source_member, '/') and not contains(source_member, '\\') and source_member not in ('.', '..') then 1 else 0 end as member_ok, case when trim(wav_path) <> '' and not contains(wav_path, '/') and not contains(wav_path, '\\') and wav_path not in ('.', '..') then 1 else 0 end as path_ok from man", "man"),
     "d4_dialect_fusion": "with x as (select doc_id, source, lower(trim(lang)) as c, lower(coalesce(text, '')) as t from documents) select doc_id, case when (" + _HEAD.format(c="c") + ") is not null then " + _DIAL.format(t="t", f="source") + " else source end as variety from x",

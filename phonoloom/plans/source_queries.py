@@ -10,7 +10,7 @@ from ..operators import joins as J
 from ..operators import records as R
 from ..operators import rules
 from ..operators import sequences as S
-from ..sources import views
+from ..sources import files, views
 from ..sources.tables import table
 from ..sources.views import sql
 from .rule_queries import CRC_SQL, CRC_TABLE
@@ -25,6 +25,30 @@ def a5_usable_manifest(spark, d):
     return rules.usable_manifest(views.manifest(spark, d), shard=1, of=4).select("id", "via")
 
 
+def a6_safe_paths(spark, d):
+    m = views.manifest(spark, d)
+    return m.select("id", files.safe_path(F.col("wav_path")).cast("int").alias("path_ok"), files.safe_path(F.concat(F.lit("../"), F.col("wav_path"))).cast("int").alias("up_ok"))
+
+
+def _windows(spark, d):
+    r = table(spark, d, "recordings").where("sid is not null").select("sid", "duration", "sample_rate", "ingested_at")
+    r = J.last_wins(r, ["sid"], ["ingested_at"]).select(F.col("sid").alias("parent_id"), "sample_rate", (F.col("duration") * F.col("sample_rate")).cast("long").alias("total"))
+    m = views.manifest(spark, d).select("id", "parent_id", (F.col("rel_start") * 16_000).cast("long").alias("a"), (F.col("rel_end") * 16_000).cast("long").alias("b"))
+    return m.join(r, "parent_id", "left")
+
+
+def a15_carrier_windows(spark, d):
+    why, lo, hi = files.carrier_window(F.col("a"), F.col("b"), 16_000, F.col("sample_rate"), F.col("total"))
+    return _windows(spark, d).select("id", why.alias("problem"), lo.alias("from_sample"), hi.alias("to_sample"))
+
+
+def a16_slice_checks(spark, d):
+    # a slice must be at the rate asked for and within its carrier
+    w = _windows(spark, d)
+    bad = F.when(F.col("sample_rate").isNull() | F.col("a").isNull() | F.col("b").isNull(), "missing").when(F.col("sample_rate") != 16_000, "rate").when((F.col("a") < 0) | (F.col("b") <= F.col("a")) | (F.col("b") > F.col("total")), "bounds")
+    return w.select("id", bad.alias("problem"))
+
+
 def a14_identified(spark, d):
     files = views.manifest(spark, d).where("parent_id is not null").select("id", "parent_id")
     ident = table(spark, d, "dialogue_records").where("id is not null").select(F.col("id").alias("parent_id"), F.concat(F.lit("d_"), "id").alias("sample_id"))
@@ -108,7 +132,11 @@ def d17_reviewed_spans(spark, d):
 
 _CH = "length(regexp_replace(coalesce({}, ''), '[\\s\\p{{P}}\\p{{Z}}]', '', 'g'))"
 _WIN = "f as (select *, max(e) over (partition by sid order by s, idx rows between unbounded preceding and 1 preceding) as far from seg), o as (select *, max(case when far is null or s - far > 6000 then s end) over (partition by sid order by s, idx rows unbounded preceding) as win from f)"
+_AW = "also r as (select sid, arg_max_null(duration, ingested_at) as dur, arg_max_null(sample_rate, ingested_at) as rate from recordings where sid is not null group by sid), w as (select id, cast(trunc(rel_start * 16000) as bigint) as a, cast(trunc(rel_end * 16000) as bigint) as b, rate, cast(trunc(dur * rate) as bigint) as total from man left join r on r.sid = man.parent_id)"
 ORACLES = {
+    "a6_safe_paths": sql("select id, case when trim(wav_path) <> '' and wav_path not like '/%' and not list_contains(string_split(wav_path, '/'), '..') then 1 else 0 end as path_ok, 0 as up_ok from man", "man"),
+    "a15_carrier_windows": sql(_AW + ", k as (select id, a, b, rate, total, a * rate // 16000 as x, b * rate // 16000 as y from w), p as (select *, case when a is null or b is null or rate is null or total is null then 'missing' when a < 0 or b <= a then 'bad_bounds' when b - a > 345600000 then 'too_long' when y - total > 1024 then 'past_end' when y > total then 'padded' end as problem from k) select id, problem, case when coalesce(problem, 'padded') = 'padded' then x end as from_sample, case when coalesce(problem, 'padded') = 'padded' then y end as to_sample from p", "man"),
+    "a16_slice_checks": sql(_AW + " select id, case when rate is null or a is null or b is null then 'missing' when rate <> 16000 then 'rate' when a < 0 or b <= a or b > total then 'bounds' end as problem from w", "man"),
     "a5_usable_manifest": sql("also " + CRC_TABLE + ", u as (select *, trim(wav_path) <> '' and wav_path not like '/%' and not list_contains(string_split(wav_path, '/'), '..') as inside from man, crct where coalesce(" + CRC_SQL.format("coalesce(parent_id, id)") + " % 4, 0) = 1) select coalesce(id, regexp_extract(coalesce(wav_path, source_member), '([^/]+)$', 1)) as id, case when coalesce(inside, false) then 'path' else 'archive' end as via from u where coalesce(inside, false) or (source_tar is not null and source_member is not null)", "man"),
     "a14_identified": sql("also i as (select distinct id as parent_id, 'd_' || id as sample_id from dialogue_records where id is not null), x as (select man.id, sample_id, row_number() over (partition by man.parent_id order by man.id) as r from man left join i on i.parent_id = man.parent_id where man.parent_id is not null) select id, sample_id, case when sample_id is null then 'missing' when r > 1 then 'duplicate' else 'matched' end as status from x", "man"),
     "a17_pack_index": sql("select source_tar, source_member, max(id) as id from man where source_tar is not null and source_member is not null group by 1, 2", "man"),

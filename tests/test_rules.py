@@ -254,3 +254,111 @@ def test_members_and_units(spark):
     placed = {r.idx: (r.win, r.place) for r in sequences.placed_members(sequences.gap_windows(df)).collect()}
     assert placed == {1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (0, 4), 5: (40_000, 1)}
     assert sequences.unit_metrics(df.limit(0)).count() == 0
+
+
+def test_files_of_a_folder(spark, tmp_path):
+    import json
+
+    from phonoloom.sources import files
+
+    for p in ("a/x.wav", "a/b/y.FLAC", "a/z.txt", "a_processed/w.wav"):
+        (tmp_path / "in" / p).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / p).write_bytes(b"12")
+    got = {r.name: r.size for r in files.recordings(spark, str(tmp_path / "in")).collect()}
+    assert got == {"x": 2, "y": 2}
+    assert [r.name for r in files.recordings(spark, str(tmp_path / "in"), spark.createDataFrame([("x",)], "name string")).collect()] == ["y"]
+    for p, v in (("r1/r1.json", [{"s": 1.0}, {"s": 2.0}]), ("r1/r1.long.json", [{"s": 3.0}]), ("r1/other.json", [{"s": 9.0}]), ("_tmp/_tmp.json", [{"s": 9.0}]), ("r2/r2.dialogue.json", [])):
+        (tmp_path / "rec" / p).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "rec" / p).write_text(json.dumps(v, indent=1))
+    (tmp_path / "rec/r2/r2.json").write_text("{torn")
+    got = sorted((r.rec, r.track, r.s) for r in files.record_files(spark, str(tmp_path / "rec"), "struct<s:double>").collect())
+    assert got == [("r1", "long", 3.0), ("r1", "short", 1.0), ("r1", "short", 2.0)]
+    (tmp_path / "now").symlink_to(tmp_path / "rec")
+    assert files.pinned(str(tmp_path / "now")) == str((tmp_path / "rec").resolve()) and files.pinned("s3://b/k") == "s3://b/k"
+
+
+def test_sidecars(spark):
+    from phonoloom.sources import files
+
+    rows = [("t", "a.json", b'{"n": 1}'), ("t", "b.json", b"{torn"), ("t", "c.wav", b'{"n": 1}'), ("t", "d.json", None)]
+    got = files.sidecars(spark.createDataFrame(rows, "archive string, member string, data binary"), "struct<n:int>").collect()
+    assert [(r.member, r.j.n) for r in got] == [("a.json", 1)]
+
+
+def test_carrier_windows(spark):
+    from phonoloom.sources import files
+
+    rows = [(0, 100, 200, 48_000, 10_000), (1, -1, 5, 48_000, 10_000), (2, 5, 5, 48_000, 10_000), (3, 0, 6 * 3600 * 16_000 + 1, 16_000, 10**9), (4, 0, 4_000, 48_000, 11_000), (5, 0, 4_000, 48_000, 10_900), (6, None, 5, 48_000, 1), (7, 101, 200, 44_100, 10_000)]
+    df = spark.createDataFrame(rows, "i int, a long, b long, r int, n long")
+    why, lo, hi = files.carrier_window(F.col("a"), F.col("b"), 16_000, F.col("r"), F.col("n"))
+    got = [tuple(r)[1:] for r in df.select("i", why.alias("w"), lo.alias("lo"), hi.alias("hi")).orderBy("i").collect()]
+    assert got == [(None, 300, 600), ("bad_bounds", None, None), ("bad_bounds", None, None), ("too_long", None, None), ("padded", 0, 12_000), ("past_end", None, None), ("missing", None, None), (None, 101 * 44_100 // 16_000, 200 * 44_100 // 16_000)]
+
+
+def test_stages(spark):
+    from phonoloom.operators import stages
+
+    seen = []
+    mk = lambda n, f: stages.Stage(n, f, lambda: seen.append(f"+{n}"), lambda: seen.append(f"-{n}"))
+    got = stages.run_stages(spark.range(3), [mk("a", lambda d: d.where("id > 0")), mk("b", lambda d: d.withColumn("v", F.col("id") * 2))], lambda d: sorted(r.v for r in d.collect()))
+    assert got == [2, 4] and seen == ["+a", "+b", "-b", "-a"]
+    seen.clear()
+    with pytest.raises(ZeroDivisionError):
+        stages.run_stages(spark.range(1), [mk("a", lambda d: 1 / 0)], lambda d: d)
+    assert seen == ["+a", "-a"]
+    with pytest.raises(ValueError):
+        stages.run_stages(spark.range(1), [mk("a", lambda d: d)] * 2, lambda d: d)
+
+
+def test_hints_and_captions(spark):
+    from phonoloom.operators import stages
+
+    df = spark.createDataFrame([(i, h, f"t{i}") for i, h in enumerate(["en", "de", None] * 20)], "i int, h string, t string")
+    got = {r.i: r.o for r in stages.by_hint(df, "h", "t", "o", lambda h, xs: [f"{h}:{x}" for x in xs]).collect()}
+    assert got == {i: f"{h}:t{i}" for i, h in enumerate(["en", "de", None] * 20)}
+    with pytest.raises(Exception, match="results for"):
+        stages.by_hint(df, "h", "t", "o", lambda h, xs: []).collect()
+
+    def some(xs):
+        if "t3" in xs:
+            raise ValueError("no")
+        return [x.upper() for x in xs]
+
+    got = {r.i: r.o for r in stages.captioned(df.coalesce(1), "t", "o", some).collect()}
+    assert got[3] is None and got[4] == "T4" and sum(v is None for v in got.values()) == 1
+
+    def none(xs):
+        raise ValueError("no")
+
+    with pytest.raises(Exception, match="failed in a row"):
+        stages.captioned(df, "t", "o", none).collect()
+
+
+def test_work_that_is_done(spark, tmp_path):
+    from phonoloom.operators import stages
+
+    pub, fin = spark.createDataFrame([("a",), ("b",), ("a",)], "k string"), spark.createDataFrame([("b",), ("z",)], "k string")
+    assert [r.k for r in stages.pending(pub, fin, ["k"]).collect()] == ["a"]
+    entries = spark.createDataFrame([("p", 1), ("p", 5), ("q", 2), ("q", 9)], "u string, t int")
+    marks = spark.createDataFrame([("p", 2, 5), ("q", 1, 2), ("r", 0, None)], "u string, n long, latest int")
+    assert sorted(r.u for r in stages.drained(entries, marks, "u", "t").collect()) == ["p", "r"]
+    path = str(tmp_path / "t")
+    stages.append_rows(pub, path)
+    stages.append_rows(fin, path)
+    stages.append_rows(fin, None)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_insertions_can_be_undone(spark):
+    rng = random.Random(9)
+    for _ in range(200):
+        t = "".join(rng.choice("ab[].") for _ in range(rng.randrange(30)))
+        marks = [(rng.randrange(len(t) + 1), rng.choice(["Sigh", "Cough"])) for _ in range(rng.randrange(5))]
+        marks = sorted({p: (p, g) for p, g in marks}.values())
+        assert rules.without_insertions(rules.with_insertions(t, marks), marks) == t
+    with pytest.raises(ValueError):
+        rules.without_insertions("abc", [(1, "Sigh")])
+    df = spark.createDataFrame([(1, "one, two. three", 65.0), (2, None, 90.0), (3, "short", 5.0)], "id int, text string, seconds double")
+    got = {r.id: (r.n_tags, r.lossless) for r in rules.tagged_texts(df).collect()}
+    assert got == {1: (2, 1), 3: (0, 1)}
+    assert column(spark, [7680, 7681, None], lambda c: rules.prompt_fits(c, 512), "int") == [True, False, False]
