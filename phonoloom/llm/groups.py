@@ -101,6 +101,12 @@ def splits(records: DataFrame, recordings: DataFrame, segments: DataFrame, weigh
     return groups(records, recordings, segments).withColumn("split", rendezvous(F.col("group_id"), weights or WEIGHTS))
 
 
+def checked(placed: DataFrame) -> DataFrame:
+    """(id, group_id, together) of placed records; together is 1 where all records of the group are in one known split."""
+    whole = placed.groupBy("group_id").agg(((F.min("split") == F.max("split")) & F.min("split").isin(*WEIGHTS)).cast("int").alias("together"))
+    return placed.select("id", "group_id").join(whole, "group_id").select("id", "group_id", "together")
+
+
 def reached(placed: DataFrame, nv_placed: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """(split, target, n_groups, n_records, record_share, n_nv_rows, nv_share): what each split was to get and got.
 

@@ -103,3 +103,15 @@ def report(spark: SparkSession, chosen: DataFrame, planned: list[tuple]) -> Data
     r = spark.createDataFrame(planned, _PLAN).join(used, "source", "left").withColumn("used", F.coalesce("used", F.lit(0)))
     all_used = F.sum("used").over(W.partitionBy(F.lit(1)))  # one row per target source
     return r.select("source", "domain", "language", "size", "target_share", "max_repeats", "used", F.when(all_used > 0, F.col("used") / all_used).otherwise(0.0).alias("actual_share"), F.coalesce("most_times", F.lit(0)).alias("most_times"), "short")
+
+
+def checked(spark: SparkSession, chosen: DataFrame, planned: list[tuple]) -> DataFrame:
+    """source, within_repeats, within_budget, met: 1 where no document is used too often, the budget isn't exceeded, and all of it but less than the
+    largest document of the source is used."""
+    used = chosen.groupBy("source").agg(F.sum(F.col("tokens") * F.col("times")).alias("__used"), F.max("times").alias("__times"), F.max("tokens").alias("__big"))
+    p = spark.createDataFrame(planned, _PLAN).join(used, "source", "left").na.fill(0, ["__used", "__times", "__big"])  # a row per target source
+    big = chosen.agg(F.max("tokens").alias("__top"))  # one row
+    near = F.col("__used") > F.col("budget") - F.greatest("__big", F.coalesce("__top", F.lit(0))) - 1
+    return p.join(F.broadcast(big)).select(
+        "source", (F.col("__times") <= F.col("max_repeats")).cast("int").alias("within_repeats"), (F.col("__used") <= F.col("budget") + 1e-6).cast("int").alias("within_budget"), near.cast("int").alias("met")
+    )

@@ -98,3 +98,14 @@ def fill(packed: DataFrame, capacity: int) -> DataFrame:
     """container_id, n_items, size, room, fill: what each container of ``pack`` holds; room is what stays empty, fill the share used."""
     held = packed.groupBy("container_id").agg(F.count(F.lit(1)).alias("n_items"), F.sum("tokens").alias("size"))
     return held.select("container_id", "n_items", "size", (F.lit(capacity) - F.col("size")).alias("room"), F.round(F.col("size") / F.lit(float(capacity)), 6).alias("fill"))
+
+
+def checked(packed: DataFrame, capacity: int) -> DataFrame:
+    """doc_id, within, complete: 1 where all containers of a document keep the capacity, and where its pieces are numbered from 0, sum to its size
+    and are one unless it exceeds a container."""
+    full = packed.groupBy("container_id").agg((F.sum("tokens") <= capacity).cast("int").alias("__ok"))
+    d = packed.join(full, "container_id").groupBy("doc_id").agg(
+        F.min("__ok").alias("within"), F.count(F.lit(1)).alias("n"), F.countDistinct("piece").alias("k"), F.max("piece").alias("top"), F.sum("tokens").alias("t"), F.max("doc_tokens").alias("all")
+    )
+    whole = (F.col("n") == F.col("k")) & (F.col("top") == F.col("n") - 1) & (F.col("t") == F.col("all")) & ((F.col("n") == 1) | (F.col("all") > capacity))
+    return d.select("doc_id", "within", whole.cast("int").alias("complete"))

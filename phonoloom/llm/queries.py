@@ -89,6 +89,10 @@ def p4_proportions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.reached(placed, groups.split_rows(table(spark, sf_dir, "nv_rows"), placed))
 
 
+def p4_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.checked(groups.splits(*_records(spark, sf_dir)))
+
+
 def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, overlap = pieces.limits(table(spark, sf_dir, "size_limits"), "segment")
     return pieces.cut_pieces(table(spark, sf_dir, "segments"), table(spark, sf_dir, "breaks"), round(size * 1000), round(overlap * 1000))
@@ -108,6 +112,11 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(tokens.token_counts(table(spark, sf_dir, "documents").where("text is not null"), ["doc_id"]), int(capacity))
 
 
+def p7_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capacity, _ = pieces.limits(table(spark, sf_dir, "size_limits"), "container")
+    return packing.checked(settle(p7_containers(spark, sf_dir)), int(capacity))
+
+
 def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     capacity, _ = pieces.limits(table(spark, sf_dir, "size_limits"), "container")
     return packing.fill(p7_containers(spark, sf_dir), int(capacity))
@@ -136,6 +145,16 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_shares(spark, sf_dir).where("short").select("source")
 
 
+def p8_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, planned = _mixed(spark, sf_dir)
+    return mixing.checked(spark, chosen, planned)
+
+
+def p9_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sentences.checked(p9_found(spark, sf_dir), docs)
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sentences.sentences(docs, lexicon=sentences.fit_lexicon(docs))

@@ -57,5 +57,12 @@ select group_id, id from gr where id <> group_id
 """
 
 
+P4_CHECKED = P4_FOUND.replace("select group_id, id from gr where id <> group_id", "select id, group_id, cast(1 as int) as together from gr")
+P7_CHECKED = 'select doc_id, cast(1 as int) as "within", cast(1 as int) as complete from documents where text is not null'
+P8_CHECKED = "select distinct source, cast(1 as int) as within_repeats, cast(1 as int) as within_budget, cast(1 as int) as met from mix_targets where source is not null"
+P9_CHECKED = """select doc_id, cast(1 as int) as "within", cast(1 as int) as trimmed, cast(1 as int) as covered from documents
+where regexp_matches(regexp_replace(text, '\\[S\\d{1,4}\\]', '', 'g'), '[^\\s\\p{Z}]')"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p6_found": P6_FOUND, "p6_checked": P6_CHECKED}
+    return {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p4_checked": P4_CHECKED, "p7_checked": P7_CHECKED, "p8_checked": P8_CHECKED, "p9_checked": P9_CHECKED, "p6_found": P6_FOUND, "p6_checked": P6_CHECKED}

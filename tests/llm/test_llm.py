@@ -647,3 +647,23 @@ def test_fit_lexicon_of_rows(spark):
     df = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
     assert "です" in sentences.fit_lexicon(df).costs["ja"]
     assert sentences.fit_lexicon(df.where("false")).costs == sentences.BUILT_IN.costs
+
+
+# the checks that registered queries run on results
+
+
+def test_checks_see_what_is_wrong(spark):
+    placed = spark.createDataFrame([("a", "a", "train"), ("b", "a", "test"), ("c", "c", "train"), ("d", "d", "other")], "id string, group_id string, split string")
+    assert {r.id: r.together for r in groups.checked(placed).collect()} == {"a": 0, "b": 0, "c": 1, "d": 0}
+    rows = [("x", 1, 0, 60, 60), ("x", 2, 0, 50, 50), ("y", 3, 0, 100, 130), ("z", 3, 1, 30, 130), ("w", 4, 0, 10, 20), ("w", 5, 0, 5, 10), ("v", 5, 1, 5, 10)]
+    packed = spark.createDataFrame(rows, "container_id string, doc_id long, piece int, tokens long, doc_tokens long")
+    got = {r.doc_id: (r.within, r.complete) for r in packing.checked(packed, 100).collect()}
+    assert got == {1: (0, 1), 2: (0, 1), 3: (1, 1), 4: (1, 0), 5: (1, 0)}
+    docs = spark.createDataFrame([(1, "One. Two."), (2, "One. Two."), (3, "One. Two."), (4, "[S1]"), (5, None)], "doc_id long, text string")
+    spans = spark.createDataFrame([(1, 0, 4), (1, 5, 9), (2, 0, 4), (3, 0, 5), (3, 4, 9)], "doc_id long, start_char int, end_char int")
+    got = {r.doc_id: (r.within, r.trimmed, r.covered) for r in sentences.checked(spans, docs).collect()}
+    assert got == {1: (1, 1, 1), 2: (1, 1, 0), 3: (0, 0, 1)}
+    planned = [("a", "d", "en", 100, 0.5, 2, 150.0, False), ("b", "d", "en", 10, 0.5, 1, 10.0, True)]
+    chosen = spark.createDataFrame([(1, "a", 50, 2), (2, "a", 50, 1), (3, "b", 10, 2)], "doc_id long, source string, tokens long, times long")
+    got = {r.source: (r.within_repeats, r.within_budget, r.met) for r in mixing.checked(spark, chosen, planned).collect()}
+    assert got == {"a": (1, 1, 1), "b": (0, 0, 1)}
