@@ -45,6 +45,10 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetitive(p2_shares(spark, sf_dir)).select("tbl", "row_key")
 
 
+def p2_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_shares(spark, sf_dir).select("tbl", "row_key", F.round("share", 6).alias("share"))
+
+
 def p2_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every rejected text, whatever its share
     far = repetition.outliers(p2_shares(spark, sf_dir))

@@ -64,5 +64,16 @@ P9_CHECKED = """select doc_id, cast(1 as int) as "within", cast(1 as int) as tri
 where regexp_matches(regexp_replace(text, '\\[S\\d{1,4}\\]', '', 'g'), '[^\\s\\p{Z}]')"""
 
 
+# TESTDATA keeps these cases far from the limit for any common tokenizer, so bytes stand for tokens (about 3.4 to one)
+P7_FOUND = "select doc_id from documents, size_limits where item = 'container' and strlen(text) / 3.4 > max_size"
+P8_FOUND = """
+with t as (select sum(strlen(text)) as total from documents), s as (select source, sum(strlen(text)) as size from documents group by source)
+select m.source from mix_targets m cross join t left join s on s.source = m.source where coalesce(s.size, 0) * m.max_repeats < m.target_share * t.total
+"""
+P2_EXACT = P2_FOUND.replace("select tbl, row_key from v group by tbl, row_key having sum(hit * length(x)) >= sum(length(x)) / 3.0 - 1e-9", """,
+h as (select tbl, row_key, round(sum(hit * length(x)) / sum(length(x)), 6) as share from v group by tbl, row_key)
+select t.tbl, t.row_key, coalesce(share, 0.0) as share from t left join h on h.tbl = t.tbl and h.row_key = t.row_key""")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND, "p4_found": P4_FOUND, "p4_checked": P4_CHECKED, "p7_checked": P7_CHECKED, "p8_checked": P8_CHECKED, "p9_checked": P9_CHECKED, "p6_found": P6_FOUND, "p6_checked": P6_CHECKED}
+    return {"p2_found": P2_FOUND, "p2_exact": P2_EXACT, "p7_found": P7_FOUND, "p8_found": P8_FOUND, "p4_found": P4_FOUND, "p4_checked": P4_CHECKED, "p7_checked": P7_CHECKED, "p8_checked": P8_CHECKED, "p9_checked": P9_CHECKED, "p6_found": P6_FOUND, "p6_checked": P6_CHECKED}
