@@ -134,3 +134,37 @@ def speaker_fold(segs: DataFrame, genders: DataFrame) -> DataFrame:
     # the measured score stands for a mean pitch, as the tables have none
     pitch = X.pitch_label(F.col("mean_q") * 45, F.col("gender"))
     return d.select(*key, "n_segments", "speech_seconds", "lang", "dominant_lang_ratio", "n_languages", "gender", "mean_q", pitch.alias("pitch"))
+
+
+def posterior_fold(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """E4. From (keys, label, p, w, row) entries: keys, label, mean = sum of w p over the weight of all rows that have entries, so a label a row lacks counts 0 there.
+
+    ``row`` tells the rows of a key apart; ``w`` is the row's, repeated in each of its entries.
+    """
+    keys = list(keys)
+    whole = rows.groupBy(*keys, "row").agg(F.max("w").alias("w")).groupBy(*keys).agg(F.sum("w").alias("__w"))
+    g = rows.groupBy(*keys, "label").agg(F.sum(F.col("w") * F.col("p")).alias("__wp")).join(whole, keys)
+    return g.select(*keys, "label", F.round(F.col("__wp") / F.nullif(F.col("__w"), F.lit(0)), 6).alias("mean"))
+
+
+def accent_fold(rows: DataFrame, keys: Sequence[str], at: Column) -> DataFrame:
+    """E5. From (keys, label, p, w) entries: keys, label of the greatest summed w p (the first met by ``at`` at ties), agreement (its part of all), and
+    top3, the three greatest as ``label=part`` with parts of the sum of all, three places."""
+    keys = list(keys)
+    g = rows.groupBy(*keys, "label").agg(F.sum(F.col("w") * F.col("p")).alias("s"), F.min(at).alias("first"))
+    order = lambda a, b: F.when(a["s"] > b["s"], -1).when(a["s"] < b["s"], 1).when(a["first"] < b["first"], -1).when(a["first"] > b["first"], 1).otherwise(0)
+    d = g.groupBy(*keys).agg(F.sum("s").alias("all"), F.array_sort(F.collect_list(F.struct("s", "first", "label")), order).alias("l"))
+    part = lambda x: F.concat(x["label"], F.lit("="), F.format_string("%.3f", x["s"] / F.col("all") + 1e-12))
+    return d.select(*keys, F.col("l")[0]["label"].alias("label"), F.round(F.col("l")[0]["s"] / F.col("all"), 6).alias("agreement"), F.array_join(F.transform(F.slice("l", 1, 3), part), " ").alias("top3"))
+
+
+def file_summary(segs: DataFrame, durations: DataFrame, runs: DataFrame) -> DataFrame:
+    """E7. Flat record of a recording: sid, n_segments, speech_seconds (two places), file_seconds (its declared duration), speech_ratio (three places, null without one),
+    lang, dominant_lang_ratio, n_languages, mean_q, level (energy mean of -10 q) and n_spans, the runs of its language. Segments have a positive length."""
+    w = F.col("e") - F.col("s")
+    base = segs.groupBy("sid").agg(F.count(F.lit(1)).alias("n_segments"), F.sum(w).alias("__ms"), F.countDistinct(F.when(F.col("lang") != "", F.col("lang"))).alias("n_languages"))
+    vote = weighted_vote(segs, ["sid"], "lang", w).select("sid", F.col("label").alias("lang"), F.col("share").alias("dominant_lang_ratio"))
+    d = base.join(vote, "sid", "left").join(weighted_mean(segs, ["sid"], "q", w).withColumnRenamed("mean", "mean_q"), "sid").join(energy_mean(segs, ["sid"], F.col("q") * -10, w), "sid")
+    d = d.join(durations.select("sid", F.col("duration").alias("file_seconds")), "sid", "left").join(runs.groupBy("sid").agg(F.count(F.lit(1)).alias("n_spans")), "sid")
+    sec = F.round(F.col("__ms") / 1000 + 1e-9, 2)
+    return d.select("sid", "n_segments", sec.alias("speech_seconds"), "file_seconds", F.round(F.col("__ms") / 1000 / F.nullif(F.col("file_seconds"), F.lit(0.0)) + 1e-9, 3).alias("speech_ratio"), "lang", "dominant_lang_ratio", "n_languages", "mean_q", "level", "n_spans")

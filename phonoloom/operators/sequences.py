@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from ..functions.scalars import time_label
+from .joins import ranked_within
 from .lineage import settle
 from .ordered import bucket_of, bucketed_rank, carry_last, carry_max, carry_previous, runs
 
@@ -169,6 +171,27 @@ def label_runs(segs: DataFrame, label: str, max_gap_ms: int = 10_000) -> DataFra
     return g.select("sid", "label", F.col("run.s").alias("run_start"), "run_end", "n_seg", "speech_ms")
 
 
+def phase_line(segs: DataFrame, label: str, least_share: float = 0.05, most: int = 6, least_variation: float = 0.15) -> DataFrame:
+    """F23, G4. The phases of a label over a recording in one line: ``a (0:05-1:20) > b (1:20-2:00)``; sid, n_phases, line.
+
+    Runs (F8) of at least ``least_share`` of the recording, of which the ``most`` longest are told in order of time (the earlier at ties),
+    equal neighbours joined from the first start to the last end. No line where fewer than two are left, or where the label with the most
+    speech over all runs holds more than 1 - ``least_variation`` of it.
+    """
+    r = label_runs(segs, label).where("label is not null")
+    held = r.groupBy("sid", "label").agg(F.sum("speech_ms").alias("w")).groupBy("sid").agg((1 - F.max("w") / F.sum("w")).alias("__v"))
+    total = segs.groupBy("sid").agg(F.max("e").alias("__end"))
+    r = r.withColumn("__len", F.col("run_end") - F.col("run_start")).join(total, "sid").where(F.col("__len") >= F.lit(least_share) * F.col("__end"))
+    r = ranked_within(r, ["sid"], [F.desc("__len"), F.asc("run_start")], most)
+    w = W.partitionBy("sid").orderBy("run_start")  # at most ``most`` rows
+    r = r.withColumn("__new", F.when(F.lag("label").over(w) == F.col("label"), 0).otherwise(1)).withColumn("__g", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    g = r.groupBy("sid", "__g", "label").agg(F.min("run_start").alias("a"), F.max_by("run_end", "run_start").alias("b"))
+    line = F.concat("label", F.lit(" ("), time_label(F.col("a")), F.lit("-"), time_label(F.col("b")), F.lit(")"))
+    g = g.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("__g", line.alias("t")))).alias("p")).where(F.size("p") >= 2)
+    g = g.join(held.where(F.col("__v") >= least_variation), "sid")
+    return g.select("sid", F.size("p").alias("n_phases"), F.array_join(F.transform("p", lambda x: x["t"]), " > ").alias("line"))
+
+
 def rate_deltas(segs: DataFrame, value: str) -> DataFrame:
     """F13. Difference of a value to the last non-null value before it, and the relative change."""
     d = carry_last(hourly(segs).withColumn("pos", F.when(F.col(value).isNotNull(), F.struct("s", "idx", value))), ["sid"], "hour", ORDER, "pos", "upto")

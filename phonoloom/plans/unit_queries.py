@@ -55,6 +55,32 @@ def f15_split_windows(spark, d):
     return V.split_windows(S.gap_windows(st).withColumn("role", role))
 
 
+def _entries(spark, d):
+    """What each transcript says of its segment's language, with the detector's confidence and the rest as another label."""
+    f = views.facts(spark, d).select("fact_id", "sid", "seg_index", "language", F.try_element_at("extra", F.lit("lid_confidence")).try_cast("double").alias("c")).where("language is not null and c is not null")
+    j = f.join(views.segments(spark, d).select("sid", "seg_index", "s", "e"), ["sid", "seg_index"])
+    both = F.explode(F.array(F.struct(F.col("language").alias("label"), F.col("c").alias("p")), F.struct(F.lit("other").alias("label"), (1 - F.col("c")).alias("p"))))
+    return j.select("sid", F.col("fact_id").alias("row"), (F.col("e") - F.col("s")).alias("w"), both.alias("x")).select("sid", "row", "w", "x.label", "x.p")
+
+
+def e4_weighted_posterior(spark, d):
+    return A.posterior_fold(_entries(spark, d), ["sid"])
+
+
+def e5_summed_labels(spark, d):
+    return A.accent_fold(_entries(spark, d), ["sid"], F.struct("row", "label"))
+
+
+def e7_file_summary(spark, d):
+    s = views.segments(spark, d)
+    r = J.last_wins(table(spark, d, "recordings").where("sid is not null").select("sid", "duration", "ingested_at"), ["sid"], ["ingested_at"])
+    return A.file_summary(s, r, S.label_runs(s, "lang"))
+
+
+def f23_phase_line(spark, d):
+    return S.phase_line(views.segments(spark, d), "spk")
+
+
 def e14_chunk_metrics(spark, d):
     s = views.segments(spark, d).select("sid", "idx", "seg_index", "s", "e", "spk", "q", (F.trim(F.coalesce("txt", F.lit(""))) == "").alias("flag"))
     return S.chunk_metrics(s)
@@ -90,6 +116,7 @@ _WIN = "f as (select *, max(e) over (partition by sid order by s, idx rows betwe
 _UNITS = "with recursive seg as (" + views.SQL["seg"] + """), n as (select sid, coalesce(spk, '') as spk, idx, s, e, q, lang, row_number() over (partition by sid order by s, idx) as r from seg),
     u as (select sid, spk, s as us, e as ue, r, r as unit from n where r = 1
       union all select n.sid, n.spk, case when n.spk = u.spk and n.s - u.ue < 3000 and n.e - u.us <= 20000 then u.us else n.s end, n.e, n.r, case when n.spk = u.spk and n.s - u.ue < 3000 and n.e - u.us <= 20000 then u.unit else n.r end from u join n on n.sid = u.sid and n.r = u.r + 1)"""
+_ENT = "also c as (select fact_id, sid, seg_index, language, try_cast(extra['lid_confidence'] as double) as c from fac where language is not null and try_cast(extra['lid_confidence'] as double) is not null), j as (select c.sid, fact_id as row, e - s as w, language, c from c join seg on seg.sid = c.sid and seg.seg_index = c.seg_index), en as (select sid, row, w, language as label, c as p from j union all select sid, row, w, 'other', 1 - c from j)"
 _CUTS = "with recursive frm as (" + views.SQL["frm"] + """), n as (select sid, spk, s, e, row_number() over (partition by sid order by s, idx) as r from frm),
     u as (select sid, spk, case when e - s > 30000 then s + (cast(ceil((e - s) / 30000.0) as bigint) - 1) * 30000 else s end as us, e as ue, s, r, r as unit from n where r = 1
       union all select n.sid, n.spk, case when n.e - n.s <= 30000 and n.spk = u.spk and n.e - u.us <= 30000 and n.s - u.ue < 3000 then u.us when n.e - n.s > 30000 then n.s + (cast(ceil((n.e - n.s) / 30000.0) as bigint) - 1) * 30000 else n.s end,
@@ -115,6 +142,19 @@ ORACLES = {
         w0 as (select sid, win, count(*) as ni, min(case when role = 'OK' then 1 else 0 end) as ok from r0 group by sid, win),
         j0 as (select a0.*, gt.speakers, gt.reason, case when ok = 1 and n = ni then 1 else 0 end as whole, sum(case when gt.reason = 'kept' then 1 else 0 end) over (partition by a0.sid, a0.win order by run_start, piece, part rows unbounded preceding) as kk from a0 join gt on gt.sid = a0.rk join w0 on w0.sid = a0.sid and w0.win = a0.win)
         select sid, win as win_start, run_start, run_end, speakers, reason, whole, case when reason = 'kept' then 'D' || win || '_p' || (kk - 1) end as name from j0""", "seg", "fac"),
+    "e4_weighted_posterior": sql(_ENT + ", t as (select sid, sum(w) as w from j group by sid) select en.sid, label, round(sum(en.w * p) / any_value(t.w), 6) as mean from en join t on t.sid = en.sid group by en.sid, label", "seg", "fac"),
+    "e5_summed_labels": sql(_ENT + ", g as (select sid, label, sum(w * p) as s, min((row, label)) as fst from en group by sid, label), t as (select *, sum(s) over (partition by sid) as tot, row_number() over (partition by sid order by s desc, fst) as r from g) select sid, max(case when r = 1 then label end) as label, round(max(case when r = 1 then s / tot end), 6) as agreement, string_agg(case when r <= 3 then label || '=' || format('{:.3f}', s / tot + 1e-12) end, ' ' order by r) as top3 from t group by sid", "seg", "fac"),
+    "e7_file_summary": sql(sequence_queries._RUNS.format(label="lang", cmp="> 10000").rstrip() + """, l as (select sid, lang, sum(e - s) as w from seg where lang is not null and lang <> '' group by all), v as (select sid, arg_max(lang, (w, lang)) as lang, round(max(w) / sum(w), 6) as dominant_lang_ratio, count(*) as n_languages from l group by sid),
+        d as (select sid, arg_max_null(duration, ingested_at) as file_seconds from recordings where sid is not null group by sid), n as (select sid, count(distinct run) as n_spans from r group by sid),
+        g as (select sid, count(*) as n_segments, sum(e - s) as ms, round(sum(q * (e - s)) / nullif(sum(case when q is not null then e - s end), 0), 6) as mean_q, round(10 * log10(sum((e - s) * pow(10.0, q * -10 / 10)) / nullif(sum(case when q is not null then e - s end), 0)), 4) as level from seg group by sid)
+        select g.sid, n_segments, round(ms / 1000.0 + 1e-9, 2) as speech_seconds, file_seconds, round(ms / 1000.0 / nullif(file_seconds, 0) + 1e-9, 3) as speech_ratio, v.lang, dominant_lang_ratio, coalesce(n_languages, 0) as n_languages, mean_q, level, n_spans from g left join v on v.sid = g.sid left join d on d.sid = g.sid join n on n.sid = g.sid""", "seg"),
+    "f23_phase_line": sql(sequence_queries._RUNS.format(label="spk", cmp="> 10000").rstrip() + """, u as (select sid, any_value(spk) as label, min(s) as a, arg_max(e, (s, idx)) as b, sum(e - s) as w from r group by sid, run), k as (select * from u where label is not null),
+        v as (select sid, 1 - max(w) / sum(w) as v from (select sid, label, sum(w) as w from k group by sid, label) group by sid), t as (select sid, max(e) as total from seg group by sid),
+        h as (select k.*, row_number() over (partition by k.sid order by b - a desc, a) as rk from k join t on t.sid = k.sid where b - a >= 0.05 * total),
+        l as (select *, case when lag(label) over (partition by sid order by a) = label then 0 else 1 end as new from h where rk <= 6), g as (select *, sum(new) over (partition by sid order by a rows unbounded preceding) as g from l),
+        c as (select sid, g, label, min(a) as a, arg_max(b, a) as b from g group by sid, g, label),
+        x as (select sid, g, label || ' (' || (a // 60000) || ':' || lpad(cast(a // 1000 % 60 as varchar), 2, '0') || '-' || (b // 60000) || ':' || lpad(cast(b // 1000 % 60 as varchar), 2, '0') || ')' as t from c)
+        select x.sid, cast(count(*) as int) as n_phases, string_agg(t, ' > ' order by g) as line from x join v on v.sid = x.sid where v.v >= 0.15 group by x.sid having count(*) >= 2""", "seg"),
     "e14_chunk_metrics": sql("""also c0 as (select sid, idx, seg_index, s, e, q, coalesce(spk, '') as spk, trim(coalesce(txt, '')) = '' as flag from seg), p as (select *, lag(e) over w as pe, lag(spk) over w as ps from c0 window w as (partition by sid order by s, idx)),
         r as (select *, sum(case when pe is null or ps <> spk or s - pe > 2000 then 1 else 0 end) over (partition by sid order by s, idx rows unbounded preceding) as run from p)
         select sid, min(s) as chunk_start, string_agg(seg_index, ',' order by s, idx) as members, cast(sum(e - s) as bigint) as speech_ms, round(sum(q * (e - s)) / nullif(sum(case when q is not null then e - s end), 0), 4) as mean_q, case when count(q) > 0 then 1 else 0 end as evaluated, round(sum(case when flag then e - s else 0 end) / sum(e - s), 6) as flagged_share from r group by sid, run""", "seg"),

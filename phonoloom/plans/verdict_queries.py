@@ -95,19 +95,6 @@ def f19_stitched(spark, d):
     return g.select(F.col("rec").alias("id"), line["out"].alias("transcript"))
 
 
-def f23_phase_line(spark, d):
-    s = _seg(spark, d)
-    t = S.label_runs(s, "spk").where("label is not null")
-    t = t.withColumn("len", F.col("run_end") - F.col("run_start"))
-    total = s.groupBy("sid").agg(F.max("e").alias("end"))
-    t = t.join(total, "sid").where(F.col("len") >= 0.05 * F.col("end"))
-    from ..operators.joins import ranked_within
-
-    top = ranked_within(t.select("sid", "label", "run_start", "len"), ["sid"], [F.desc("len"), F.asc("run_start")], 6)
-    g = top.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("run_start", "label"))).alias("p")).where(F.size("p") >= 2)
-    return g.select("sid", F.array_join(F.transform("p", lambda x: F.concat(x["label"], F.lit("@"), X.time_label(x["run_start"]))), " > ").alias("line"))
-
-
 def g2_full_locality(spark, d):
     m = views.manifest(spark, d).where("source_tar is not null")
     # no table has byte offsets: the name of the member, by which archives are written, stands for its offset

@@ -362,3 +362,16 @@ def test_insertions_can_be_undone(spark):
     got = {r.id: (r.n_tags, r.lossless) for r in rules.tagged_texts(df).collect()}
     assert got == {1: (2, 1), 3: (0, 1)}
     assert column(spark, [7680, 7681, None], lambda c: rules.prompt_fits(c, 512), "int") == [True, False, False]
+
+
+def test_posteriors_and_phases(spark):
+    rows = [("a", 1, 2, "x", 0.5), ("a", 1, 2, "y", 0.5), ("a", 2, 6, "x", 1.0), ("b", 3, 0, "x", 1.0)]
+    df = spark.createDataFrame(rows, "sid string, row int, w long, label string, p double")
+    assert {(r.sid, r.label): r.mean for r in folds.posterior_fold(df, ["sid"]).collect()} == {("a", "x"): 0.875, ("a", "y"): 0.125, ("b", "x"): None}
+    got = {r.sid: (r.label, r.agreement, r.top3) for r in folds.accent_fold(df.where("sid = 'a'"), ["sid"], F.struct("row", "label")).collect()}
+    assert got == {"a": ("x", 0.875, "x=0.875 y=0.125")}
+    tie = spark.createDataFrame([("a", 2, 1, "x", 0.5), ("a", 1, 1, "y", 0.5)], "sid string, row int, w long, label string, p double")
+    assert folds.accent_fold(tie, ["sid"], F.struct("row", "label")).first().label == "y"
+    segs = [("a", i, t * 1000, (t + d) * 1000, v) for i, (t, d, v) in enumerate([(0, 60, "x"), (60, 40, "y"), (100, 1, "x"), (101, 59, "y"), (160, 40, None), (200, 100, "x")])] + [("b", 9, 0, 1000, "x")]
+    df = spark.createDataFrame(segs, "sid string, idx int, s long, e long, spk string")
+    assert [tuple(r) for r in sequences.phase_line(df, "spk").collect()] == [("a", 3, "x (0:00-1:00) > y (1:00-2:40) > x (3:20-5:00)")]
