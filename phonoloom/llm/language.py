@@ -378,7 +378,7 @@ def _part(edge: np.ndarray, n: np.ndarray, solid: np.ndarray) -> tuple[int, floa
     return good, mean
 
 
-def fit_profiles(texts: DataFrame, train_rows: int = 12_000) -> Profiles:
+def fit_profiles(texts: DataFrame, train_rows: int = 6_000) -> Profiles:
     """Profiles from at most ``train_rows`` rows of (key, text, label), those of the lowest key hash, where the label names a language.
 
     Labels are partly false, so profiles are fitted twice, the second time on the texts that the
