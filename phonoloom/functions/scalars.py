@@ -57,6 +57,16 @@ def speech_rate(chars: Column, seconds: Column) -> Column:
     return F.when((seconds >= 0.5) & (chars > 0), chars / seconds)
 
 
+def text_rate(text: Column, seconds: Column) -> Column:
+    """I8. Characters of the raw text a second of the whole duration; null below half a second or without text."""
+    return speech_rate(F.length(text), seconds)
+
+
+def heard_rate(text: Column, seconds: Column, cap: float = 30.0) -> Column:
+    """I8. Characters of recognised text a second, the duration capped, as a recogniser hears no more."""
+    return speech_rate(char_count(text), F.least(seconds, F.lit(cap)))
+
+
 def relative_distance(a: Column, b: Column) -> Column:
     """I9. |a - b| over the greater absolute value; unknown counts as 0."""
     return F.coalesce(F.abs(a - b) / F.nullif(F.greatest(F.abs(a), F.abs(b)), F.lit(0)), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
@@ -168,3 +168,11 @@ def file_summary(segs: DataFrame, durations: DataFrame, runs: DataFrame) -> Data
     d = d.join(durations.select("sid", F.col("duration").alias("file_seconds")), "sid", "left").join(runs.groupBy("sid").agg(F.count(F.lit(1)).alias("n_spans")), "sid")
     sec = F.round(F.col("__ms") / 1000 + 1e-9, 2)
     return d.select("sid", "n_segments", sec.alias("speech_seconds"), "file_seconds", F.round(F.col("__ms") / 1000 / F.nullif(F.col("file_seconds"), F.lit(0.0)) + 1e-9, 3).alias("speech_ratio"), "lang", "dominant_lang_ratio", "n_languages", "mean_q", "level", "n_spans")
+
+
+def drifted_edges(fitted: DataFrame, shipped: Mapping[str, tuple[float, float]], most: float = 0.15) -> DataFrame:
+    """E21. ``speed_edges`` rows with the shipped edges and whether either is more than ``most`` off, as a part of the shipped; languages without any have null."""
+    table = F.create_map(*[x for k, (lo, hi) in shipped.items() for x in (F.lit(k), F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")))])
+    old = F.try_element_at(table, F.lower(F.trim("lang")))
+    off = F.greatest(F.abs(F.col("lo") / old["lo"] - 1), F.abs(F.col("hi") / old["hi"] - 1))
+    return fitted.select("lang", "n", "lo", "hi", old["lo"].alias("shipped_lo"), old["hi"].alias("shipped_hi"), (off > most).cast("int").alias("drift"))

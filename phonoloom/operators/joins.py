@@ -58,6 +58,15 @@ def nearest_label(segs: DataFrame, label: str) -> DataFrame:
     return d.select("sid", "idx", F.coalesce(F.col(label), near).alias("label"), F.when(F.col(label).isNotNull(), "own").when(near.isNotNull(), "nearest").alias("source"))
 
 
+def filled_labels(segs: DataFrame, label: str, containers: DataFrame) -> DataFrame:
+    """D12. ``nearest_label``, and where a recording has no label at all the only language its container (sid, languages) declares: sid, idx, label, source
+    (own, nearest, container; null where no rung gives one)."""
+    one = containers.where("size(languages) = 1").groupBy("sid").agg(F.min(F.col("languages")[0]).alias("__one"))
+    d = nearest_label(segs, label).join(one, "sid", "left")
+    sole = F.col("label").isNull() & F.col("__one").isNotNull()
+    return d.select("sid", "idx", F.coalesce("label", "__one").alias("label"), F.when(sole, "container").otherwise(F.col("source")).alias("source"))
+
+
 def conflicts(frames: DataFrame, over_ms: int = 2000, part: float = 0.4) -> DataFrame:
     """D14. Overlapping frame pairs in the order (start, -end, idx), and which side is dropped: overlap above ``over_ms`` or ``part`` of it."""
     a = frames.select("sid", F.col("idx").alias("a"), F.col("s").alias("as"), F.col("e").alias("ae"))
@@ -147,6 +156,31 @@ def applied_delta(base: DataFrame, changes: DataFrame, removed: DataFrame, key:
     return kept.unionByName(changes)
 
 
+def checked_delta(base: DataFrame, changes: DataFrame, removed: DataFrame, key: str, expected: str | None = None, result: str | None = None) -> tuple[DataFrame, int, int]:
+    """B5. ``applied_delta`` behind checks: (rows, number in, number out).
+
+    ``expected`` and ``result`` are fingerprints (``sinks.fingerprint``) the base must have and the result must come to. A
+    repeated key in the base, in the changes or among the removed, a key both changed and removed, or numbers that don't add up raise.
+    """
+    from ..sources.sinks import fingerprint
+
+    base = settle(base)
+    for name, d in (("base", base), ("changes", changes), ("removals", removed)):
+        if not d.groupBy(key).count().where("count > 1").isEmpty():
+            raise ValueError(f"repeated {key} in the {name}")
+    if not changes.join(removed, key, "left_semi").isEmpty():
+        raise ValueError(f"a {key} is both changed and removed")
+    if expected and fingerprint(base) != expected:
+        raise ValueError("the base is not the one the delta was made for")
+    out = settle(applied_delta(base, changes, removed, key))
+    before, after = base.count(), out.count()
+    if after != before - removed.count():
+        raise ValueError(f"{before} rows became {after}")
+    if result and fingerprint(out) != result:
+        raise ValueError("the result is not the one the delta names")
+    return out, before, after
+
+
 def ranked_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows per key; a partial rank in each input partition comes first, so a hot key never gathers whole."""
     local = W.partitionBy(*keys, F.spark_partition_id()).orderBy(*order)

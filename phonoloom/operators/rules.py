@@ -253,3 +253,14 @@ def tagged_texts(texts: DataFrame, every: int = 30) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["id", "n_tags", "tagged", "lossless"])
 
     return d.mapInPandas(run, f"id {kind}, n_tags int, tagged string, lossless int")
+
+
+def gated_label(label: Column, confidence: Column, tau: float) -> tuple[Column, Column]:
+    """C14. (label, confidence to four places) where the confidence reaches ``tau`` and the label is set and not ``unknown``; else null and the confidence.
+
+    ``tau`` must be given and lie in [0, 1]; that is checked while planning. A null or NaN confidence reaches nothing.
+    """
+    if not 0 <= tau <= 1:
+        raise ValueError(f"tau must lie in [0, 1], not {tau}")
+    sure = confidence.isNotNull() & ~F.isnan(confidence) & (confidence >= tau)
+    return F.when(sure & (F.coalesce(label, F.lit("")) != "") & (label != "unknown"), label), F.round(confidence, 4)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
+from ..functions import scalars as X
 from ..operators import folds as A
 from ..operators import joins as J
 from ..operators import rules as R
@@ -14,7 +15,7 @@ from ..sources import views
 from ..sources.tables import table
 from ..sources.views import sql
 from . import rule_queries as Q
-from . import sequence_queries, verdict_queries
+from . import fold_queries, join_queries, sequence_queries, verdict_queries
 
 
 def c3_transcript_verdict(spark, d):
@@ -24,6 +25,52 @@ def c3_transcript_verdict(spark, d):
     return j.select("fact_id", V.transcript_verdict(F.col("text"), F.col("language"), F.col("accepted"), (F.col("e") - F.col("s")) / 1000, F.col("q"), F.col("lid"), F.col("repeated"), both).alias("reason"))
 
 
+def c14_label_gate(spark, d):
+    c = F.try_element_at("extra", F.lit("lid_confidence")).try_cast("double")
+    label, sure = R.gated_label(F.col("language"), c, 0.6)
+    return views.facts(spark, d).select("fact_id", label.alias("label"), sure.alias("confidence"))
+
+
+def c22_window_hopes(spark, d):
+    w = S.gap_windows(verdict_queries._status(spark, d).select("sid", "idx", "s", "e", "status"))
+    part = lambda k: F.sum(F.when(F.col("status") == k, F.col("e") - F.col("s")).otherwise(0)).alias(k)
+    g = w.groupBy("sid", "win").agg(part("reuse"), part("skip"), part("fill"))
+    share = F.col("reuse") / (F.col("reuse") + F.col("skip") + F.col("fill"))
+    return g.select("sid", F.col("win").alias("win_start"), "reuse", "skip", "fill", ((share < 0.05) & (F.col("skip") > F.col("fill"))).cast("int").alias("hopeless"))
+
+
+def d2_gated_merge(spark, d):
+    # a segment's label from its lowest fact, where the gate lets it through
+    f = views.facts(spark, d).select("sid", "seg_index", "fact_id", "language", F.try_element_at("extra", F.lit("lid_confidence")).try_cast("double").alias("c"))
+    f = J.first_wins(f, ["sid", "seg_index"], ["fact_id"])
+    label, sure = R.gated_label(F.col("language"), F.col("c"), 0.5)
+    s = views.segments(spark, d).select("idx", "sid", "seg_index")
+    return s.join(f.select("sid", "seg_index", label.alias("label"), sure.alias("confidence")), ["sid", "seg_index"], "left").select("idx", "label", "confidence")
+
+
+def d12_filled_languages(spark, d):
+    r = J.last_wins(table(spark, d, "recordings").where("sid is not null").select("sid", "languages", "ingested_at"), ["sid"], ["ingested_at"])
+    return J.filled_labels(views.segments(spark, d).select("sid", "idx", "s", "e", "lang"), "lang", r).select("idx", "label", "source")
+
+
+def e21_edge_drift(spark, d):
+    n = F.coalesce(X.char_count(F.col("txt")), F.lit(0))
+    s = views.segments(spark, d).withColumn("rate", X.speech_rate(n, (F.col("e") - F.col("s")) / 1000))
+    return A.drifted_edges(A.speed_edges(s, "lang", "rate"), L.SPEED_EDGES)
+
+
+def h7_owners(spark, d):
+    # rows of a known record go with it, others by their own id
+    m = views.manifest(spark, d).where("id is not null").select("id", "parent_id")
+    known = views.records(spark, d).where("id is not null").select(F.col("id").alias("parent_id"), F.lit(True).alias("known"))
+    return m.join(known, "parent_id", "left").select("id", X.crc_shard(F.when(F.col("known"), F.col("parent_id")).otherwise(F.col("id")), 16).alias("shard"))
+
+
+def i8_rates(spark, d):
+    s, sec = views.segments(spark, d), (F.col("e") - F.col("s")) / 1000
+    return s.select("idx", F.round(X.text_rate(F.col("txt"), sec), 1).alias("text_cps"), F.round(X.heard_rate(F.col("txt"), sec), 1).alias("heard_cps"))
+
+
 def c25_restricted_posterior(spark, d):
     # what a recording's segments are in, restricted to the languages it declares
     s = views.segments(spark, d).where("lang is not null and lang <> ''")
@@ -167,6 +214,13 @@ ORACLES = {
         g as (select sid, spk, count(*) as n_segments, round(sum(e - s) / 1000.0 + 1e-9, 2) as speech_seconds, round(sum(q * (e - s)) / nullif(sum(case when q is not null then e - s end), 0), 6) as mean_q from v group by sid, spk)
         select g.sid, g.spk, n_segments, speech_seconds, lv.lang, lv.dominant_lang_ratio, coalesce(n_languages, 0) as n_languages, gd.gender, mean_q, case when mean_q is null then null when gd.gender = 'male' then case when mean_q * 45 < 115.7 then 'low' when mean_q * 45 > 149.7 then 'high' else 'medium' end else case when mean_q * 45 < 141.6 then 'low' when mean_q * 45 > 184.5 then 'high' else 'medium' end end as pitch
         from g left join lv on lv.sid = g.sid and lv.spk = g.spk left join gd on gd.sid = g.sid and gd.spk = g.spk""", "seg", "rec"),
+    "c14_label_gate": sql("also c as (select fact_id, language, try_cast(extra['lid_confidence'] as double) as c from fac) select fact_id, case when c >= 0.6 and language not in ('', 'unknown') then language end as label, round(c, 4) as confidence from c", "fac"),
+    "c22_window_hopes": sql("also " + verdict_queries._STATUS + ", " + _WIN.format("st") + ", g as (select sid, win as win_start, cast(sum(case when status = 'reuse' then e - s else 0 end) as bigint) as reuse, cast(sum(case when status = 'skip' then e - s else 0 end) as bigint) as skip, cast(sum(case when status = 'fill' then e - s else 0 end) as bigint) as fill from o group by sid, win) select *, case when reuse / (reuse + skip + fill) < 0.05 and skip > fill then 1 else 0 end as hopeless from g", "seg", "fac"),
+    "d2_gated_merge": sql("also c as (select distinct on (sid, seg_index) sid, seg_index, language, try_cast(extra['lid_confidence'] as double) as c from fac order by sid, seg_index, fact_id) select idx, case when c >= 0.5 and language not in ('', 'unknown') then language end as label, round(c, 4) as confidence from seg left join c on c.sid = seg.sid and c.seg_index = seg.seg_index", "seg", "fac"),
+    "d12_filled_languages": "with nl as (" + join_queries.ORACLES["d12_nearest_language"] + "), seg as (" + views.SQL["seg"] + "), r as (select sid, arg_max_null(languages, ingested_at) as l from recordings where sid is not null group by sid) select nl.idx, coalesce(label, case when len(l) = 1 then l[1] end) as label, case when label is null and len(l) = 1 and l[1] is not null then 'container' else source end as source from nl join seg on seg.idx = nl.idx left join r on r.sid = seg.sid",
+    "e21_edge_drift": "with f as (" + fold_queries.ORACLES["e21_speed_edges"] + "), g as (select lang, n, lo, hi, map {" + ", ".join(f"'{k}': [{v[0]}::double, {v[1]}::double]" for k, v in L.SPEED_EDGES.items()) + "}[lower(trim(lang))] as o from f) select lang, n, lo, hi, o[1] as shipped_lo, o[2] as shipped_hi, case when o is null then null when greatest(abs(lo / o[1] - 1), abs(hi / o[2] - 1)) > 0.15 then 1 else 0 end as drift from g",
+    "h7_owners": sql("also " + Q.CRC_TABLE + ", k as (select man.id, case when rec.id is not null then man.parent_id else man.id end as own from man left join rec on rec.id = man.parent_id where man.id is not null) select id, " + Q.CRC_SQL.format("own") + " % 16 as shard from k, crct", "man", "rec"),
+    "i8_rates": sql("also r as (select idx, (e - s) / 1000.0 as sec, length(coalesce(txt, '')) as n, " + Q._CH.format("txt") + " as c from seg) select idx, case when sec >= 0.5 and n > 0 then round(n / sec, 1) end as text_cps, case when sec >= 0.5 and c > 0 then round(c / least(sec, 30.0), 1) end as heard_cps from r", "seg"),
     "f3_capped_units": _UNITS + " select sid, spk, min(us) as unit_start, arg_max(ue, r) as unit_end, count(*) as n_seg from u group by sid, spk, unit",
     "f5_speaker_cuts": _CUTS,
     "i28_cut_transcripts": sql("also " + verdict_queries._STATUS + ", " + _WIN.format("st") + """, w as (select *, coalesce(max(case when status <> 'reuse' then e end) over (partition by sid, win), max(e) over (partition by sid, win)) as we from o),
@@ -178,4 +232,4 @@ ORACLES = {
         select d.sid, d.win as win_start, dropped, string_agg(line, ' ' order by run) as transcript from d left join z on z.sid = d.sid and z.win = d.win group by d.sid, d.win, dropped""", "seg", "fac"),
 }
 
-QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "cdefi" and k[1:2].isdigit()}
+QUERIES = {k: v for k, v in list(globals().items()) if k[:1] in "cdefhi" and k[1:2].isdigit()}

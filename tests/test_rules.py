@@ -375,3 +375,26 @@ def test_posteriors_and_phases(spark):
     segs = [("a", i, t * 1000, (t + d) * 1000, v) for i, (t, d, v) in enumerate([(0, 60, "x"), (60, 40, "y"), (100, 1, "x"), (101, 59, "y"), (160, 40, None), (200, 100, "x")])] + [("b", 9, 0, 1000, "x")]
     df = spark.createDataFrame(segs, "sid string, idx int, s long, e long, spk string")
     assert [tuple(r) for r in sequences.phase_line(df, "spk").collect()] == [("a", 3, "x (0:00-1:00) > y (1:00-2:40) > x (3:20-5:00)")]
+
+
+def test_gates_fills_and_deltas(spark):
+    df = spark.createDataFrame([(0, "joy", 0.5), (1, "joy", 0.49999), (2, "unknown", 0.9), (3, None, 0.9), (4, "joy", None), (5, "", 1.0), (6, "joy", float("nan"))], "i int, l string, c double")
+    label, sure = rules.gated_label(F.col("l"), F.col("c"), 0.5)
+    assert [r.x for r in df.select("i", label.alias("x")).orderBy("i").collect()] == ["joy"] + [None] * 6
+    for tau in (-0.1, 1.1):
+        with pytest.raises(ValueError):
+            rules.gated_label(F.col("l"), F.col("c"), tau)
+    segs = spark.createDataFrame([("a", 1, 0, 10, "en"), ("a", 2, 20, 30, None), ("b", 3, 0, 10, None), ("c", 4, 0, 10, None), ("d", 5, 0, 1, None)], "sid string, idx long, s long, e long, lang string")
+    cont = spark.createDataFrame([("b", ["de"]), ("c", ["de", "fr"]), ("a", ["xx"])], "sid string, languages array<string>")
+    got = {r.idx: (r.label, r.source) for r in joins.filled_labels(segs, "lang", cont).collect()}
+    assert got == {1: ("en", "own"), 2: ("en", "nearest"), 3: ("de", "container"), 4: (None, None), 5: (None, None)}
+    base = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
+    new, gone = spark.createDataFrame([("b", 9)], "id string, v int"), spark.createDataFrame([("c",)], "id string")
+    out, n, m = joins.checked_delta(base, new, gone, "id", expected=sinks.fingerprint(base))
+    assert sorted(map(tuple, out.collect())) == [("a", 1), ("b", 9)] and (n, m) == (3, 2)
+    assert joins.checked_delta(base, new, gone, "id", result=sinks.fingerprint(out))[2] == 2
+    for bad in ((base.union(base), new, gone, None), (base, new.union(new), gone, None), (base, new, new.select("id"), None), (base, new, gone, "0-0-0")):
+        with pytest.raises(ValueError):
+            joins.checked_delta(*bad[:3], "id", expected=bad[3])
+    assert column(spark, ["abc de", None, ""], lambda c: X.text_rate(c, F.lit(2.0))) == [3.0, None, None]
+    assert column(spark, ["abc, de"], lambda c: X.heard_rate(c, F.lit(60.0))) == [5 / 30]
