@@ -32,6 +32,7 @@ DEPTH = 1200  # ranks kept of each profile
 PAIRS = np.array(list(combinations(range(len(CODES)), 2)))
 STRETCH = 6  # words
 ABSENT = 3.0  # stands for a rank no other comes near: 1 out of place
+SLICE = 50_000  # words measured at a time
 TOP = 400  # ranks compared of a text as a whole
 # what is no language of its own: annotations, time marks, opening labels, turn tags
 _NOISE = re.compile(
@@ -109,15 +110,9 @@ class Profiles:
         return np.frombuffer(self.flat, np.int64)[pos], size
 
     def out_of_place(self, item: np.ndarray, gram: np.ndarray, n_items: int, top: int | None = None) -> np.ndarray:
-        """Per item the out-of-place distance to each language and the number of n-grams compared, from the n-grams of all items.
-
-        An item's n-grams are ranked by how often they occur, equal ones alike; the distance is the sum over them
-        of how far the rank is from the profile's, as a part of the profile's depth, and 1 where the profile lacks the
-        n-gram. With ``top`` only ranks below it are compared.
-        """
-        out = np.zeros((n_items, len(CODES) + 1))
+        """``compared`` of the n-grams of all items, one after the other."""
         if not len(item):
-            return out
+            return np.zeros((n_items, len(CODES) + 1))
         # each n-gram of an item once, with the number of times it occurs
         bits = int(gram.max()).bit_length()
         key = (item << bits) | gram
@@ -125,7 +120,43 @@ class Profiles:
         new = _starts(key)
         times = np.diff(new, append=len(key))
         key = key[new]
-        item, gram = key >> bits, key & ((1 << bits) - 1)
+        return self.compared(key >> bits, key & ((1 << bits) - 1), times, n_items, top)
+
+    def of_words(self, words: np.ndarray, item: np.ndarray, n_items: int, top: int | None = None, most: int = SLICE) -> np.ndarray:
+        """``out_of_place`` of word numbers with the rising number of the item each stands in, in slices of about ``most`` words.
+
+        Slices hold whole items; one of more words is counted slice by slice over all n-grams met, so a text of any length needs no more room.
+        """
+        out = np.zeros((n_items, len(CODES) + 1))
+        if not len(words):
+            return out
+        first = _starts(item)
+        edge = np.append(first, len(words))
+        a = 0
+        while a < len(first):
+            b = max(a + 1, int(np.searchsorted(edge, edge[a] + most, "right")) - 1)
+            lo, hi, i = edge[a], edge[b], item[first[a]]
+            if hi - lo <= most:
+                gram, size = self.spelled(words[lo:hi])
+                n = item[hi - 1] - i + 1
+                out[i : i + n] = self.out_of_place(np.repeat(item[lo:hi] - i, size), gram, n, top)
+            else:
+                count = np.zeros(len(self.row) + len(self.other), np.int64)
+                for at in range(lo, hi, most):
+                    count += np.bincount(self.spelled(words[at : min(hi, at + most)])[0], minlength=len(count))
+                gram = np.flatnonzero(count)
+                out[i] = self.compared(np.zeros(len(gram), np.int64), gram, count[gram], 1, top)[0]
+            a = b
+        return out
+
+    def compared(self, item: np.ndarray, gram: np.ndarray, times: np.ndarray, n_items: int, top: int | None = None) -> np.ndarray:
+        """Per item the out-of-place distance to each language and the number of n-grams compared, from each n-gram of an item once, by item.
+
+        An item's n-grams are ranked by how often they occur, equal ones alike; the distance is the sum over them
+        of how far the rank is from the profile's, as a part of the profile's depth, and 1 where the profile lacks the
+        n-gram. With ``top`` only ranks below it are compared.
+        """
+        out = np.zeros((n_items, len(CODES) + 1))
         first = _starts(item)
         # those that occur once come behind all others of their item, alike; only the others are sorted
         many = times > 1
@@ -247,12 +278,11 @@ def _spoken(profiles: Profiles, texts: list[str | None]) -> list[tuple[list, lis
     seg = np.repeat(np.arange(base), np.diff([*firsts, len(ids)]))
     real = ids >= 0
     held = np.bincount(seg[real], minlength=base)
-    gram, size = profiles.spelled(ids[real])
-    item = np.repeat(seg[real], size)
-    return _choose(out, profiles, item, gram, profiles.out_of_place(item, gram, base), held, doc, scr, spans)
+    words, item = ids[real], seg[real]
+    return _choose(out, profiles, words, item, profiles.of_words(words, item, base), held, doc, scr, spans)
 
 
-def _choose(out: list, profiles: Profiles, item: np.ndarray, gram: np.ndarray, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr: np.ndarray, spans: list) -> list:
+def _choose(out: list, profiles: Profiles, words: np.ndarray, item: np.ndarray, sums: np.ndarray, held: np.ndarray, doc: np.ndarray, scr: np.ndarray, spans: list) -> list:
     k = len(CODES)
     dist, n = sums[:, :k], np.maximum(sums[:, k], 1)
     # a Latin stretch of one or two words beside another script is a name, and no stretch of its own
@@ -271,7 +301,7 @@ def _choose(out: list, profiles: Profiles, item: np.ndarray, gram: np.ndarray, s
     several = np.bincount(d, minlength=len(out)) > 1
     mine = (use & several[doc])[item]
     if mine.any():
-        whole = profiles.out_of_place(doc[item[mine]], gram[mine], len(out), top=TOP)[d[starts]]
+        whole = profiles.of_words(words[mine], doc[item[mine]], len(out), top=TOP)[d[starts]]
         more = several[d[starts]]
         total[more], weight[more] = whole[more, :k], np.maximum(whole[more, k], 1)
     best = total.argmin(1)

@@ -289,6 +289,18 @@ def test_out_of_place_as_brute_force(top):
     assert not got[-1].any()
 
 
+@pytest.mark.parametrize("top", [None, 5])
+def test_slices_change_nothing(top):
+    p, rng = profiles(), random.Random(3)
+    vocab = [w for t in SAMPLES.values() for w in language.stretches(t)[0]]
+    lens = [3, 0, 40, 1, 200, 7, 7, 0]
+    words = np.array([p.id_of(rng.choice(vocab)) for _ in range(sum(lens))])
+    item = np.repeat(np.arange(len(lens)), lens)
+    want = p.of_words(words, item, len(lens), top)
+    for most in (1, 5, 10, 50):
+        np.testing.assert_allclose(p.of_words(words, item, len(lens), top, most), want, rtol=1e-5)
+
+
 def test_a_texts_own_ranks_decide():
     # the profiles hold the same n-grams, in another order: only the text's own order tells them apart
     from collections import Counter
