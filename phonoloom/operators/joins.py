@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from .lineage import settle
-from .ordered import bucket_of, carry_last, carry_previous
+from .ordered import bucket_of, carry_last, carry_previous, ranged_rank
 
 BIN = 60_000
 
@@ -156,6 +156,21 @@ def applied_delta(base: DataFrame, changes: DataFrame, removed: DataFrame, key:
     return kept.unionByName(changes)
 
 
+def gathered(parts: Sequence[DataFrame], base: DataFrame, key: str) -> DataFrame:
+    """H8. The rows of all parts, each with ``position``, its key's place in the order of keys; unless the parts hold exactly the keys of ``base``, each once, it raises.
+
+    The order is taken over ranges of the key, not in one task.
+    """
+    got = parts[0]
+    for p in parts[1:]:
+        got = got.unionByName(p)
+    got = settle(got)
+    whole = got.groupBy(key).count().where("count > 1").isEmpty() and got.join(base, key, "left_anti").isEmpty() and base.join(got, key, "left_anti").isEmpty()
+    if not whole:
+        raise ValueError(f"the parts don't hold every {key} of the input once")
+    return ranged_rank(got, [], [F.asc(key)], "position")
+
+
 def checked_delta(base: DataFrame, changes: DataFrame, removed: DataFrame, key: str, expected: str | None = None, result: str | None = None) -> tuple[DataFrame, int, int]:
     """B5. ``applied_delta`` behind checks: (rows, number in, number out).
 

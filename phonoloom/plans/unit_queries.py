@@ -11,6 +11,7 @@ from ..operators import joins as J
 from ..operators import rules as R
 from ..operators import sequences as S
 from ..operators import verdicts as V
+from ..operators.ordered import millis
 from ..sources import views
 from ..sources.tables import table
 from ..sources.views import sql
@@ -31,6 +32,15 @@ def c14_label_gate(spark, d):
     return views.facts(spark, d).select("fact_id", label.alias("label"), sure.alias("confidence"))
 
 
+def c15_collapse_marks(spark, d):
+    # what was heard of a row against the text of its segment, which begins at the same time
+    nv = views.nv_rows(spark, d).where("nv_tags is not null and rel_start is not null").select("id", F.col("rec").alias("sid"), millis(F.col("rel_start")).alias("s"), "nv_tags", "nv_text")
+    j = nv.join(views.segments(spark, d).select("sid", "s", "txt"), ["sid", "s"], "left")
+    heard, _ = X.split_tags(F.col("nv_text"))
+    d_ = j.withColumn("ratio", X.length_ratio(heard, F.col("txt")))
+    return d_.select("id", "ratio", F.when((F.size("nv_tags") > 0) & (F.col("ratio") < 0.6), F.array_join(F.array_sort(F.array_distinct("nv_tags")), ",")).alias("collapsed"))
+
+
 def c22_window_hopes(spark, d):
     w = S.gap_windows(verdict_queries._status(spark, d).select("sid", "idx", "s", "e", "status"))
     part = lambda k: F.sum(F.when(F.col("status") == k, F.col("e") - F.col("s")).otherwise(0)).alias(k)
@@ -66,6 +76,12 @@ def h7_owners(spark, d):
     return m.join(known, "parent_id", "left").select("id", X.crc_shard(F.when(F.col("known"), F.col("parent_id")).otherwise(F.col("id")), 16).alias("shard"))
 
 
+def h8_gathered(spark, d):
+    m = views.manifest(spark, d).where("id is not null").select("id", "parent_id")
+    sharded = m.select("id", X.crc_shard(F.coalesce("parent_id", "id"), 4).alias("shard"))
+    return J.gathered([sharded.where(F.col("shard") == k) for k in range(4)], m, "id").select("id", "shard", "position")
+
+
 def i8_rates(spark, d):
     s, sec = views.segments(spark, d), (F.col("e") - F.col("s")) / 1000
     return s.select("idx", F.round(X.text_rate(F.col("txt"), sec), 1).alias("text_cps"), F.round(X.heard_rate(F.col("txt"), sec), 1).alias("heard_cps"))
@@ -215,11 +231,15 @@ ORACLES = {
         select g.sid, g.spk, n_segments, speech_seconds, lv.lang, lv.dominant_lang_ratio, coalesce(n_languages, 0) as n_languages, gd.gender, mean_q, case when mean_q is null then null when gd.gender = 'male' then case when mean_q * 45 < 115.7 then 'low' when mean_q * 45 > 149.7 then 'high' else 'medium' end else case when mean_q * 45 < 141.6 then 'low' when mean_q * 45 > 184.5 then 'high' else 'medium' end end as pitch
         from g left join lv on lv.sid = g.sid and lv.spk = g.spk left join gd on gd.sid = g.sid and gd.spk = g.spk""", "seg", "rec"),
     "c14_label_gate": sql("also c as (select fact_id, language, try_cast(extra['lid_confidence'] as double) as c from fac) select fact_id, case when c >= 0.6 and language not in ('', 'unknown') then language end as label, round(c, 4) as confidence from c", "fac"),
+    "c15_collapse_marks": sql("""also j as (select nv.id, nv_tags, trim(regexp_replace(regexp_replace(nv_text, '\\[[A-Za-z][A-Za-z-]*\\]', ' ', 'g'), '\\s+', ' ', 'g')) as h, txt from nv left join seg on seg.sid = nv.rec and seg.s = try_cast(round(rel_start * 1000) as bigint) where nv_tags is not null and rel_start is not null),
+        r as (select *, case when length(regexp_replace(txt, '[\\s\\p{P}\\p{Z}]', '', 'g')) > 0 then round(length(regexp_replace(h, '[\\s\\p{P}\\p{Z}]', '', 'g')) / length(regexp_replace(txt, '[\\s\\p{P}\\p{Z}]', '', 'g')), 2) end as ratio from j)
+        select id, ratio, case when len(nv_tags) > 0 and ratio < 0.6 then array_to_string(list_sort(list_distinct(nv_tags)), ',') end as collapsed from r""", "nv", "seg"),
     "c22_window_hopes": sql("also " + verdict_queries._STATUS + ", " + _WIN.format("st") + ", g as (select sid, win as win_start, cast(sum(case when status = 'reuse' then e - s else 0 end) as bigint) as reuse, cast(sum(case when status = 'skip' then e - s else 0 end) as bigint) as skip, cast(sum(case when status = 'fill' then e - s else 0 end) as bigint) as fill from o group by sid, win) select *, case when reuse / (reuse + skip + fill) < 0.05 and skip > fill then 1 else 0 end as hopeless from g", "seg", "fac"),
     "d2_gated_merge": sql("also c as (select distinct on (sid, seg_index) sid, seg_index, language, try_cast(extra['lid_confidence'] as double) as c from fac order by sid, seg_index, fact_id) select idx, case when c >= 0.5 and language not in ('', 'unknown') then language end as label, round(c, 4) as confidence from seg left join c on c.sid = seg.sid and c.seg_index = seg.seg_index", "seg", "fac"),
     "d12_filled_languages": "with nl as (" + join_queries.ORACLES["d12_nearest_language"] + "), seg as (" + views.SQL["seg"] + "), r as (select sid, arg_max_null(languages, ingested_at) as l from recordings where sid is not null group by sid) select nl.idx, coalesce(label, case when len(l) = 1 then l[1] end) as label, case when label is null and len(l) = 1 and l[1] is not null then 'container' else source end as source from nl join seg on seg.idx = nl.idx left join r on r.sid = seg.sid",
     "e21_edge_drift": "with f as (" + fold_queries.ORACLES["e21_speed_edges"] + "), g as (select lang, n, lo, hi, map {" + ", ".join(f"'{k}': [{v[0]}::double, {v[1]}::double]" for k, v in L.SPEED_EDGES.items()) + "}[lower(trim(lang))] as o from f) select lang, n, lo, hi, o[1] as shipped_lo, o[2] as shipped_hi, case when o is null then null when greatest(abs(lo / o[1] - 1), abs(hi / o[2] - 1)) > 0.15 then 1 else 0 end as drift from g",
     "h7_owners": sql("also " + Q.CRC_TABLE + ", k as (select man.id, case when rec.id is not null then man.parent_id else man.id end as own from man left join rec on rec.id = man.parent_id where man.id is not null) select id, " + Q.CRC_SQL.format("own") + " % 16 as shard from k, crct", "man", "rec"),
+    "h8_gathered": sql("also " + Q.CRC_TABLE + " select id, " + Q.CRC_SQL.format("coalesce(parent_id, id)") + " % 4 as shard, row_number() over (order by id) as position from man, crct where id is not null", "man"),
     "i8_rates": sql("also r as (select idx, (e - s) / 1000.0 as sec, length(coalesce(txt, '')) as n, " + Q._CH.format("txt") + " as c from seg) select idx, case when sec >= 0.5 and n > 0 then round(n / sec, 1) end as text_cps, case when sec >= 0.5 and c > 0 then round(c / least(sec, 30.0), 1) end as heard_cps from r", "seg"),
     "f3_capped_units": _UNITS + " select sid, spk, min(us) as unit_start, arg_max(ue, r) as unit_end, count(*) as n_seg from u group by sid, spk, unit",
     "f5_speaker_cuts": _CUTS,

@@ -398,3 +398,13 @@ def test_gates_fills_and_deltas(spark):
             joins.checked_delta(*bad[:3], "id", expected=bad[3])
     assert column(spark, ["abc de", None, ""], lambda c: X.text_rate(c, F.lit(2.0))) == [3.0, None, None]
     assert column(spark, ["abc, de"], lambda c: X.heard_rate(c, F.lit(60.0))) == [5 / 30]
+
+
+def test_gathering_must_be_whole(spark):
+    base = spark.createDataFrame([(f"k{i:02}",) for i in range(30)], "k string")
+    parts = [base.where(F.crc32("k") % 3 == n).withColumn("n", F.lit(n)) for n in range(3)]
+    got = [(r.k, r.position) for r in joins.gathered(parts, base, "k").orderBy("position").collect()]
+    assert got == [(f"k{i:02}", i + 1) for i in range(30)]
+    for bad in (parts[:2], [*parts, parts[0]], [*parts, spark.createDataFrame([("z", 9)], "k string, n int")]):
+        with pytest.raises(ValueError):
+            joins.gathered(bad, base, "k")
