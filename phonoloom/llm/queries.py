@@ -160,8 +160,7 @@ def p9_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return sentences.sentences(docs, lexicon=sentences.fit_lexicon(docs))
+    return sentences.fitted_sentences(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:

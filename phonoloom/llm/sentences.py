@@ -4,10 +4,10 @@ A text is first cut at line breaks and before turn tags. Inside such a block eve
 quotation closing after a final mark and, in Thai, every space is a candidate. In scripts without
 spaces a mark may close a quotation that the sentence contains or goes on after: there the words on
 both sides come from the cheapest path through a dictionary word lattice, and the gap is classed by
-final particles, opening words and words that carry on. The dictionary is fitted on a bounded sample
-of the texts. For spaced scripts the candidates form a terminator lattice: each is scored by what
-stands before and after it, and the best path through the lattice is taken, on which no piece is
-without words.
+final particles, opening words and words that carry on. The dictionary is fitted on all texts, as
+tables: no task and no driver holds more of it than the words that one chunk of text has. For spaced
+scripts the candidates form a terminator lattice: each is scored by what stands before and after it,
+and the best path through the lattice is taken, on which no piece is without words.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .samples import lowest_hash
+from ..operators.lineage import settle
 
 # Abbreviations that never end a sentence (titles, units of address, "for example").
 NEVER = frozenset(
@@ -418,10 +419,272 @@ def _best_path(text: str, a: int, body: int, b: int, cands: list[tuple[int, floa
     return spans
 
 
-def fit_lexicon(documents: DataFrame, train_rows: int = 2000) -> Lexicon:
-    """The dictionary of the word lattices, fitted on at most ``train_rows`` documents, those of the lowest hash of their id."""
-    rows = lowest_hash(documents.select("doc_id", "text"), F.col("doc_id"), train_rows).where("text rlike '[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]'").select("text").collect()
-    return Lexicon.fit(sorted(r.text for r in rows))
+CHUNK = 100_000  # characters cut at a time with the words they have
+_ROWS = 200_000  # rows that a task holds before it passes them on
+_EDGE = "\ud800"  # stands for the edge of a text among the neighbours; no text has it
+_SPACELESS = "[\u0e00-\u0e7f\u3005\u3040-\u30ff\u3400-\u9fff]"
+_BLANK = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
+# a quotation that may end in a mark, before a spaceless script, a sound perhaps between
+_QUOTED = rf"[{re.escape(_ENDS)}\])】）>}}*]{_BLANK}[“”»」』\"›＂]{_BLANK}(?:{_SPACELESS}|[\[【（(<{{*])"
+
+
+def _stretches(documents: DataFrame) -> DataFrame:
+    """chunk, g, run, before, after, n: each distinct spaceless stretch with its neighbours and how often it comes.
+
+    Chunks are neighbours in order, about ``CHUNK`` characters of one script, so that they share words and beginnings."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            met: Counter = Counter()
+            for t in batch["text"]:
+                kana = script_of_han(t)
+                for m in _RUNS.finditer(t):
+                    s, e = m.span()
+                    met["th" if m["th"] else kana, m[0], t[s - 1 : s], t[e : e + 1]] += 1
+            if met:
+                yield pd.DataFrame([(*k, n) for k, n in met.items()], columns=["g", "run", "before", "after", "n"])
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, size, last = TaskContext.get().partitionId() << 32, 0, None
+        for batch in batches:
+            ids = []
+            for g, run in zip(batch["g"], batch["run"]):
+                if last not in (None, g) or size > CHUNK:
+                    at, size = at + 1, 0
+                size, last = size + len(run), g
+                ids.append(at)
+            yield batch.assign(chunk=ids)[["chunk", "g", "run", "before", "after", "n"]]
+
+    key = ["g", "run", "before", "after"]
+    schema = "g string, run string, before string, after string, n long"
+    met = documents.select("text").where(F.col("text").rlike(_SPACELESS)).mapInPandas(read, schema).groupBy(*key).agg(F.sum("n").alias("n"))
+    return settle(met.repartitionByRange("g", "run").sortWithinPartitions(*key).mapInPandas(number, f"chunk long, {schema}"))
+
+
+def _shared(a: str, b: str) -> int:
+    """Length of the common beginning."""
+    if b.startswith(a):
+        return len(a)
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(b))
+
+
+def _strings(rows: list[tuple[str, str, str, int]], longest: int) -> Iterator[list[tuple[str, int, str, str]]]:
+    """(string, count, up to three characters before it, up to three after it), in parts, of the stretches (run, before, after, n) in order.
+
+    What stretches share at their beginning is counted once, with the number of all that share it. Strings are counted up
+    to one character more than a word may have: a longer string tells what stands beside the shorter two in it."""
+    count: dict[str, int] = defaultdict(int)
+    sides: dict[str, list[str]] = {}
+
+    def beside(w: str, side: int, c: str) -> None:
+        x = sides.get(w)
+        if x is None:
+            x = sides[w] = ["", ""]
+        if len(x[side]) < 3 and c not in x[side]:
+            x[side] += c
+
+    def part() -> list[tuple[str, int, str, str]]:
+        for w in count:
+            if len(w) > 2:
+                for part_of, side, c in ((w[:-1], 1, w[-1]), (w[1:], 0, w[0])):
+                    x = sides.get(part_of)
+                    if x is None:
+                        x = sides[part_of] = ["", ""]
+                    if len(x[side]) < 3 and c not in x[side]:
+                        x[side] += c
+        for w in count:
+            if len(w) <= longest and w not in sides:
+                sides[w] = ["", ""]
+        return [(w, count.get(w, 0), *x) for w, x in sides.items() if len(w) == 1 or _whole(w)]
+
+    last, beyond, held = "", "", [0]  # held[j]: stretches that go through the first j characters of ``last``
+    for run, before, after, n in [*rows, ("", "", "", 0)]:
+        p = _shared(last, run)
+        for j in range(len(last), p, -1):  # what ends at j is complete
+            m = held.pop()
+            held[-1] += m
+            for i in range(max(0, j - longest - 1), j):
+                count[last[i:j]] += m
+            if len(count) > _ROWS:
+                yield part()
+                count.clear()
+                sides.clear()
+                beyond = ""
+        if not run:
+            break
+        held += [0] * (len(run) - p)
+        held[-1] += n
+        before, most = before or _EDGE, min(len(run), longest) + 1
+        for j in range(max(2, p + 1) if before == beyond else 2, most):
+            beside(run[:j], 0, before)
+        for j in range(2, most):
+            beside(run[-j:], 1, after or _EDGE)
+        last, beyond = run, before
+    yield part()
+
+
+def _path_words(runs: list[tuple[str, int]], costs: dict[str, float], longest: int, unknown: float = 12.0) -> dict[str, int]:
+    """How often each word is on the cheapest paths of the stretches (run, n) in order: ``lattice_words`` that goes on from the beginning a stretch shares with the one before."""
+    used: dict[str, int] = defaultdict(int)
+    best, back, last, get = [0.0], [0], "", costs.get
+    held = [0]  # held[j]: stretches whose path has an edge after the first j characters of ``last``
+    for run, n in [*runs, ("", 0)]:
+        p = _shared(last, run)
+        for j in range(len(last), p, -1):
+            if m := held.pop():
+                used[last[back[j] : j]] += m
+                held[back[j]] += m
+        del best[p + 1 :], back[p + 1 :]
+        for j in range(p + 1, len(run) + 1):
+            low, at = 1e9, 0
+            for i in range(max(0, j - longest), j - 1):
+                c = get(run[i:j])
+                if c is not None and best[i] + c < low:
+                    low, at = best[i] + c, i
+            here = best[j - 1]
+            if here + unknown < low:
+                low, at = here + unknown, j - 1
+            c = get(run[j - 1])
+            if c is not None and here + c < low:
+                low, at = here + c, j - 1
+            best.append(low)
+            back.append(at)
+        held += [0] * (len(run) - p)
+        held[-1] += n
+        last = run
+    return used
+
+
+def _totals(words: DataFrame) -> dict[str, float]:
+    """Logarithm of the summed counts of each script, from which a word's cost is reckoned."""
+    return {r.g: math.log(r.n + 1) for r in words.groupBy("g").agg(F.sum("n").alias("n")).collect()}
+
+
+def fitted_words(documents: DataFrame, rounds: int = 3, least: int = 4) -> DataFrame:
+    """g, w, n: the words of ``Lexicon.fit`` over all texts and how often they are on the paths, as a table.
+
+    Every chunk of stretches is cut with those words of the dictionary that it has as strings, so the
+    dictionary may be of any size."""
+    texts = _stretches(documents)
+
+    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def out(rows: list[tuple]) -> Iterator[pd.DataFrame]:
+            chunk, g = rows[0][:2]
+            for part in _strings([r[2:] for r in rows], _LONGEST[g]):
+                for k in range(0, len(part), 50_000):
+                    w, n, *sides = zip(*part[k : k + 50_000])
+                    lefts, rights = ([["" if c == _EDGE else c for c in x] for x in side] for side in sides)
+                    yield pd.DataFrame({"chunk": chunk, "g": g, "w": w, "n": n, "lefts": lefts, "rights": rights})
+
+        rows: list[tuple] = []
+        for batch in batches:
+            for r in batch.itertuples(index=False, name=None):
+                if rows and rows[0][0] != r[0]:
+                    yield from out(rows)
+                    rows = []
+                rows.append(r)
+        if rows:
+            yield from out(rows)
+
+    met = settle(texts.mapInPandas(strings, "chunk long, g string, w string, n long, lefts array<string>, rights array<string>"))
+    varied = lambda c: F.size(F.array_distinct(F.flatten(F.collect_set(c))))
+    seen = met.groupBy("g", "w").agg(F.sum("n").alias("n"), F.least(varied("lefts"), varied("rights")).alias("sides"))
+    size = F.length("w")
+    words = settle(seen.where((F.col("n") >= least) & ((size == 1) | (F.col("sides") >= 3))).select("g", "w", (F.col("n") * size * size).alias("n")))
+    # a character that is no word yet may become one
+    own = met.select("chunk", "g", "w")
+    own = settle(own.where(size == 1).unionByName(own.where(size > 1).join(words.select("g", "w"), ["g", "w"], "left_semi").select("chunk", "g", "w")))
+    for _ in range(rounds):
+        total = _totals(words)
+
+        def cut(runs: pd.DataFrame, priced: pd.DataFrame) -> pd.DataFrame:
+            g = runs["g"].iloc[0]
+            costs = {w: total[g] - math.log(n) for w, n in zip(priced["w"], priced["n"])}  # noqa: B023 (the round ends with the settled table)
+            met: Counter = Counter()
+            for run, n in zip(runs["run"], runs["n"]):
+                met[run] += n
+            used = _path_words(sorted(met.items()), costs, _LONGEST[g])
+            return pd.DataFrame({"g": g, "w": list(used), "n": list(used.values())})
+
+        priced = own.join(words, ["g", "w"]).select("chunk", "w", "n")
+        cuts = texts.select("chunk", "g", "run", "n").groupBy("chunk").cogroup(priced.groupBy("chunk")).applyInPandas(cut, "g string, w string, n long")
+        words = settle(cuts.groupBy("g", "w").agg(F.sum("n").alias("n")).where("n >= 2"))
+    return words
+
+
+def fit_lexicon(documents: DataFrame) -> Lexicon:
+    """The dictionary fitted on all documents as one object. ``fitted_sentences`` needs no such object."""
+    words = fitted_words(documents)
+    total, costs = _totals(words), defaultdict(dict)
+    for r in words.toLocalIterator():
+        costs[r.g][r.w] = total[r.g] - math.log(r.n)
+    return Lexicon(costs)
+
+
+class _Asked(Lexicon):
+    """Notes which stretches are to be cut."""
+
+    def __init__(self):
+        super().__init__()
+        self.asked: set[tuple[str, str]] = set()
+
+    def words(self, text: str, lang: str) -> list[str]:
+        if text.startswith(self._first[lang]) or text.endswith(self._final[lang]):  # else no way to cut it has such a word there
+            self.asked.add((lang, text))
+        return []
+
+    _first = {g: (*CARRY_ON.get(g, ()), *OPENING.get(g, ())) for g in _LONGEST}
+    _final = {g: tuple(FINAL_PARTICLES.get(g, ())) for g in _LONGEST}
+
+
+def fitted_sentences(documents: DataFrame) -> DataFrame:
+    """``sentences`` with the dictionary fitted on all documents.
+
+    Only texts with a quotation before a spaceless script may ask the dictionary; they are cut in chunks, each with the
+    words that stand beside its quotations. All others are cut in one pass without a shuffle."""
+    docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    asks = F.col("text").rlike(_SPACELESS) & F.col("text").rlike(_QUOTED)
+    quoted = settle(docs.where(asks))
+    chunks = (quoted.agg(F.sum(F.length("text"))).first()[0] or 0) // CHUNK + 1
+    quoted = quoted.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+    words = fitted_words(documents)
+    total = _totals(words)
+
+    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            met = set()
+            for chunk, part in batch.groupby("chunk"):
+                noted = _Asked()
+                for t in part["text"]:
+                    sentence_spans(t, noted)
+                met |= {(chunk, g, t[i:j]) for g, t in noted.asked for i in range(len(t)) for j in range(i + 1, min(len(t), i + _LONGEST[g]) + 1)}
+            if met:
+                yield pd.DataFrame(list(met), columns=["chunk", "g", "w"])
+
+    def cut(texts: pd.DataFrame, priced: pd.DataFrame) -> pd.DataFrame:
+        costs: dict = defaultdict(dict)
+        for g, w, n in zip(priced["g"], priced["w"], priced["n"]):
+            costs[g][w] = total[g] - math.log(n)
+        return _spans(texts, Lexicon(costs))
+
+    priced = quoted.select("chunk", "text").mapInPandas(strings, "chunk long, g string, w string").distinct().join(words, ["g", "w"])
+    cuts = quoted.groupBy("chunk").cogroup(priced.groupBy("chunk")).applyInPandas(cut, _SPANS)
+    return sentences(docs.where(~asks)).unionByName(cuts)
+
+
+_SPANS = "doc_id long, start_char int, end_char int"
+
+
+def _spans(batch: pd.DataFrame, lexicon: Lexicon, with_text: bool = False) -> pd.DataFrame:
+    ids, starts, ends, parts = [], [], [], []
+    for i, t in zip(batch["doc_id"], batch["text"]):
+        for s, e in sentence_spans(t, lexicon):
+            ids.append(i)
+            starts.append(s)
+            ends.append(e)
+            if with_text:
+                parts.append(t[s:e])
+    return pd.DataFrame({"doc_id": ids, "start_char": starts, "end_char": ends} | ({"sentence": parts} if with_text else {}))
 
 
 def sentences(documents: DataFrame, with_text: bool = False, lexicon: Lexicon = BUILT_IN) -> DataFrame:
@@ -429,22 +692,13 @@ def sentences(documents: DataFrame, with_text: bool = False, lexicon: Lexicon =
 
     Equal texts under several ids come out under each id; null and blank texts give no row.
     """
-    schema = "doc_id long, start_char int, end_char int" + ", sentence string" * with_text
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, starts, ends, parts = [], [], [], []
-            for i, t in zip(batch["doc_id"], batch["text"]):
-                for s, e in sentence_spans(t, lexicon):
-                    ids.append(i)
-                    starts.append(s)
-                    ends.append(e)
-                    if with_text:
-                        parts.append(t[s:e])
-            if ids:
-                yield pd.DataFrame({"doc_id": ids, "start_char": starts, "end_char": ends} | ({"sentence": parts} if with_text else {}))
-
-    return documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInPandas(run, schema)
+            found = _spans(batch, lexicon, with_text)
+            if len(found):
+                yield found
+
+    return documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInPandas(run, _SPANS + ", sentence string" * with_text)
 
 
 def checked(found: DataFrame, documents: DataFrame) -> DataFrame:

@@ -661,6 +661,65 @@ def test_fit_lexicon_of_rows(spark):
     assert sentences.fit_lexicon(df.where("false")).costs == sentences.BUILT_IN.costs
 
 
+def spaceless_texts(n):
+    rng = random.Random(5)
+    words = {"ja": ["とても", "静か", "だった", "です", "彼は", "海が", "青い", "犬", "猫", "と", "行く"], "zh": ["今天", "天气", "很好", "我们", "去", "公园", "然后", "回家"], "th": ["วันนี้", "อากาศ", "ดี", "มาก", "เรา", "ไป"]}
+    out = []
+    for k in range(n):
+        g = rng.choice(["ja", "zh", "th", "ja", "zh", "th", "en"])
+        part = lambda: "".join(rng.choice(words[g]) for _ in range(rng.randrange(1, 6)))  # noqa: E731, B023
+        out.append("plain words only." if g == "en" else rng.choice(["", "\0", "A", "「", "々"]) + part() + rng.choice("。、 」\n") + part() + rng.choice(["", "。", "!", "x"]))
+    return out
+
+
+def test_dictionary_of_all_documents(spark, monkeypatch):
+    # more rows than any sample held, with repeated ids and texts, rows without an id and several chunks of each script
+    texts = spaceless_texts(5000)
+    rows = [(None if k % 50 == 0 else k // 2, t) for k, t in enumerate(texts)] + [(7, None), (8, "")]
+    monkeypatch.setattr(sentences, "CHUNK", 2000)
+    got = sentences.fit_lexicon(clashing(spark.createDataFrame(rows, "doc_id long, text string"))).costs
+    assert got == sentences.Lexicon.fit(texts).costs and "とても" in got["ja"] and "今天" in got["zh"] and "อากาศ" in got["th"]
+
+
+def test_rare_words_of_all_documents_decide(spark, tmp_path):
+    seen = ["彼はとても元気です。", "今日、とても暑い。", "犬もとても好きだ。", "海がとても青い。", "これはとても良い。", "父と行く。", "犬と猫がいる。"] * 2
+    asked = ["彼は「行く。」とても静かだった。", "彼は「行く。」と言った。", '他说"好。"然后走了。', "เขาพูดว่า “ไป!”แล้วกลับบ้าน", "He said “go.” Then he left.", None, " "]
+    texts = ["plain words only"] * 12000 + seen + asked
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    fitted = sentences.Lexicon.fit([t for t in texts if t])
+    want = sorted((i, s, e) for i, t in enumerate(texts) for s, e in sentences.sentence_spans(t, fitted))
+    got = sorted(map(tuple, queries.p9_found(spark, str(tmp_path)).collect()))
+    assert got == want and sum(i == 12000 + len(seen) for i, _, _ in got) == 2
+
+
+def test_counts_along_shared_beginnings(monkeypatch):
+    rng = random.Random(6)
+    runs = sorted({("".join(rng.choice("一二三") for _ in range(rng.randrange(1, 9))), rng.choice(["", "a", "b"]), rng.choice(["", "c"]), rng.randrange(1, 4)) for _ in range(200)})
+    longest, count, sides = 4, defaultdict(int), defaultdict(lambda: (set(), set()))
+    for run, before, after, n in runs:
+        for i in range(len(run)):
+            for j in range(i + 1, min(len(run), i + longest) + 1):
+                count[run[i:j]] += n
+                sides[run[i:j]][0].add(run[i - 1] if i else before)
+                sides[run[i:j]][1].add(run[j] if j < len(run) else after)
+    for rows in (30, 10_000):
+        monkeypatch.setattr(sentences, "_ROWS", rows)
+        found, near = defaultdict(int), defaultdict(lambda: (set(), set()))
+        for part in sentences._strings(runs, longest):
+            for w, n, left, right in part:
+                found[w] += n
+                near[w][0].update(left)
+                near[w][1].update(right)
+        assert found == count
+        assert all(min(len(x), 3) <= len(near[w][k]) <= len(x) for w, both in sides.items() if len(w) > 1 for k, x in enumerate(both))
+    costs = {w: rng.uniform(1, 6) for w in rng.sample(sorted(count), 20)}
+    want = defaultdict(int)
+    for run, _, _, n in runs:
+        for w in sentences.lattice_words(run, costs, longest):
+            want[w] += n
+    assert sentences._path_words([(run, n) for run, _, _, n in runs], costs, longest) == want
+
+
 # the checks that registered queries run on results
 
 
